@@ -87,10 +87,11 @@ def csv_folder(
                 ]
             )
         )
+        # Spark refuses to read the corrupt column alone, so a second one is looked at
+        line = F.coalesce(CORRUPT, F.col(f"`{names[0]}`").cast("string"))
         rejects.append(
-            rows.filter(F.col(CORRUPT).isNotNull()).select(
-                F.col("_metadata.file_name").alias("file"),
-                F.coalesce(CORRUPT, F.col(f"`{names[0]}`").cast("string")).alias("line"),
+            rows.filter(F.col(CORRUPT).isNotNull() & line.isNotNull()).select(
+                F.col("_metadata.file_name").alias("file"), line.alias("line")
             )
         )
     if not records:

@@ -73,7 +73,7 @@ SELECT udi, failure_type_id AS label,
   CAST(CASE WHEN udi % 5 = 0 THEN 0 WHEN udi % 11 = 0 THEN 2 ELSE failure_type_id END AS DOUBLE) AS prediction,
   CASE WHEN failure_type_id > 0 THEN 1 ELSE 0 END AS label_bin,
   CASE WHEN udi % 5 = 0 THEN 0 WHEN udi % 11 = 0 THEN 1 WHEN failure_type_id > 0 THEN 1 ELSE 0 END AS prediction_bin,
-  CASE WHEN udi % 10 < 8 THEN 'train' ELSE 'test' END AS split
+  CASE WHEN udi % 11 < 9 THEN 'train' ELSE 'test' END AS split
 FROM {machine_readings}
 """
 
