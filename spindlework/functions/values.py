@@ -40,3 +40,19 @@ def cell_type(column: Column) -> Column:
         .when(column.rlike(FLOAT_PATTERN), F.lit("float"))
         .otherwise(F.lit("string"))
     )
+
+
+def percent_text(share: Column) -> Column:
+    """``share`` as a percentage with two decimals, rounded from its exact binary value.
+
+    The hundredth is chosen by the exact sign of ``200 p - (2 k + 1)``: ``p`` is split
+    into halves whose products with 200 carry no rounding error.
+    """
+    p = share * F.lit(100.0)
+    k = F.floor(p * 100)
+    scaled = p * F.lit(134217729.0)
+    high = scaled - (scaled - p)
+    over = (high * 200 - (2 * k + 1)) + (p - high) * 200
+    up = (over > 0) | ((over == 0) & (k % 2 == 1))
+    hundredths = k + up.cast("bigint")
+    return F.format_string("%d.%02d%%", F.floor(hundredths / 100), hundredths % 100)

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindlework.functions.values import percent_text
+
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Counts of the pairs that occur."""
@@ -60,7 +62,7 @@ def confusion_share(df: DataFrame, label: str = "label", prediction: str = "pred
         "prediction",
         "n",
         share.alias("share"),
-        F.format_string("%d\n%.2f%%", F.col("n"), share * 100).alias("text"),
+        F.concat(F.col("n").cast("string"), F.lit("\n"), percent_text(share)).alias("text"),
     )
 
 

@@ -7,7 +7,7 @@ Regularisation given as ``C`` (inverse strength over a sum of losses) becomes
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -136,10 +136,13 @@ def fourier_features(columns: list[str], gamma: float, size: int = 64, seed: int
     ]
 
 
-def kernel_svm(
-    rows: int, columns: list[str], gamma: float, c: float = 1.0, size: int = 64, iterations: int = 100, seed: int = 42
-) -> Pipeline:
+def fit_kernel_svm(
+    train: DataFrame, columns: list[str], c: float = 1.0, size: int = 64, iterations: int = 100, seed: int = 42
+) -> PipelineModel:
     """SVM with an RBF kernel: random cosine features under a linear SVM."""
+    rows = train.count()
+    stages = fourier_features(columns, scale_gamma(train, columns), size, seed)
+    mapped = PipelineModel(stages=stages).transform(train).select("features", "label")
     svc = LinearSVC(
         labelCol="label",
         featuresCol="features",
@@ -147,7 +150,7 @@ def kernel_svm(
         maxIter=iterations,
         standardization=False,
     )
-    return Pipeline(stages=[*fourier_features(columns, gamma, size, seed), svc])
+    return PipelineModel(stages=[*stages, svc.fit(materialise(mapped, "kernel-features"))])
 
 
 def fit_model(

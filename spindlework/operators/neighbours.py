@@ -25,6 +25,7 @@ from spindlework.operators.joins import lookup_join
 from spindlework.plans.workspace import materialise
 
 LEAF_ROWS = 1024
+SAMPLE_PER_LEAF = 64
 MAX_SAMPLE = 200_000  # sampled points on the driver, which also bounds the leaves
 QUERY_CHUNK = 20_000
 POINT_CHUNK = 100_000
@@ -65,10 +66,10 @@ class SplitTree:
 
     def _nearest_in_box(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
         # same order of operations as the point distances, so rounding cannot exceed them
-        total = 0.0
-        for j in range(x.shape[1]):
-            gap = np.maximum(np.maximum(self.low[node, j] - x[:, j], x[:, j] - self.high[node, j]), 0.0)
-            total = total + gap * gap
+        gap = np.maximum(np.maximum(self.low[node] - x, x - self.high[node]), 0.0)
+        total = np.square(gap[:, 0])
+        for j in range(1, x.shape[1]):
+            total += np.square(gap[:, j])
         return total
 
     def radius_bound(self, x: np.ndarray, k: int) -> np.ndarray:
@@ -123,7 +124,9 @@ def _grow(sample: np.ndarray, points: int, first_leaf: int, leaf_rows: int) -> S
 
 def _best(q: np.ndarray, p: np.ndarray, radius: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query row, point row, squared distance) of up to ``k`` points per query."""
-    found: list[tuple[np.ndarray, ...]] = []
+    found: list[tuple[np.ndarray, ...]] = [
+        (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
+    ]
     step = max(1, _BLOCK_CELLS // max(1, len(p)))
     for start in range(0, len(q), step):
         block = q[start : start + step]
@@ -156,7 +159,7 @@ def nearest_points(
 ) -> DataFrame:
     """Nearest points of every distinct query, until ``k`` copies are reached.
 
-    Output: group, query coordinates, ``distance2``, ``neighbour_label``,
+    Output: group, ``qid``, query coordinates, ``distance2``, ``neighbour_label``,
     ``nb_<coordinate>``, ``copies`` (capped at ``k``) and ``before``, the copies nearer
     than this row.  With ``group``, queries only see points of their own group.
     """
@@ -175,11 +178,16 @@ def nearest_points(
         "points",
     )
     queries = materialise(
-        queries.select(group_text, *as_double).na.drop("any").distinct(), "neighbour-queries"
+        queries.select(group_text, *as_double)
+        .na.drop("any")
+        .distinct()
+        .withColumn("qid", F.monotonically_increasing_id()),
+        "neighbour-queries",
     )
 
     sizes = {r[g]: r["count"] for r in points.groupBy(g).count().collect()}
-    share = min(1.0, MAX_SAMPLE / max(1, sum(sizes.values())))
+    total = max(1, sum(sizes.values()))
+    share = min(1.0, MAX_SAMPLE / total, max(SAMPLE_PER_LEAF / leaf_rows, 20_000 / total))
     sample = (
         points.sampleBy(g, {name: share for name in sizes}, seed=7).select(g, *coords).toPandas()
     )
@@ -226,13 +234,13 @@ def nearest_points(
 
     nb = [f"nb_{c}" for c in coords]
     found_schema = ", ".join(
-        [f"`{g}` string", *[f"`{c}` double" for c in coords], "distance2 double"]
-        + ["neighbour_label double", *[f"`{c}` double" for c in nb], "copies int"]
+        ["qid bigint", "distance2 double", "neighbour_label double"]
+        + [f"`{c}` double" for c in nb]
+        + ["copies int"]
     )
+    home_schema = f"{found_schema}, radius double"
 
     def search(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or known.empty:
-            return pd.DataFrame(columns=[g, *coords, "distance2", "neighbour_label", *nb, "copies"])
         known = known.sort_values(["neighbour_label", *coords], kind="stable")
         q, p, d = _best(
             asked[coords].to_numpy(dtype=float),
@@ -240,50 +248,53 @@ def nearest_points(
             asked["radius"].to_numpy(dtype=float),
             k,
         )
-        left = asked[[g, *coords]].iloc[q].reset_index(drop=True)
-        left["distance2"] = d
-        right = known[["neighbour_label", *coords, "copies"]].iloc[p].reset_index(drop=True)
-        right.columns = ["neighbour_label", *nb, "copies"]
-        return pd.concat([left, right], axis=1)
-
-    def probe(asked: DataFrame) -> DataFrame:
+        found = known[["neighbour_label", *coords, "copies"]].iloc[p].reset_index(drop=True)
+        found.columns = ["neighbour_label", *nb, "copies"]
+        found.insert(0, "distance2", d)
+        found.insert(0, "qid", asked["qid"].to_numpy()[q])
+        return found
+
+    def search_home(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        """Found points, and per query one row without a point that tells its radius."""
+        found = search(asked, known)
+        upto = found.groupby("qid")["copies"].cumsum()
+        enough = found[upto >= k].groupby("qid")["distance2"].min()
+        reached = pd.DataFrame({"qid": asked["qid"].to_numpy()})
+        reached["radius"] = reached["qid"].map(enough).fillna(np.inf)
+        return pd.concat([found, reached], ignore_index=True)[[*found.columns, "radius"]]
+
+    def probe(asked: DataFrame, with_radius: bool = False) -> DataFrame:
         """Search every (query, leaf) row of ``asked`` inside its leaf."""
         per_leaf = {r["leaf"]: r["count"] for r in asked.groupBy("leaf").count().collect()}
         layout = [
-            (
-                int(leaf),
-                -(-per_leaf[leaf] // query_chunk),
-                -(-int(boxes.at[leaf, "rows"]) // point_chunk),
-            )
-            for leaf in per_leaf
+            (int(leaf), -(-n // query_chunk), -(-int(boxes.at[leaf, "rows"]) // point_chunk))
+            for leaf, n in per_leaf.items()
             if leaf in boxes.index
         ]
-        chunks = spark.createDataFrame(layout, "leaf bigint, q_chunks int, p_chunks int")
+        chunks = spark.createDataFrame(layout, "leaf bigint, q_chunks bigint, p_chunks bigint")
+        zero = F.lit(0).cast("bigint")
         asked = (
             asked.join(F.broadcast(chunks), "leaf")  # one row per leaf
-            .withColumn("q", F.pmod(F.xxhash64(*coords), F.col("q_chunks")))
-            .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("p_chunks") - 1)))
+            .withColumn("q", F.pmod("qid", "q_chunks"))
+            .withColumn("p", F.explode(F.sequence(zero, F.col("p_chunks") - 1)))
         )
         known = (
             points.join(F.broadcast(chunks), "leaf")
-            .withColumn("p", F.pmod(F.xxhash64(*coords, "neighbour_label"), F.col("p_chunks")).cast("int"))
-            .withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("q_chunks").cast("bigint") - 1)))
+            .withColumn("p", F.pmod(F.xxhash64(*coords, "neighbour_label"), F.col("p_chunks")))
+            .withColumn("q", F.explode(F.sequence(zero, F.col("q_chunks") - 1)))
         )
         keys = ["leaf", "q", "p"]
         return (
-            asked.select(*keys, g, *coords, "radius")
+            asked.select(*keys, "qid", *coords, "radius")
             .groupBy(*keys)
             .cogroup(known.select(*keys, *coords, "neighbour_label", "copies").groupBy(*keys))
-            .applyInPandas(search, found_schema)
+            .applyInPandas(
+                search_home if with_radius else search, home_schema if with_radius else found_schema
+            )
         )
 
-    def merge(found: DataFrame) -> DataFrame:
-        # at most k rows per query and visited leaf come in
-        order = W.partitionBy(g, *coords).orderBy("distance2", "neighbour_label", *nb)
-        upto = F.sum("copies").over(order.rowsBetween(W.unboundedPreceding, 0))
-        return found.withColumn("before", upto - F.col("copies")).filter(F.col("before") < k)
-
     def others(batches):
+        """Leaves, other than its own, that a query's radius reaches into."""
         for batch in batches:
             x = batch[coords].to_numpy(dtype=float)
             radius = batch["radius"].to_numpy(dtype=float).copy()
@@ -297,37 +308,36 @@ def nearest_points(
                 rows, leaf = tree.reach(x[mine], radius[mine])
                 rows = mine[rows]
                 away = leaf != batch["leaf"].to_numpy()[rows]
-                out = batch[[g, *coords]].iloc[rows[away]].reset_index(drop=True)
+                out = batch[["qid", *coords]].iloc[rows[away]].reset_index(drop=True)
                 out["radius"] = radius[rows[away]]
                 out["leaf"] = leaf[away]
                 yield out
 
-    asked_schema = ", ".join(
-        [f"`{g}` string", *[f"`{c}` double" for c in coords], "radius double", "leaf bigint"]
-    )
     home = materialise(
         queries.withColumn("leaf", route(g, *coords)).withColumn("radius", F.lit(float("inf"))),
         "routed-queries",
     )
-    first = materialise(merge(probe(home)), "near-points")
-    radius = first.groupBy(g, *coords).agg(
-        F.max("distance2").alias("far"), F.sum("copies").alias("reached")
+    first = materialise(probe(home, with_radius=True), "near-points")
+    # a query in a leaf without points has no radius yet
+    reached = first.filter(F.col("distance2").isNull()).groupBy("qid").agg(F.min("radius").alias("near"))
+    asked_schema = ", ".join(
+        ["qid bigint", *[f"`{c}` double" for c in coords], "radius double", "leaf bigint"]
     )
-    away = (
-        home.drop("radius")
-        .join(radius, [g, *coords], "left")
-        .select(
-            g,
-            *coords,
-            F.when(F.col("reached") >= k, F.col("far")).otherwise(F.lit(float("inf"))).alias("radius"),
-            "leaf",
-        )
-        .mapInPandas(others, asked_schema)
+    away = materialise(
+        home.join(reached, "qid", "left")
+        .select(g, "qid", *coords, F.coalesce("near", "radius").alias("radius"), "leaf")
+        .mapInPandas(others, asked_schema),
+        "far-queries",
+    )
+    found = first.filter(F.col("distance2").isNotNull()).drop("radius").unionByName(probe(away))
+    # at most k rows per query and visited leaf come in
+    order = W.partitionBy("qid").orderBy("distance2", "neighbour_label", *nb)
+    upto = F.sum("copies").over(order.rowsBetween(W.unboundedPreceding, 0))
+    kept = found.withColumn("before", upto - F.col("copies")).filter(F.col("before") < k)
+    named = kept.join(queries, "qid")  # one row per query
+    return named.select(
+        *([g] if group else []), "qid", *coords, "distance2", "neighbour_label", *nb, "copies", "before"
     )
-    away = materialise(away, "far-queries")
-    second = probe(away)
-    merged = merge(first.drop("before").unionByName(second))
-    return merged if group else merged.drop(g)
 
 
 def knn_predict(
@@ -342,9 +352,9 @@ def knn_predict(
     """Majority label of the ``k`` nearest training rows; a tie takes the smallest."""
     near = nearest_points(test, train, coords, k, label, **layout)
     used = F.least(F.col("copies"), F.lit(k) - F.col("before"))
-    votes = near.groupBy(*coords, "neighbour_label").agg(F.sum(used).alias("votes"))
-    winner = votes.groupBy(*coords).agg(
+    votes = near.groupBy("qid", *coords, "neighbour_label").agg(F.sum(used).alias("votes"))
+    winner = votes.groupBy("qid", *coords).agg(
         F.min(F.struct(-F.col("votes"), F.col("neighbour_label").alias("l")))["l"].alias(name)
     )
     keyed = test.withColumns({c: F.col(c).cast("double") + F.lit(0.0) for c in coords})
-    return lookup_join(keyed, winner, coords)
+    return lookup_join(keyed, winner.drop("qid"), coords)

@@ -649,8 +649,8 @@ def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
         "svm-input",
     )
     train, test = c.filter("split = 'train'"), c.filter("split = 'test'")
-    svm = models.kernel_svm(train.count(), COORDS, models.scale_gamma(train, COORDS), iterations=20)
-    return svm.fit(train).transform(test).select("udi", "label", "prediction")
+    svm = models.fit_kernel_svm(train, COORDS, iterations=20)
+    return svm.transform(test).select("udi", "label", "prediction")
 
 
 @query

@@ -26,25 +26,26 @@ WITH b AS (
          (l_returnflag = 'R' AND l_linestatus = 'F') AS at_risk
   FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 ), f AS (
-  SELECT b.*, CASE WHEN NOT at_risk THEN 'No Failure'
-     WHEN tool_wear*torque10 > 110000 THEN 'Overstrain Failure'
-     WHEN torque10*rotational_speed < 334220 OR torque10*rotational_speed > 859430 THEN 'Power Failure'
-     WHEN gap10 < 95 AND rotational_speed < 1800 THEN 'Heat Dissipation Failure'
-     WHEN tool_wear >= 200 THEN 'Tool Wear Failure'
-     WHEN udi % 7 = 0 THEN 'Random Failures'
-     ELSE 'No Failure' END AS failure_type
+  SELECT b.*, CASE WHEN NOT at_risk THEN 0
+     WHEN tool_wear*torque10 > 110000 THEN 3
+     WHEN torque10*rotational_speed < 334220 OR torque10*rotational_speed > 859430 THEN 2
+     WHEN gap10 < 95 AND rotational_speed < 1800 THEN 1
+     WHEN tool_wear >= 200 THEN 4
+     WHEN udi % 7 = 0 THEN 5
+     ELSE 0 END AS code
   FROM b
 )
-SELECT udi, failure_type,
-  CASE WHEN failure_type = 'No Failure' THEN 0 ELSE 1 END AS target,
+SELECT udi,
+  split_part('No Failure|Heat Dissipation Failure|Power Failure|Overstrain Failure|Tool Wear Failure|Random Failures',
+    '|', code + 1) AS failure_type,
+  CASE WHEN code = 0 THEN 0 ELSE 1 END AS target,
   CAST(air10 + gap10 AS DOUBLE)/10 AS process_temperature,
   CASE WHEN l_orderkey % 199 = 0 THEN NULL ELSE concat(type, CAST(14000 + p_partkey AS STRING)) END AS product_id,
   rotational_speed, CAST(air10 AS DOUBLE)/10 AS air_temperature, tool_wear,
   CAST(torque10 AS DOUBLE)/10 AS torque, type,
   substr(CAST(l_shipdate AS STRING),1,10) AS date,
   __DOW__ AS day_of_week,
-  CAST(CASE failure_type WHEN 'No Failure' THEN 0 WHEN 'Heat Dissipation Failure' THEN 1 WHEN 'Power Failure' THEN 2
-       WHEN 'Overstrain Failure' THEN 3 WHEN 'Tool Wear Failure' THEN 4 ELSE 5 END AS DOUBLE) AS failure_type_id,
+  CAST(code AS DOUBLE) AS failure_type_id,
   p_brand AS manufacturer, p_type AS product_category, p_name AS product_name,
   CAST(quarter(l_shipdate) AS INT) AS quarter,
   CASE WHEN l_orderkey % 50 = 0 THEN 'n/a' WHEN l_linenumber = 7 THEN replace(CAST(l_shipdate AS STRING),' ','T')
@@ -92,11 +93,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table with fewer files than cores out over the cores.
+
+    A table of many files already feeds every core and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def readings_with_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 reading columns plus the four that give the order of arrival."""
     return spark.sql(
         READINGS_SQL.replace("__DOW__", SPARK_DOW),
-        lineitem=table(spark, sf_dir, "lineitem"),
+        lineitem=spread(table(spark, sf_dir, "lineitem")),
         part=table(spark, sf_dir, "part"),
     )
 
