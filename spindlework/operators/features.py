@@ -157,6 +157,8 @@ def fit_features(
                         )
                     )
                     encoded = f"{encoded}_kept"
+                else:
+                    encoded = None
         if scale == "zscore" and categorical == "one_hot_all":
             stages.append(
                 ElementwiseProduct(
@@ -166,7 +168,7 @@ def fit_features(
                 )
             )
             encoded = f"{encoded}_scaled"
-        parts = [*parts, encoded]
+        parts = [*parts, *([encoded] if encoded else [])]
     elif categorical != "none":
         raise ValueError(f"unknown categorical form {categorical!r}")
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))

@@ -94,12 +94,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a table with fewer files than cores out over the cores.
+    """Deal the rows of a table with fewer splits than cores out over the cores.
 
-    A table of many files already feeds every core and is left as it is.
+    A large table already feeds every core and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def readings_with_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
