@@ -73,6 +73,11 @@ def _rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     )
 
 
+def _stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as a stored table, for jobs that scan them several times."""
+    return materialise(fixtures.machine_readings(spark, sf_dir), "readings")
+
+
 # --- KPIs and star schema -------------------------------------------------------
 
 _readings("defect_rate", kpi.defect_rate)
@@ -88,13 +93,13 @@ _readings("date_dim", star.date_dim)
 
 @query
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.machine_readings(spark, sf_dir)
+    m = _stored_readings(spark, sf_dir)
     return star.fact_table(kpi.with_kpis(m), star.date_dim(m))
 
 
 @query
 def fact_table_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.machine_readings(spark, sf_dir)
+    m = _stored_readings(spark, sf_dir)
     return star.fact_table(kpi.with_kpis(m), star.date_dim(m), "strict")
 
 
@@ -110,7 +115,7 @@ def date_id_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.machine_readings(spark, sf_dir)
+    m = _stored_readings(spark, sf_dir)
     dates = materialise(star.date_dim(m), "date-dim")
     fact = star.fact_table(kpi.with_kpis(m), dates)
     return star.star_report(fact, star.failure_dim(m), star.type_dim(m), star.product_dim(m), dates)
@@ -119,7 +124,7 @@ def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     write, read = warehouse.parquet_target(spark, new_path(spark, "warehouse"))
-    warehouse.load_star(fixtures.machine_readings(spark, sf_dir), write, read)
+    warehouse.load_star(_stored_readings(spark, sf_dir), write, read)
     counts = [
         read(t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
         for t in warehouse.TABLES
@@ -261,7 +266,7 @@ _readings("peek", lambda m: sampling.peek(m, 100, READING_COLUMNS))
 
 @query
 def enrich_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.machine_readings(spark, sf_dir)
+    m = _stored_readings(spark, sf_dir)
     narrow = m.select(*RAW_COLUMNS, "timestamp")
     return records.enrich_readings(
         narrow, star.type_dim(m), star.failure_dim(m), star.product_dim(m).filter("product_id IS NOT NULL")
@@ -531,7 +536,7 @@ def scale_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feature_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All preparation stages fitted on the train rows, applied to all rows."""
-    m = _split_readings(spark, sf_dir)
+    m = materialise(_split_readings(spark, sf_dir), "split-readings")
     model = features.fit_features(
         m.filter("split = 'train'"), categorical="one_hot_all", scale="zscore", label_order="text"
     )
@@ -545,8 +550,8 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.readings_with_arrival(spark, sf_dir)
-    return splits.with_exact_split(m.select(SPLIT_KEYS), SPLIT_KEYS)
+    keys = materialise(fixtures.readings_with_arrival(spark, sf_dir).select(SPLIT_KEYS), "split-keys")
+    return splits.with_exact_split(keys, SPLIT_KEYS)
 
 
 @query
@@ -561,7 +566,7 @@ GRID = 10_000  # coordinates are whole ten-thousandths, so distances are exact
 
 def _coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaled features of every reading, fitted on the train rows."""
-    m = _split_readings(spark, sf_dir)
+    m = materialise(_split_readings(spark, sf_dir), "split-readings")
     train = m.filter("split = 'train'")
     z = features.fit_zscore(train, NUMERIC_FEATURES)
     slots = features.level_scale(train, "type")
