@@ -1,4 +1,4 @@
-"""Classifiers with the reference settings as defaults, and whole fitted pipelines.
+"""Classifiers with their full settings as defaults, and whole fitted pipelines.
 
 Regularisation given as ``C`` (inverse strength over a sum of losses) becomes
 ``regParam = 1 / (C * rows)``, since Spark averages the loss over rows.
@@ -17,6 +17,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -175,8 +176,6 @@ def load_model(path: str) -> PipelineModel:
 
 
 def prediction_listing(scored: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     return (
         scored.select(*order_by, vector_to_array("features").alias("features"), "label", "prediction")
         .orderBy(*order_by)

@@ -126,7 +126,6 @@ _PAIRS = " UNION ALL ".join(
     for a in NUMERIC_FEATURES
     for b in NUMERIC_FEATURES
 )
-_TYPES = {"integer": "int"}
 _PROFILE = " UNION ALL ".join(
     f"SELECT CAST({i} AS INT) AS position, '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type,"
     " (SELECT count(*) FROM machine_readings) AS records"
@@ -170,7 +169,7 @@ scores AS (
 )"""
 
 
-def _binary(prediction: str, source: str = "predictions") -> str:
+def _binary(prediction: str) -> str:
     tp = f"sum(CASE WHEN label_bin = 1 AND {prediction} = 1 THEN 1 ELSE 0 END)"
     pos = "sum(CASE WHEN label_bin = 1 THEN 1 ELSE 0 END)"
     said = f"sum(CASE WHEN {prediction} = 1 THEN 1 ELSE 0 END)"

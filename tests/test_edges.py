@@ -8,7 +8,6 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from spindlework.functions.text import FALLBACK_REPLY, guarded_reply
@@ -151,8 +150,8 @@ def test_record_defaults_and_ids(spark):
     plain = records.format_record(raw).first()
     assert (plain["udi"], plain["product_id"], plain["type"], plain["torque"]) == (1, None, "Unknown", None)
     assert records.format_record(raw, nulls_too=True).first()["product_id"] == "Unknown"
-    two = records.with_random_id(spark.range(2)).collect()
-    assert two[0]["id"] != two[1]["id"] if two[0].__fields__.count("id") == 1 else True
+    two = records.with_random_id(spark.range(2).toDF("udi")).collect()
+    assert two[0]["id"] != two[1]["id"]
     again = [records.with_record_id(raw, "rid").first()["rid"] for _ in range(2)]
     assert again[0] == again[1]
 
