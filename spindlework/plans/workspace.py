@@ -8,12 +8,15 @@ size for its broadcast choice.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -41,3 +44,16 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once an application, so that the functions their
+    Python workers run can be imported wherever the package is not installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        base = f"{tempfile.mkdtemp(prefix='ship-')}/{package.name}"
+        if package.is_dir():  # not when it runs from an archive itself
+            archive = shutil.make_archive(base, "zip", package.parent, package.name)
+            spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
