@@ -133,7 +133,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     span = "array<struct<start: int, stop: int, first_doc_id: bigint, first_start: int>>"
     again = (
-        rows.join(shared, ["h", "c"])
+        rows.join(store(shared, "shared-units"), ["h", "c"])  # a hot unit can be split
         .filter(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "t")
         .agg(

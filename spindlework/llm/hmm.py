@@ -6,9 +6,9 @@ its smoothed relative frequency, with one part left for unknown words, so the mo
 distribution over the same events as the unigram base.
 
 Jobs.  Texts become blocks of about ``BLOCK_BYTES`` with numbers local to the block and the
-block's own word list.  Word lists (a row for each word and block, not for each token) are
-counted and joined with the totals, so no vocabulary is broadcast or gathered anywhere; each
-block gets back the counts and classes of its own words.  Every Baum-Welch round is one pass
+block's own word list.  Word lists (a row for each word and block, not for each token) meet
+by word to be counted, so no vocabulary is broadcast or gathered anywhere, and go back to
+their blocks with counts and classes.  Every Baum-Welch round is one pass
 over the blocks: expected counts are summed in the task, then by Spark for each class; only
 states x classes figures reach the driver.
 
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spindlework.llm.common import as_bytes, fold, store
@@ -36,7 +37,7 @@ END_CLASSES = 1024  # classes by ending
 CLASSES = OWN_CLASSES + END_CLASSES + 1  # and that of the text's end
 BLOCK_BYTES = 8 << 20
 STRETCH = 128
-TOGETHER = 4096  # stretches computed side by side
+TOGETHER = 2048  # stretches computed side by side
 
 
 @dataclass
@@ -59,8 +60,8 @@ def blocks(docs: DataFrame) -> DataFrame:
             tokens, sizes = [], []
             for line in lines:
                 words = line.lower().split()
-                for w in set(words).difference(number):
-                    number[w] = len(number)
+                for w in dict.fromkeys(words):  # early, so mostly frequent, words get small numbers
+                    number.setdefault(w, len(number))
                 tokens.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
                 tokens.append(np.zeros(1, np.uint32))
                 sizes.append(len(words) + 1)
@@ -71,7 +72,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             values = [docs, held, sizes, None, [w.decode("utf-8") for w in number], counts]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([ids.tobytes()], pa.binary())
+                    pa.array([planes(ids)], pa.binary())
                     if kind is None
                     else pa.array([list(value)], pa.list_(kind))
                     for kind, value in zip(kinds, values)
@@ -99,25 +100,48 @@ def blocks(docs: DataFrame) -> DataFrame:
     return store(made.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
-def vocabulary(made: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(word, c, cls) of all words, and (cls, n, v): tokens and words seen in each class."""
-    words = made.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(
-        F.col("w.words").alias("word"), F.col("w.counts").alias("n")
+def counted_words(made: DataFrame) -> DataFrame:
+    """(block, at, word, c, first): the words of each block with their counts in the whole
+    corpus; ``first`` marks one row of each word.  A word has one row in a block at most."""
+    listed = made.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
+    whole = W.partitionBy("word")
+    return store(
+        listed.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+        .withColumn("c", F.sum("n").over(whole))
+        .withColumn("first", F.row_number().over(whole.orderBy("block")) == 1)
+        .drop("n"),
+        "words",
+    )
+
+
+def with_classes(words: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """``words`` with cls in place of word, and tokens and words seen in each class."""
+    frequent = (
+        words.filter("first AND c > 0 AND word <> ''").orderBy(F.desc("c"), "word").limit(OWN_CLASSES)
     )
-    counted = store(words.groupBy("word").agg(F.sum("n").alias("c")), "words")
-    frequent = counted.filter("c > 0 AND word <> ''").orderBy(F.desc("c"), "word").limit(OWN_CLASSES)
     # at most OWN_CLASSES rows: numbered on the driver and broadcast
-    own = counted.sparkSession.createDataFrame(
+    own = words.sparkSession.createDataFrame(
         [(r.word, i) for i, r in enumerate(frequent.collect())], "word string, own int"
     )
     ending = F.substring(F.regexp_replace("word", r"[\p{Punct}]+$", ""), -2, 2)
     by_ending = F.pmod(F.xxhash64(ending), F.lit(END_CLASSES)).cast("int") + OWN_CLASSES
     cls = F.when(F.col("word") == "", CLASSES - 1).otherwise(F.coalesce("own", by_ending))
-    classed = counted.join(F.broadcast(own), "word", "left").select("word", "c", cls.alias("cls"))
-    totals = classed.filter("c > 0").groupBy("cls").agg(
-        F.sum("c").alias("n"), F.count("*").alias("v")
-    )
-    return classed, totals
+    classed = words.join(F.broadcast(own), "word", "left").withColumn("cls", cls)
+    totals = np.zeros((CLASSES, 2))
+    seen = classed.filter("first AND c > 0").groupBy("cls")
+    for r in seen.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
+        totals[r.cls] = r.n, r.v
+    return classed.select("block", "at", "c", "cls"), totals
+
+
+def planes(ids: np.ndarray) -> bytes:
+    """32-bit numbers with their first bytes in front, then the second ones and so on: most
+    numbers are small, so the last planes are zeros and take no room when compressed."""
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def code(made: DataFrame, classed: DataFrame, totals: np.ndarray) -> DataFrame:
@@ -126,11 +150,8 @@ def code(made: DataFrame, classed: DataFrame, totals: np.ndarray) -> DataFrame:
     base: the unigram score of each text; within: the part of its words inside their classes.
     ``totals``: tokens and words of each class, CLASSES x 2.
     """
-    listed = made.select("block", F.posexplode("words").alias("at", "word"))
-    own = (
-        listed.join(classed, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("at", "c", "cls")).alias("own"))  # a block's words
+    own = classed.groupBy("block").agg(
+        F.collect_list(F.struct("at", "c", "cls")).alias("own")  # a block's words
     )
     n, v = totals.sum(0)
 
@@ -147,7 +168,7 @@ def code(made: DataFrame, classed: DataFrame, totals: np.ndarray) -> DataFrame:
                 inside[shared] = np.log10(
                     (count[shared] + 1) / (totals[kind[shared]].sum(1) + 1)
                 )
-                ids = np.frombuffer(batch.column("ids")[i].as_py(), np.uint32)
+                ids = from_planes(batch.column("ids")[i].as_py())
                 sizes = batch.column("sizes")[i].values.to_numpy()
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 sums = [np.add.reduceat(x[ids], starts) for x in (count > 0, base, inside)]
@@ -344,11 +365,7 @@ def language_scores(
         F.col("text").cast("string").alias("text"),
     )
     made = blocks(own)
-    classed, by_class = vocabulary(made)
-    classed = store(classed, "classes")
-    totals = np.zeros((CLASSES, 2))
-    for r in by_class.collect():  # CLASSES rows at most
-        totals[r.cls] = r.n, r.v
+    classed, totals = with_classes(counted_words(made))
     coded = code(made, classed, totals)
     model, _ = train(coded, totals, states, rounds)
     return score(coded, model, int(totals[:, 0].sum()))

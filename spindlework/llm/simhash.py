@@ -183,7 +183,7 @@ def near_fingerprints(fps: DataFrame, limit: int = 4, split: int = SPLIT) -> Dat
     own = store(keys(fps), "fingerprint-keys")
     large = own.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > split)
     blocks = large.select("key", F.ceil(F.col("n") / split).cast("int").alias("blocks"))
-    dealt = own.join(blocks, "key", "left").withColumn(
+    dealt = own.join(store(blocks, "large-keys"), "key", "left").withColumn(
         "block", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("fp"), F.col("blocks")))
     )
     # pair of blocks (low, high): a row takes part in every pair that holds its block

@@ -352,7 +352,10 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT) -> DataFrame:
     each = single.select("rid", F.explode(F.arrays_zip("h", "p")).alias("a")).select(
         "rid", F.col("a.h").alias("h"), F.col("a.p").alias("p")
     )
-    shared = each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    # written first, so that adaptive execution can split a hot hash in the join
+    shared = store(
+        each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "shared-leads"
+    )
     places = each.join(shared, "h").groupBy("rid").agg(F.collect_list("p").alias("ps"))
     wanted = places.join(heads.select("rid", "doc_id", "sha"), "rid").select(
         "rid", "ps", F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")
