@@ -131,9 +131,13 @@ def train(
 
 
 def predict(
-    docs: DataFrame, languages: list[str], prototypes: np.ndarray, seed: int = 7
+    docs: DataFrame,
+    languages: list[str],
+    prototypes: np.ndarray,
+    seed: int = 7,
+    added: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """``docs`` (any columns, ``text`` among them) with lang_pred and score added.
+    """``docs`` (any columns, ``text`` among them) with the language and its score added.
 
     ``und`` with score 0: null text, a text without a letter, or nothing learned.  Ties go
     to the language first in order.  The score is the cosine, negative ones as 0.
@@ -163,11 +167,11 @@ def predict(
                         pa.array([languages[b] if k else "und" for b, k in zip(best, named)]),
                         pa.array(np.where(named, score, 0.0).astype(float), pa.float64()),
                     ],
-                    names=[*part.schema.names, "lang_pred", "score"],
+                    names=[*part.schema.names, *added],
                 )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(compare, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(compare, f"{fields}, {added[0]} string, {added[1]} double")
 
 
 def language_ids(docs: DataFrame, folds: int = 3, held_fold: int = 1) -> DataFrame:

@@ -245,12 +245,13 @@ def one_of_each(docs: DataFrame, limit: int = 4, size: int = 4) -> DataFrame:
         prints.join(known, "fp")
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("doc_id", "root")
-        .agg(F.count("*").alias("n"), F.min("fp").alias("fp")),
+        .agg(F.min("fp").alias("fp")),
         "chosen",
     )
-    # ids that stand for one row go by a join on the id; the others are looked at in full
-    single = chosen.groupBy("doc_id").agg(F.sum("n").alias("n")).filter("n = 1")
-    single = single.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
+    # ids of one row go by a join on the id; those of several are looked at in full
+    once = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    once = once.filter("n = 1").select("doc_id")
+    single = store(chosen.join(once, "doc_id").select(F.col("doc_id").alias("_id")), "single-ids")
     out = docs.join(single, F.col("doc_id") == F.col("_id"), "left_semi")
     doubled = chosen.join(single, F.col("doc_id") == F.col("_id"), "left_anti")
     if doubled.limit(1).count() == 0:
