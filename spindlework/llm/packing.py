@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from spindlework.llm.common import as_bytes, slices, store
 
 GROUP = 32_768
-HELD_WORDS = 600_000  # words a worker keeps; later ones are encoded each time
+HELD_WORDS = 400_000  # words a worker keeps; later ones are encoded each time
 PLAIN = re.compile("[a-zß-öø-ÿ]+")  # lower-case letters that stay as they are
 STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
 
