@@ -35,9 +35,9 @@ ROUNDS = 5
 OWN_CLASSES = 2048  # most frequent words
 END_CLASSES = 1024  # classes by ending
 CLASSES = OWN_CLASSES + END_CLASSES + 1  # and that of the text's end
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 STRETCH = 128
-TOGETHER = 2048  # stretches computed side by side
+TOGETHER = 1024  # stretches computed side by side
 
 
 @dataclass
