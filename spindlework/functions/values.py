@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 
 def canonical_timestamp(column: str | Column) -> Column:
-    """Timestamp text in Spark's canonical form, NULL when it is no timestamp."""
+    """Timestamp text in Spark's canonical form, NULL when it is no timestamp.
+
+    Wall-clock text is read without a zone; text that names an offset or zone is turned
+    into the session's zone.
+    """
     column = F.col(column) if isinstance(column, str) else column
-    return column.try_cast("timestamp").cast("string")
+    zoned = column.cast("string").rlike(r"(Z|[+-]\d{1,2}:\d{2}|[A-Za-z]{3,}.*)\s*$")
+    return F.when(zoned, column.try_cast("timestamp").cast("string")).otherwise(
+        column.try_cast("timestamp_ntz").cast("string")
+    )
 
 
 def hex_digest(*columns: str | Column, seed: int | str = "") -> Column:

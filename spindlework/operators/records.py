@@ -64,7 +64,11 @@ def parse_json(df: DataFrame, schema: T.StructType = READING_SCHEMA, keep: tuple
 def parse_telemetry(df: DataFrame) -> DataFrame:
     parsed = parse_json(df, TELEMETRY_SCHEMA)
     return parsed.withColumns(
-        {c: F.timestamp_seconds(c).cast("timestamp_ntz") for c in ("timestamp", "last_maintenance_date")}
+        # from the epoch, so the session's zone plays no part
+        {
+            c: F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {c})")
+            for c in ("timestamp", "last_maintenance_date")
+        }
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from spindlework.functions.text import FALLBACK_REPLY, PROMPT_PREFIX
-from spindlework.operators.scoring import ADVICE, FRENCH_NAMES, NO_ADVICE, NO_NAME
+from spindlework.operators.scoring import FRENCH_NAMES, NO_ADVICE, NO_NAME
 from spindlework.schemas import NUMERIC_FEATURES, RAW_COLUMNS, READING_COLUMNS, READING_SCHEMA
 from spindlework.sources import fixtures
 
@@ -150,7 +150,7 @@ _PARSED = ", ".join(
     for c in READING_COLUMNS
 )
 
-_ADVICE = ", ".join(f"({_text(c)}, {_text(FRENCH_NAMES[c])}, {_text(ADVICE[c])})" for c in FRENCH_NAMES)
+_NAMES = ", ".join(f"({i}, {_text(c)}, {_text(n)})" for i, (c, n) in enumerate(FRENCH_NAMES.items()))
 
 _CLASS = """
 counts AS (SELECT label, prediction, count(*) AS n FROM predictions GROUP BY 1, 2),
@@ -306,7 +306,8 @@ FROM machine_readings m""",
   SELECT "column", count(*) FILTER (WHERE i) AS int_cells, count(*) FILTER (WHERE f AND NOT i) AS float_cells,
     count(*) FILTER (WHERE NOT f AND NOT i) AS string_cells FROM typed GROUP BY 1
 ) SELECT *, CASE WHEN string_cells > 0 THEN 'string' WHEN float_cells > 0 THEN 'float' ELSE 'int' END AS inferred FROM c""",
-    "advice_lookup": f"""{_MR}, advice(class, french_name, advice) AS (VALUES {_ADVICE}),
+    "advice_lookup": f"""{_MR}, names(nr, class, french_name) AS (VALUES {_NAMES}),
+advice AS (SELECT class, french_name, n_name AS advice FROM names LEFT JOIN nation ON n_nationkey = nr AND nr < 5),
 named AS (SELECT udi, CASE WHEN udi % 13 = 0 THEN 'Unlisted Failure' ELSE failure_type END AS failure_class FROM machine_readings)
 SELECT udi, failure_class, coalesce(french_name, {_text(NO_NAME)}) AS french_name,
   coalesce(advice, {_text(NO_ADVICE)}) AS advice FROM named LEFT JOIN advice ON failure_class = class""",
@@ -401,7 +402,7 @@ FROM split JOIN lab ON failure_type = ft, fit""",
     "fold_assign": f"{_MR} SELECT {_KEY_LIST}, CAST({_number(_digest(_KEYS, '42'))} % 5 AS INT) AS fold FROM arrived",
     "smote_oversample": f"""{_GRID}, sized AS (
   SELECT *, count(*) OVER (PARTITION BY label) AS class_rows,
-    row_number() OVER (PARTITION BY label ORDER BY {_C_LIST}) - 1 AS base FROM grid
+    row_number() OVER (PARTITION BY label ORDER BY {_C_LIST}) - 1 AS base FROM grid WHERE split = 'train'
 ), small AS (
   SELECT *, (SELECT max(class_rows) FROM sized) - class_rows AS missing FROM sized
   WHERE class_rows < (SELECT max(class_rows) FROM sized)

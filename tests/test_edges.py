@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from spindlework.functions.text import FALLBACK_REPLY, guarded_reply
-from spindlework.functions.values import cell_type, percent_text
+from spindlework.functions.values import canonical_timestamp, cell_type, percent_text
 from spindlework.operators import (
     evaluate,
     explore,
@@ -212,8 +212,10 @@ def test_guarded_reply(spark):
 
 def test_advice_default(spark):
     df = spark.createDataFrame([("Power Failure",), ("Other",), (None,)], "c string")
-    got = {r["c"]: (r["french_name"], r["advice"]) for r in scoring.with_advice(df, "c").collect()}
-    assert got["Power Failure"][0] == "Panne d'Alimentation"
+    table = spark.createDataFrame([("Power Failure", "call"), ("Other", "no such class")], "class string, advice string")
+    got = {r["c"]: (r["french_name"], r["advice"]) for r in scoring.with_advice(df, "c", table).collect()}
+    assert got["Power Failure"] == ("Panne d'Alimentation", "call")
+    assert {r["advice"] for r in scoring.with_advice(df, "c").collect()} == {scoring.NO_ADVICE}
     assert got["Other"] == got[None] == (scoring.NO_NAME, scoring.NO_ADVICE)
 
 
@@ -390,3 +392,17 @@ def test_single_type_and_unknown_options(spark):
     for bad in ({"scale": "log"}, {"categorical": "hash"}):
         with pytest.raises(ValueError):
             features.fit_features(df, **bad)
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    messages = spark.createDataFrame([('{"timestamp": 1704067200}',)], "value string")
+    text = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-03-10T02:30:00Z",), ("n/a",)], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        at = records.parse_telemetry(messages).select(F.col("timestamp").cast("string")).first()[0]
+        got = [r[0] for r in text.select(canonical_timestamp("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert at == "2024-01-01 00:00:00"
+    assert got == ["2024-03-10 02:30:00", "2024-03-09 21:30:00", None]
