@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spindlework.llm.common import as_bytes, fold, store
+from spindlework.llm.common import as_bytes, fold, slices, store
 
 STATES = 8
 ROUNDS = 5
@@ -81,9 +81,9 @@ def blocks(docs: DataFrame) -> DataFrame:
             )
 
         own, size = [], 0
-        for batch in batches:
-            ids, held = (batch.column(c).to_pylist() for c in ("doc_id", "held_out"))
-            for row in zip(ids, held, as_bytes(batch, "text")):
+        for part in (s for batch in batches for s in slices(batch, "text", BLOCK_BYTES)):
+            ids, held = (part.column(c).to_pylist() for c in ("doc_id", "held_out"))
+            for row in zip(ids, held, as_bytes(part, "text")):
                 own.append(row)
                 size += len(row[2])
                 if size >= BLOCK_BYTES:
