@@ -25,6 +25,13 @@ def hex_digest(*columns: str | Column, seed: int | str = "") -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
+def record_digest(*columns: str | Column) -> Column:
+    """md5 of the columns' text, each behind its length, so that only equal records agree."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    marked = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("~")) for p in parts]
+    return F.md5(F.concat(*marked))
+
+
 def hex_bucket(digest: Column, buckets: int) -> Column:
     """0..buckets-1 from the first eight digits of a hex digest."""
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets).cast("int")

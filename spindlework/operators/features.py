@@ -122,7 +122,7 @@ def fit_features(
     parts: list[str] = list(numeric)
     if scale == "std":
         stages += [
-            VectorAssembler(inputCols=numeric, outputCol="numeric_vector"),
+            VectorAssembler(inputCols=numeric, outputCol="numeric_vector", handleInvalid="keep"),
             StandardScaler(inputCol="numeric_vector", outputCol="numeric_scaled"),
         ]
         parts = ["numeric_scaled"]
@@ -171,7 +171,8 @@ def fit_features(
         parts = [*parts, *([encoded] if encoded else [])]
     elif categorical != "none":
         raise ValueError(f"unknown categorical form {categorical!r}")
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
+    # a missing measure becomes NaN, so that a row with one does not end the job
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages).fit(train)
 
 

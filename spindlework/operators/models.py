@@ -23,8 +23,15 @@ from pyspark.sql import functions as F
 
 from spindlework.operators.features import fit_features, index_to_text, labels_of
 from spindlework.plans.workspace import materialise, work_dir
+from spindlework.schemas import NUMERIC_FEATURES
 
-MAX_TREE_DEPTH = 30  # Spark's limit; deeper settings are cut to it
+MAX_TREE_DEPTH = 30  # Spark's limit
+
+
+def tree_depth(depth: int) -> int:
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"depth {depth} is beyond Spark's limit of {MAX_TREE_DEPTH}")
+    return depth
 
 
 def random_forest(
@@ -34,7 +41,7 @@ def random_forest(
         labelCol="label",
         featuresCol="features",
         numTrees=trees,
-        maxDepth=min(depth, MAX_TREE_DEPTH),
+        maxDepth=tree_depth(depth),
         minInstancesPerNode=min_instances,
         minInfoGain=min_gain,
         seed=seed,
@@ -81,7 +88,7 @@ def boosted_trees(
         featuresCol="features",
         maxIter=trees,
         stepSize=rate,
-        maxDepth=min(depth, MAX_TREE_DEPTH),
+        maxDepth=tree_depth(depth),
         minInstancesPerNode=min_instances,
         subsamplingRate=subsample,
         seed=seed,
@@ -158,12 +165,20 @@ def fit_model(
     train: DataFrame, estimator: Estimator, decode: str | None = "predicted_class", **features
 ) -> PipelineModel:
     """Preparation, classifier and class text as one model that can be saved whole."""
+    """Rows that lack a measure, the category or the label teach nothing and are left out."""
+    label = features.get("label", "failure_type")
+    needed = [*features.get("numeric", NUMERIC_FEATURES), features.get("category", "type"), label or "label"]
+    train = train.na.drop(subset=needed)
     prepare = fit_features(train, **features)
     work_dir(train.sparkSession)  # sets the checkpoint folder long boosting runs use
-    ready = materialise(prepare.transform(train).select("features", "label"), "training")
+    known = labels_of(prepare) if label is not None else []
+    target = F.col("label")
+    if len(known) > 1:  # classifiers learn the classes that occur, not the slot for unseen ones
+        target = target.alias("label", metadata={"ml_attr": {"type": "nominal", "vals": known}})
+    ready = materialise(prepare.transform(train).select("features", target), "training")
     stages = [*prepare.stages, estimator.fit(ready)]
-    if decode and features.get("label", "failure_type") is not None:
-        stages.append(index_to_text("prediction", decode, labels_of(prepare)))
+    if decode and known:
+        stages.append(index_to_text("prediction", decode, known))
     return PipelineModel(stages=stages)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlework.functions.values import canonical_timestamp, hex_digest
+from spindlework.functions.values import canonical_timestamp, record_digest
 from spindlework.operators.joins import lookup_join
 from spindlework.schemas import (
     ABSENT_DEFAULTS,
@@ -46,8 +46,8 @@ def with_random_id(df: DataFrame, name: str = "id") -> DataFrame:
 
 
 def with_record_id(df: DataFrame, name: str = "id") -> DataFrame:
-    """Id derived from the record, the same at every replay."""
-    return df.select(hex_digest(*df.columns).alias(name), *df.columns)
+    """Id derived from the record, the same at every replay; NULL and empty text differ."""
+    return df.select(record_digest(*df.columns).alias(name), *df.columns)
 
 
 def encode_json(df: DataFrame) -> DataFrame:

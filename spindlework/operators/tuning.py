@@ -10,13 +10,14 @@ from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 
-from spindlework.operators.models import MAX_TREE_DEPTH
+from spindlework.operators.models import tree_depth
 from spindlework.plans.workspace import materialise
 
 # The searched spaces.  A pair is a range [low, high), a list a choice.
+# Depths end at Spark's limit of 30.
 FOREST_SPACE = {
     "numTrees": (50, 300),
-    "maxDepth": [10, 20, 30, 40, 50],
+    "maxDepth": [10, 20, 30],
     "minInstancesPerNode": (1, 10),
 }
 BOOSTING_SPACE = {
@@ -41,7 +42,7 @@ def draw_settings(space: dict, draws: int = DRAWS, seed: int = 42) -> list[dict]
     settings = [{name: one(values) for name, values in space.items()} for _ in range(draws)]
     for s in settings:
         if "maxDepth" in s:
-            s["maxDepth"] = min(s["maxDepth"], MAX_TREE_DEPTH)
+            tree_depth(s["maxDepth"])
     return settings
 
 

@@ -75,6 +75,11 @@ def _digest(columns: list[str], seed: str = "") -> str:
     return f"md5(concat_ws('|', {parts}, '{seed}'))"
 
 
+def _record_digest(columns: list[str]) -> str:
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    return "md5(concat(" + ", ".join(f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts) + "))"
+
+
 def _number(digest: str, start: int = 1) -> str:
     return f"CAST('0x' || substr({digest}, {start}, 8) AS BIGINT)"
 
@@ -93,6 +98,12 @@ slot AS (
   SELECT type AS slot_type, 1 / sqrt(p * (1 - p)) AS size FROM (
     SELECT type, count(*) / sum(count(*)) OVER () AS p FROM split WHERE split = 'train' GROUP BY type)
 )"""
+# a decision tree finds thresholds of few-valued measures exactly, so it answers with the class
+_GRADED = f"""{_MR}, graded AS ({fixtures.GRADED_SQL.format(arrived="arrived")}),
+parts AS (
+  SELECT *, CASE WHEN substr({_digest(_KEYS, "42")}, 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split
+  FROM graded
+)"""
 _LEVELS = ["H", "L", "M"]
 _GRID_COLS = ",\n  ".join(
     [
@@ -272,7 +283,7 @@ UNION ALL SELECT {", ".join("NULL" for _ in RAW_COLUMNS)}, true FROM machine_rea
         name: f"{_MR} SELECT * FROM machine_readings"
         for name in ("keyed_scan", "warehouse_write", "ensure_table", "stream_ingest", "stream_available_now")
     },
-    "json_encode_sink": _ten(f", {_digest(RAW_COLUMNS)} AS id"),
+    "json_encode_sink": _ten(f", {_record_digest(RAW_COLUMNS)} AS id"),
     "json_parse": f"{_MR} SELECT {_PARSED} FROM machine_readings",
     "reject_split": f"""{_MR}, parsed AS (SELECT {_PARSED} FROM machine_readings)
 SELECT udi IS NULL AS rejected, failure_type, count(*) AS n, min(udi) AS min_udi, max(udi) AS max_udi
@@ -281,7 +292,7 @@ FROM parsed GROUP BY 1, 2""",
     "format_defaults": f"""{_MR} SELECT udi, coalesce(product_id, 'Unknown') AS product_id, 'Unknown' AS type,
   air_temperature, process_temperature, rotational_speed, CAST(NULL AS DOUBLE) AS torque, tool_wear, target,
   'Unknown' AS failure_type FROM machine_readings""",
-    "record_id": _ten(f", {_digest(RAW_COLUMNS)} AS id"),
+    "record_id": _ten(f", {_record_digest(RAW_COLUMNS)} AS id"),
     "drop_nulls": f"{_MR} SELECT * FROM machine_readings WHERE product_id IS NOT NULL",
     "model_columns": f"{_MR} SELECT type, {', '.join(NUMERIC_FEATURES)}, failure_type FROM machine_readings",
     "table_profile": f"{_MR} {_PROFILE}",
@@ -431,4 +442,16 @@ FROM split JOIN lab ON failure_type = ft, fit""",
   SELECT rid, vote FROM votes QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n DESC, vote) = 1
 ) SELECT udi, label, CAST(vote AS INT) AS prediction FROM test JOIN won ON test.rid = won.rid""",
     "model_roundtrip": f"{_SPLIT} SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM split WHERE split = 'test'",
+    "dt_predict": f"""{_GRADED}, numbered AS (
+  SELECT failure_type, CAST(row_number() OVER (ORDER BY count(*) DESC, failure_type) - 1 AS DOUBLE) AS label
+  FROM parts WHERE split = 'train' GROUP BY 1
+) SELECT udi, failure_type, label, label AS prediction, failure_type AS predicted_class
+FROM parts JOIN numbered USING (failure_type) WHERE split = 'test'""",
+    "score_with_advice": f"""{_GRADED}, names(nr, class, french_name) AS (VALUES {_NAMES})
+SELECT udi, type, {", ".join(NUMERIC_FEATURES)}, failure_type AS predicted_class, french_name,
+  coalesce(n_name, {_text(NO_ADVICE)}) AS advice
+FROM graded JOIN names ON failure_type = class LEFT JOIN nation ON n_nationkey = nr AND nr < 5""",
+    "score_stream": f"""{_GRADED}, names(nr, class, french_name) AS (VALUES {_NAMES})
+SELECT udi, type, {", ".join(NUMERIC_FEATURES)}, failure_type AS predicted_class, french_name,
+  {_text(NO_ADVICE)} AS advice FROM graded JOIN names ON failure_type = class""",
 }

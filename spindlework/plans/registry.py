@@ -573,9 +573,11 @@ COORDS = [f"c{i}" for i in range(8)]
 GRID = 10_000  # coordinates are whole ten-thousandths, so distances are exact
 
 
-def _coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _coordinates(
+    spark: SparkSession, sf_dir: str, view: Callable = fixtures.readings_with_arrival
+) -> DataFrame:
     """Scaled features of every reading, fitted on the train rows."""
-    m = materialise(_split_readings(spark, sf_dir), "split-readings")
+    m = materialise(splits.with_hash_split(view(spark, sf_dir), SPLIT_KEYS), "split-readings")
     train = m.filter("split = 'train'")
     z = features.fit_zscore(train, NUMERIC_FEATURES)
     slots = features.level_scale(train, "type")
@@ -606,11 +608,13 @@ def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- models ---------------------------------------------------------------------
-# Ensembles are kept small here; the library defaults are the full settings.
+# They read coarse measures that the class follows from.  One-vs-rest boosting and the search
+# run with fewer trees and draws than the library's defaults, which take hours on this box.
 
 
 def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    m = materialise(_split_readings(spark, sf_dir), "split-readings")
+    split = splits.with_hash_split(fixtures.graded_readings(spark, sf_dir), SPLIT_KEYS)
+    m = materialise(split, "split-readings")
     return m.filter("split = 'train'"), m.filter("split = 'test'")
 
 
@@ -636,7 +640,7 @@ def _binary(name: str, estimator: Callable[[int], object]) -> None:
     QUERIES[name] = run
 
 
-_multiclass("rf_predict", lambda: models.random_forest(trees=12, depth=8), scale="std")
+_multiclass("rf_predict", lambda: models.random_forest(), scale="std")
 _multiclass("dt_predict", models.decision_tree, categorical="none")
 _multiclass("lr_multi_predict", models.multinomial_regression, categorical="none")
 _multiclass(
@@ -646,15 +650,15 @@ _multiclass(
     categorical="one_hot_all",
     label_order="text",
 )
-_binary("rf_binary_predict", lambda n: models.binary_forest(trees=10, depth=10))
-_binary("lr_binary_predict", lambda n: models.binary_regression(n, iterations=100))
-_binary("gbt_binary_predict", lambda n: models.boosted_trees(trees=10))
+_binary("rf_binary_predict", lambda n: models.binary_forest())
+_binary("lr_binary_predict", lambda n: models.binary_regression(n))
+_binary("gbt_binary_predict", lambda n: models.boosted_trees())
 
 
 @query
 def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = materialise(
-        _coordinates(spark, sf_dir).select(
+        _coordinates(spark, sf_dir, fixtures.graded_readings).select(
             "udi",
             "split",
             (F.col("label") > 0).cast("double").alias("label"),
@@ -663,7 +667,7 @@ def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
         "svm-input",
     )
     train, test = c.filter("split = 'train'"), c.filter("split = 'test'")
-    svm = models.fit_kernel_svm(train, COORDS, iterations=20)
+    svm = models.fit_kernel_svm(train, COORDS)
     return svm.transform(test).select("udi", "label", "prediction")
 
 
@@ -676,7 +680,7 @@ def prediction_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.readings_with_arrival(spark, sf_dir)
+    m = fixtures.graded_readings(spark, sf_dir)
     train = splits.with_folds(splits.with_hash_split(m, SPLIT_KEYS).filter("split = 'train'"), SPLIT_KEYS)
     train = materialise(train, "search-readings")
     ready = features.fit_features(train).transform(train)
@@ -689,7 +693,7 @@ def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows scored by a saved and loaded model that differ from the model in memory."""
     train, test = _train_test(spark, sf_dir)
-    model = models.fit_model(train, models.random_forest(trees=5, depth=5))
+    model = models.fit_model(train, models.random_forest())
     path = new_path(spark, "model")
     models.save_model(model, path)
     again = models.load_model(path)
@@ -709,14 +713,14 @@ SCORED = ["udi", "type", *NUMERIC_FEATURES]
 def score_with_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _train_test(spark, sf_dir)
     model = models.fit_model(train, models.decision_tree())
-    return scoring.score(fixtures.machine_readings(spark, sf_dir), model, SCORED, _advice(spark, sf_dir))
+    return scoring.score(fixtures.graded_readings(spark, sf_dir), model, SCORED, _advice(spark, sf_dir))
 
 
 @query
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _train_test(spark, sf_dir)
     model = models.fit_model(train, models.decision_tree())
-    folder, quarter = _staged(spark, records.encode_json(fixtures.machine_readings(spark, sf_dir)))
+    folder, quarter = _staged(spark, records.encode_json(fixtures.graded_readings(spark, sf_dir).select(READING_COLUMNS)))
     readings = ingest.parse_readings(messages.text_stream(spark, folder, quarter))
     out = new_path(spark, "scored")
     relays.score_stream(

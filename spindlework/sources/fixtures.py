@@ -86,6 +86,29 @@ SELECT conv_id, turn, role,
 FROM {conversations}
 """
 
+# Readings with coarse measures whose class follows from the measures alone.
+GRADES = {
+    "air_temperature": "CAST(floor(air_temperature) AS DOUBLE)",
+    "process_temperature": "CAST(floor(process_temperature) AS DOUBLE)",
+    "rotational_speed": "CAST(floor(rotational_speed / 100) * 100 AS INT)",
+    "torque": "CAST(floor(torque / 5) * 5 AS DOUBLE)",
+    "tool_wear": "CAST(floor(tool_wear / 10) * 10 AS INT)",
+}
+_PLAIN = ", ".join(c for c in READING_COLUMNS + ARRIVAL if c not in (*GRADES, "failure_type", "failure_type_id", "target"))
+GRADED_SQL = f"""
+WITH graded AS (
+  SELECT {_PLAIN}, {", ".join(f"{e} AS {c}" for c, e in GRADES.items())} FROM {{arrived}}
+), classed AS (
+  SELECT *, CASE WHEN tool_wear >= 220 THEN 4 WHEN torque >= 65 THEN 3
+     WHEN rotational_speed >= 2600 THEN 2 WHEN air_temperature >= 303 THEN 1 ELSE 0 END AS code FROM graded
+)
+SELECT {_PLAIN}, {", ".join(GRADES)},
+  split_part('No Failure|Heat Dissipation Failure|Power Failure|Overstrain Failure|Tool Wear Failure',
+    '|', code + 1) AS failure_type,
+  CASE WHEN code = 0 THEN 0 ELSE 1 END AS target, CAST(code AS DOUBLE) AS failure_type_id
+FROM classed
+"""
+
 SPARK_DOW = "date_format(l_shipdate,'EEEE')"
 
 
@@ -115,6 +138,11 @@ def machine_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_with_arrival(spark, sf_dir).select(READING_COLUMNS)
 
 
+def graded_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with arrival columns, in coarse measures from which the class follows."""
+    return spark.sql(GRADED_SQL, arrived=readings_with_arrival(spark, sf_dir))
+
+
 def machine_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TELEMETRY_SQL, events=table(spark, sf_dir, "events"))
 
