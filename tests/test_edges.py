@@ -406,3 +406,35 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert at == "2024-01-01 00:00:00"
     assert got == ["2024-03-10 02:30:00", "2024-03-09 21:30:00", None]
+
+
+def test_missing_measures_are_left_out_of_training_and_get_no_class(spark):
+    from spindlework.operators import models, scoring
+    from spindlework.schemas import NUMERIC_FEATURES
+
+    row = "300.0D AS air_temperature, 310.0D AS process_temperature, 1500 AS rotational_speed"
+    plain = spark.sql(
+        f"SELECT CAST(id AS INT) AS udi, {row}, CAST(id % 20 * 5 AS DOUBLE) AS torque, "
+        "CAST(id % 7 AS INT) AS tool_wear, 'L' AS type, "
+        "IF(id % 20 >= 10, 'Overstrain Failure', 'No Failure') AS failure_type FROM range(60)"
+    )
+    holes = plain.withColumn("torque", F.when(F.col("udi") % 6 != 0, F.col("torque")))
+    no_label = plain.withColumn("failure_type", F.lit(None).cast("string"))
+    model = models.fit_model(holes.unionByName(plain).unionByName(no_label), models.decision_tree(), scale="zscore")
+    assert next(s for s in model.stages if hasattr(s, "numClasses")).numClasses == 2
+    got = {r.udi: (r.predicted_class, r.french_name) for r in scoring.score(holes, model, ["udi"]).collect()}
+    assert len(got) == 60 and got[6] == (None, scoring.NO_NAME) and got[13][0] == "Overstrain Failure"
+    assert scoring.score(holes.drop("failure_type"), model, ["udi"]).count() == 60
+
+
+def test_ids_of_different_records_differ(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("", "x"), ("~", "x"), ("1:a", None)]
+    ids = records.with_record_id(spark.createDataFrame(rows, "p string, q string"), "rid")
+    assert ids.select("rid").distinct().count() == len(rows)
+
+
+def test_tree_depth_beyond_the_limit_is_refused():
+    from spindlework.operators import models
+
+    with pytest.raises(ValueError):
+        models.random_forest(depth=31)
