@@ -47,9 +47,9 @@ def lookup_join(
     """``left`` left-joined with ``right`` on equal column names.
 
     ``right`` is written once and measured.  Below the bound it is broadcast, so
-    the large side is not shuffled.  Beyond it, rows with a hot or NULL key join the
-    few hot lookup rows by broadcast, and only the rest, in which no key holds more
-    than one row in a thousand, is shuffled.
+    the large side is not shuffled.  Beyond it, ``left`` is written once; its rows with a
+    hot or NULL key join the few hot lookup rows by broadcast, and only the rest, in which
+    no key holds more than one row in a thousand, is shuffled.
     """
     on = [on] if isinstance(on, str) else list(on)
     added = [c for c in right.columns if c not in on]
@@ -57,6 +57,7 @@ def lookup_join(
     if fits_broadcast(right, max_bytes):
         return left.join(F.broadcast(right), on, "left").select(*left.columns, *added)
 
+    left = materialise(left, "lookup-left")  # read three times below
     hot = materialise(hot_keys(left, on), "hot-keys")
     hot_right = materialise(right.join(F.broadcast(hot), on, "left_semi"), "hot-lookup")
     if not fits_broadcast(hot_right):

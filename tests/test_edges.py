@@ -438,3 +438,16 @@ def test_tree_depth_beyond_the_limit_is_refused():
 
     with pytest.raises(ValueError):
         models.random_forest(depth=31)
+
+
+def test_lookup_join_beyond_the_bound_plans_its_left_side_once(spark):
+    from compare import DATA
+
+    from spindlework.sources import fixtures
+
+    readings = fixtures.machine_readings(spark, str(DATA / "sf0.001"))
+    names = readings.select("product_id").distinct().withColumn("code", F.length("product_id"))
+    small, large = (lookup_join(readings, names, "product_id", b) for b in (1 << 26, 1))
+    assert not any("lineitem" in f for f in large.inputFiles())
+    total = [F.count("*"), F.sum("code"), F.sum(F.xxhash64("udi", "product_id", "code") % 1000)]
+    assert small.agg(*total).first() == large.agg(*total).first()
