@@ -430,7 +430,7 @@ def _keyed_store(spark: SparkSession, values_df: DataFrame, extra: list[T.Struct
     folder, quarter = _staged(spark, values_df)
     store = new_path(spark, "keyed")
     ingest.start_keyed(
-        ingest.parse_readings(messages.text_stream(spark, folder, quarter), extra),
+        ingest.parse_readings(messages.text_stream(spark, folder, quarter), extra, messages.ARRIVAL.names),
         store,
         new_path(spark, "offsets"),
         available_now=True,
