@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,22 +60,33 @@ def running_total(
 ) -> DataFrame:
     """Add ``name``, the sum of ``weight`` over all rows before and including each row.
 
-    ``order_by`` must have no ties.  Same layout as :func:`number_rows`; the window
-    runs inside one range partition only.
+    ``weight`` is a whole number, NULL counts as 0, and ``order_by`` must have no ties.  Same layout as
+    :func:`number_rows`: the sum runs over the sorted rows of a range partition while they
+    are written, so nothing is shuffled twice.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weight = F.col(weight) if isinstance(weight, str) else weight
-    laid = materialise(
-        df.withColumn("_w", weight)
+    ranged = (
+        df.withColumn("_w", F.coalesce(weight.cast("long"), F.lit(0)))
+        .withColumn("_upto", F.col("_w"))
         .repartitionByRange(n, *order_by)
-        .withColumn("_part", F.spark_partition_id()),
-        "ranged",
+        .sortWithinPartitions(*order_by)
+        .withColumn("_part", F.spark_partition_id())
     )
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far = 0
+        for batch in batches:
+            if batch.num_rows:
+                at = batch.schema.names.index("_upto")
+                total = np.cumsum(batch.column(at).to_numpy()) + so_far
+                so_far = int(total[-1])
+                yield batch.set_column(at, batch.schema.field(at), pa.array(total, pa.int64()))
+
+    laid = materialise(ranged.mapInArrow(add_up, ranged.schema), "ranged")
     parts = laid.groupBy("_part").agg(F.sum("_w").alias("_size"))
-    inside = W.partitionBy("_part").orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
     return (
-        laid.withColumn("_upto", F.sum("_w").over(inside))
-        .join(F.broadcast(_offsets(parts, "_part", "_size", "_before")), "_part")
+        laid.join(F.broadcast(_offsets(parts, "_part", "_size", "_before")), "_part")
         .withColumn(name, F.col("_before") + F.col("_upto"))
         .select(*df.columns, name)
     )

@@ -75,12 +75,15 @@ def test_number_copies_and_empty(spark):
 
 
 def test_running_total(spark):
-    df = spark.createDataFrame([(i, i % 4) for i in range(200)], "k int, w long")
+    df = spark.createDataFrame([(i, i % 4 - 1) for i in range(200)], "k int, w long")
     got = {r["k"]: r["t"] for r in numbering.running_total(df, ["k"], "w", "t", partitions=5).collect()}
     total = 0
     for i in range(200):
-        total += i % 4
+        total += i % 4 - 1
         assert got[i] == total
+    assert numbering.running_total(df.filter("k < 0"), ["k"], "w", "t").count() == 0
+    absent = spark.createDataFrame([(1, None), (2, 5)], "k int, w long")
+    assert sorted(numbering.running_total(absent, ["k"], "w", "t").select("k", "t").collect()) == [(1, 0), (2, 5)]
 
 
 # --- KPIs and star --------------------------------------------------------------
