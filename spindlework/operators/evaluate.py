@@ -225,3 +225,43 @@ def model_comparison(tables: dict[str, DataFrame], metric: str = "f1") -> DataFr
     return models.select("first", F.explode("rows").alias("r")).select(
         "r.*", (F.col("r.model") == F.col("first")).alias("best")
     )
+
+
+def fitted_comparison(scored: dict[str, DataFrame], split: str = "split", metric: str = "f1") -> DataFrame:
+    """Train and test metrics of several models with their gap, a row for each model and metric.
+
+    Each table holds ``label``, ``prediction`` and ``split`` of the rows a model scored; all are
+    counted in one aggregate.  ``best`` marks the model with the highest ``metric`` on the test
+    rows (ties: the first by name).
+    """
+    names = ("accuracy", "recall", "precision", "f1")
+    rows = reduce(
+        DataFrame.unionByName,
+        [t.select(F.lit(m).alias("model"), split, "label", "prediction") for m, t in scored.items()],
+    )
+    scores = binary_metrics(rows, "label", "prediction", by=("model", split))
+    wide = scores.groupBy("model").agg(
+        *[
+            F.max(F.when(F.col(split) == s, F.struct(*names))).alias(s)
+            for s in ("train", "test")
+        ]
+    )
+    # one row per model
+    ranked = wide.agg(
+        F.collect_list(F.struct("model", "train", "test")).alias("models"),
+        F.min_by("model", F.struct(-F.col("test")[metric], F.col("model"))).alias("first"),
+    ).select("first", F.explode("models").alias("m"))
+    lines = [
+        F.struct(
+            F.lit(n).alias("metric"),
+            F.col("m.train")[n].alias("train"),
+            F.col("m.test")[n].alias("test"),
+            (F.col("m.train")[n] - F.col("m.test")[n]).alias("gap"),
+        )
+        for n in names
+    ]
+    return ranked.select(
+        F.col("m.model").alias("model"),
+        (F.col("m.model") == F.col("first")).alias("best"),
+        F.explode(F.array(*lines)).alias("r"),
+    ).select("model", "r.*", "best")

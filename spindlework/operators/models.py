@@ -164,8 +164,10 @@ def fit_kernel_svm(
 def fit_model(
     train: DataFrame, estimator: Estimator, decode: str | None = "predicted_class", **features
 ) -> PipelineModel:
-    """Preparation, classifier and class text as one model that can be saved whole."""
-    """Rows that lack a measure, the category or the label teach nothing and are left out."""
+    """Preparation, classifier and class text as one model that can be saved whole.
+
+    Rows that lack a measure, the category or the label teach nothing and are left out.
+    """
     label = features.get("label", "failure_type")
     needed = [*features.get("numeric", NUMERIC_FEATURES), features.get("category", "type"), label or "label"]
     train = train.na.drop(subset=needed)

@@ -671,6 +671,30 @@ def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return svm.transform(test).select("udi", "label", "prediction")
 
 
+@query
+def fitted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five classifiers of the failure flag, fitted on the train rows and measured on both parts."""
+    split = splits.with_hash_split(fixtures.graded_readings(spark, sf_dir), SPLIT_KEYS)
+    m = split.withColumn("label", F.col("target").cast("double"))
+    m = materialise(m.select("split", "label", "type", *NUMERIC_FEATURES), "split-readings")
+    prepare = features.fit_features(
+        m.filter("split = 'train'"), label=None, categorical="one_hot_all", scale="zscore"
+    )
+    ready = materialise(prepare.transform(m).select("split", "label", "features"), "prepared")
+    train = ready.filter("split = 'train'")
+    fitted = {
+        "forest": models.binary_forest(),
+        "tree": models.decision_tree(),
+        "regression": models.binary_regression(train.count()),
+        "boosting": models.boosted_trees(),
+    }
+    scored = {name: estimator.fit(train).transform(ready) for name, estimator in fitted.items()}
+    coords = [f"c{i}" for i in range(8)]
+    flat = features.vector_columns(ready, "features", coords)
+    svm = models.fit_kernel_svm(flat.filter("split = 'train'"), coords, c=10.0)
+    return _rounded(evaluate.fitted_comparison({**scored, "svm": svm.transform(flat)}))
+
+
 @query
 def prediction_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_test(spark, sf_dir)
