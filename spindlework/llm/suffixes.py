@@ -225,10 +225,10 @@ def repeated_reach(
 
 
 def _sort_buckets(distinct: DataFrame) -> DataFrame:
-    """(back, fwd, low, high) of rows (lead, back, fwd, n) laid in order of lead."""
+    """(back, fwd, low, high) of rows (back, fwd, n) laid in order of their leading bytes."""
 
     def work(rows: list[tuple]) -> pa.RecordBatch:
-        _, backs, fwds, counts = zip(*rows)
+        backs, fwds, counts = zip(*rows)
         low, high = repeated_reach(list(backs), list(fwds), np.array(counts))
         keep = np.flatnonzero(low >= 0)
         return pa.RecordBatch.from_arrays(
@@ -244,8 +244,8 @@ def _sort_buckets(distinct: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("lead", "back", "fwd", "n"))):
-                if len(held) >= BUCKET and row[0] != held[-1][0]:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("back", "fwd", "n"))):
+                if len(held) >= BUCKET and row[1][:LEAD] != held[-1][1][:LEAD]:
                     yield work(held)
                     held = []
                 held.append(row)
@@ -276,17 +276,19 @@ def _count_strings(distinct: DataFrame) -> DataFrame:
 
 def reaches(distinct: DataFrame, hot: int = HOT, bucket: int = BUCKET) -> DataFrame:
     """(back, fwd, low, high) of different surroundings (back, fwd, n) that repeat."""
-    rows = store(distinct.withColumn("lead", F.substring("fwd", 1, LEAD)), "surroundings")
-    leads = rows.groupBy("lead").agg(F.count("*").alias("_n"))
-    many = store(leads.filter(F.col("_n") > hot).select("lead"), "hot-leads")
+    rows = store(distinct, "surroundings")
+    lead = F.substring("fwd", 1, LEAD)
+    # leading bytes whose hashes collide are counted as one, and go one way together
+    leads = rows.groupBy(F.xxhash64(lead).alias("_lead")).agg(F.count("*").alias("_n"))
+    many = store(leads.filter(F.col("_n") > hot).select("_lead"), "hot-leads")
     parts = max(
         int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // bucket)
     )
-    cold = rows.join(many, "lead", "left_anti")
-    laid = cold.repartitionByRange(parts, "lead").sortWithinPartitions("lead")
-    found = _sort_buckets(laid.select("lead", "back", "fwd", "n"))
+    is_hot = F.xxhash64(lead) == F.col("_lead")
+    cold = rows.join(many, is_hot, "left_anti").select("back", "fwd", "n")
+    found = _sort_buckets(cold.repartitionByRange(parts, lead).sortWithinPartitions(lead))
     if many.limit(1).count():
-        found = found.unionByName(_count_strings(rows.join(many, "lead", "left_semi")))
+        found = found.unionByName(_count_strings(rows.join(many, is_hot, "left_semi")))
     return found
 
 
@@ -358,13 +360,13 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT) -> DataFrame:
     )
     places = each.join(shared, "h").groupBy("rid").agg(F.collect_list("p").alias("ps"))
     wanted = places.join(heads.select("rid", "doc_id", "sha"), "rid").select(
-        "rid", "ps", F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")
+        "rid", "ps", "sha", F.xxhash64("doc_id").alias("_id")
     )
-    long = own.filter(F.col("n_bytes") >= LENGTH)
+    long = own.filter(F.col("n_bytes") >= LENGTH).select("sha", "text", F.xxhash64("doc_id").alias("_id"))
+    # a sha has one rid here, and rows that meet by it have one text; the keys of the join are
+    # those of the aggregate, so the texts are shuffled once
     touched = store(
-        long.join(wanted, (F.col("sha") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select("rid", "text", "ps")
-        .dropDuplicates(["rid"]),
+        long.join(wanted, ["sha", "_id"]).dropDuplicates(["sha", "_id"]).select("rid", "text", "ps"),
         "touched",
     )
     around = store(_surroundings(touched), "around")
