@@ -76,3 +76,17 @@ def test_search_draws(spark):
     draws = tuning.draw_settings(tuning.FOREST_SPACE)
     assert len(draws) == 50 and draws == tuning.draw_settings(tuning.FOREST_SPACE)
     assert all(50 <= d["numTrees"] < 300 and d["maxDepth"] <= models.MAX_TREE_DEPTH for d in draws)
+
+
+def test_fitted_comparison(spark):
+    def scored(train_right, test_right):
+        rows = [("train", i % 2, i % 2 if i < train_right else 1 - i % 2) for i in range(10)]
+        rows += [("test", i % 2, i % 2 if i < test_right else 1 - i % 2) for i in range(10)]
+        return spark.createDataFrame([(s, float(a), float(p)) for s, a, p in rows], "split string, label double, prediction double")
+
+    tables = {"b": scored(10, 10), "a": scored(10, 10), "c": scored(10, 8)}
+    got = {(r["model"], r["metric"]): r for r in evaluate.fitted_comparison(tables).collect()}
+    assert len(got) == 12
+    assert {m for (m, _), r in got.items() if r["best"]} == {"a"}
+    assert tuple(got["c", "accuracy"])[2:4] == (1.0, 0.8)
+    assert abs(got["c", "accuracy"]["gap"] - 0.2) < 1e-12
