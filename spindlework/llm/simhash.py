@@ -16,7 +16,7 @@ pairs; links of all keys together connect what all pairs would.  A key with more
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -199,15 +199,16 @@ def near_fingerprints(fps: DataFrame, limit: int = 4, split: int = SPLIT) -> Dat
     return components(all_links(laid, limit).distinct())
 
 
-def groups(prints: DataFrame, limit: int = 4) -> DataFrame:
-    """(fp, component_id): the smallest doc_id of the component, for every fingerprint of
-    ``prints`` (doc_id, fp); null where no document of it has an id."""
+def groups(prints: DataFrame, limit: int = 4, linked: DataFrame | None = None) -> DataFrame:
+    """(fp, component_id, root): the smallest doc_id of the component, for every fingerprint
+    of ``prints`` (doc_id, fp); null where no document of it has an id.  ``linked`` has
+    (node, root) where links are not those of near fingerprints."""
     nodes = store(
         prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprints"
     )
-    roots = nodes.join(
-        near_fingerprints(nodes.select("fp"), limit), F.col("fp") == F.col("node"), "left"
-    ).select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    if linked is None:
+        linked = near_fingerprints(nodes.select("fp"), limit)
+    roots = nodes.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     roots = store(roots, "roots")
     lows = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     return roots.join(lows, "root").select("fp", "component_id", "root")
@@ -240,7 +241,14 @@ def one_of_each(docs: DataFrame, limit: int = 4, size: int = 4) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     prints = store(fingerprints(own, size), "prints")
-    known = groups(prints, limit)
+    return chosen_rows(docs, prints, groups(prints, limit), lambda rows: fingerprints(rows, size))
+
+
+def chosen_rows(
+    docs: DataFrame, prints: DataFrame, known: DataFrame, mark: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The rows of ``docs`` that stand for the components ``known``; ``prints`` has (doc_id,
+    fp) of every row, and ``mark`` adds fp to rows (doc_id, text, _row)."""
     chosen = store(
         prints.join(known, "fp")
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -258,7 +266,7 @@ def one_of_each(docs: DataFrame, limit: int = 4, size: int = 4) -> DataFrame:
         return out
     ids = doubled.select(F.col("doc_id").alias("_id")).distinct()
     rest = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    marked = fingerprints(rest.withColumn("_row", F.struct(*docs.columns)).select("doc_id", "text", "_row"), size)
+    marked = mark(rest.withColumn("_row", F.struct(*docs.columns)).select("doc_id", "text", "_row"))
     of = doubled.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "root")
     # of rows with the same id, those of the chosen fingerprint, and of these the least
     kept = (

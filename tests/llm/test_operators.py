@@ -27,6 +27,7 @@ from spindlework.llm import (
     language,
     packing,
     queries,
+    shingles,
     simhash,
     suffixes,
     token_counts,
@@ -260,6 +261,40 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.one_of_each(none).count() == 0
 
 
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
+
+
+@pytest.mark.parametrize("group", [None, 900])
+def test_near_copies_of_five_word_shingles_go(spark, monkeypatch, group):
+    """Copies planted at similarities around 0.8, 0.9 and 0.95, and just below 0.8."""
+    if group:
+        monkeypatch.setattr(shingles, "GROUP", group)
+    rng, rows, far, near = random.Random(12), [], [], collections.defaultdict(list)
+    for i in range(240):
+        words = [f"w{rng.randrange(50_000)}" for _ in range(300)]
+        aim, copy = (0.7, 0.805, 0.9, 0.95)[i % 4], list(words)
+        places = rng.sample(range(0, 295, 5), 59)
+        while True:
+            at = places.pop()
+            changed = [*copy[:at], "new", *copy[at + 1 :]]
+            a, b = shingle_set(" ".join(words)), shingle_set(" ".join(changed))
+            if len(a & b) < aim * len(a | b):
+                break
+            copy = changed
+        if aim == 0.7:
+            copy = changed
+            far.append(1000 + i)
+        else:
+            near[aim].append(1000 + i)
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+    kept = {r.doc_id for r in shingles.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept >= set(range(240)) | set(far)
+    for ids in near.values():
+        assert sum(i not in kept for i in ids) == len(ids) == 60
+
+
 # 5: toxicity
 
 
