@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from spindlework.llm.common import fold, slices
 
 SYMBOLS = 128  # 0: between words, 1 to 26: a to z, above: other letters by a hash
+SURE = 128  # trigrams from which on a text's likeness to a language stands clear of chance
 CELLS = 4_000_000  # largest (documents x trigrams) table in memory, unless one text alone
 
 
@@ -174,6 +175,73 @@ def predict(
     return docs.mapInArrow(compare, f"{fields}, {added[0]} string, {added[1]} double")
 
 
+def distinct(text: str | None) -> str:
+    """The distinct words of a text in order."""
+    return " ".join(dict.fromkeys((text or "").split()))
+
+
+def floors(docs: DataFrame, languages: list[str], prototypes: np.ndarray, seed: int = 7) -> np.ndarray:
+    """The likeness (cosine, not centred) a text of each language has at least: three quarters
+    of what all but 0.5 % of its own texts (text, lang) have.  Texts count by their distinct
+    words, so that one word many times over does not; of these, the first ``SURE`` trigrams or
+    little more, since likeness grows with length.
+
+    A language without a text of ``SURE`` trigrams has floor -1, which no text is below.
+    """
+    dims = prototypes.shape[1]
+    held = docs.sparkSession.sparkContext.broadcast(prototypes)  # bounded in train()
+    place = {name: i for i, name in enumerate(languages)}
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                texts = [distinct(t)[: SURE + SURE // 4] for t in part.column("text").to_pylist()]
+                at = part.column("lang").to_pylist()
+                vectors, _ = document_vectors(texts, dims, seed)
+                at = np.array([place.get(x, -1) for x in at], np.int32)
+                long = np.array([len(trigrams(t)) >= SURE for t in texts], bool) & (at >= 0)
+                like = (vectors[long] * held.value[at[long]]).sum(1, dtype=np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at[long]), pa.array(like)], names=["at", "like"]
+                )
+
+    out = np.full(len(languages), -1.0)
+    rows = (
+        docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
+        .filter("text IS NOT NULL AND lang IS NOT NULL")
+        .mapInArrow(own, "at int, like double")
+        .groupBy("at")
+        .agg(F.percentile_approx("like", 0.005, 100_000).alias("low"))
+    )
+    for r in rows.collect():  # one row a language
+        out[r["at"]] = 0.75 * r["low"]
+    return out
+
+
+def like_some(
+    docs: DataFrame, languages: list[str], prototypes: np.ndarray, least: np.ndarray, seed: int = 7
+) -> DataFrame:
+    """The rows of ``docs`` with a letter, without texts whose distinct words have ``SURE``
+    trigrams or more and a likeness below the floor ``least`` of every language.  With nothing
+    learned, no text with a letter goes."""
+    dims = prototypes.shape[1]
+    held = docs.sparkSession.sparkContext.broadcast((prototypes, least))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prototypes, least = held.value
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                texts = [distinct(t) for t in part.column("text").to_pylist()]
+                vectors, stays = document_vectors(texts, dims, seed)
+                if languages:
+                    low = stays & (vectors @ prototypes.T < least).all(1)
+                    for i in np.flatnonzero(low):
+                        stays[i] = len(trigrams(texts[i])) < SURE
+                yield part.filter(pa.array(stays))
+
+    return docs.mapInArrow(scan, docs.schema)
+
+
 def language_ids(docs: DataFrame, folds: int = 3, held_fold: int = 1) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row; learns outside the held fold.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import collections
 import hashlib
 import itertools
@@ -601,6 +602,20 @@ def test_pipeline(spark, docs):
     assert kept >= (low & letters) - dirty
 
 
+def test_texts_like_no_language_go_and_short_ones_stay(spark, docs):
+    rng = random.Random(4)
+    noise = lambda k: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(k))
+    coded = lambda k: base64.b64encode(rng.randbytes(k)).decode()
+    odd_ones = [noise(k) for k in (30, 60, 300) for _ in range(10)] + [coded(k) for k in (200, 2000) for _ in range(10)]
+    clean = [" ".join(r.text.split()[:k]) for r in docs.limit(40).collect() for k in (3, 8, 40) if re.search(r"[a-z]", " ".join(r.text.split()[:k]))]
+    extra = [(10_000 + i * 3, t, None) for i, t in enumerate(odd_ones)] + [(20_000 + i * 3, t, None) for i, t in enumerate(clean)]
+    given = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(extra, "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, given, SF).collect()}
+    assert not any(10_000 <= i < 20_000 for i in kept)
+    assert kept >= {i for i, *_ in extra if i >= 20_000}
+    assert kept >= {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
+
+
 def test_pipeline_of_odd_and_no_rows(spark, odd, none):
     for given in (odd, none):
         now = given
