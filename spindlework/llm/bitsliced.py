@@ -168,8 +168,11 @@ def blocks_of(rows: DataFrame, size: int, scale: float, name: str) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list[tuple[int, list[float]]]] = {}
+        counter = 0  # a part lies in one task, so (part, counter) names a block
 
         def emit(key):
+            nonlocal counter
+            counter += 1
             own = held.pop(key)
             ids = np.array([v for v, _ in own], np.int64)
             values = quantise(np.array([x for _, x in own], np.float64), scale)
@@ -177,10 +180,11 @@ def blocks_of(rows: DataFrame, size: int, scale: float, name: str) -> DataFrame:
                 [
                     pa.array([key[0]], pa.int32()),
                     pa.array([key[1]], pa.int64()),
+                    pa.array([counter], pa.int64()),
                     pa.array([ids.tobytes()], pa.binary()),
                     pa.array([values.tobytes()], pa.binary()),
                 ],
-                names=["dims", "part", "ids", "values"],
+                names=["dims", "part", "block", "ids", "values"],
             )
 
         last = None
@@ -199,18 +203,14 @@ def blocks_of(rows: DataFrame, size: int, scale: float, name: str) -> DataFrame:
 
     shuffled = hashed.repartition("dims", "part").sortWithinPartitions("dims", "part")
     made = shuffled.select("dims", "part", "vec_id", "embedding").mapInArrow(
-        gather, "dims int, part long, ids binary, values binary"
+        gather, "dims int, part long, block long, ids binary, values binary"
     )
     made = store(made, name)
     # a few thousand rows at 100 million vectors: one row for each block
-    number = F.row_number().over(W.partitionBy("dims").orderBy("part", F.sha2("ids", 256)))
-    keys = made.select("dims", "part", F.sha2("ids", 256).alias("_id"))
-    numbered = keys.withColumn(
-        "no", F.row_number().over(W.partitionBy("dims").orderBy("part", "_id"))
+    numbered = made.select("dims", "part", "block").withColumn(
+        "no", F.row_number().over(W.partitionBy("dims").orderBy("part", "block"))
     )
-    return made.withColumn("_id", F.sha2("ids", 256)).join(
-        numbered.distinct(), ["dims", "part", "_id"]
-    ).select("dims", "no", "ids", "values")
+    return made.join(numbered, ["dims", "part", "block"]).select("dims", "no", "ids", "values")
 
 
 def top_k(

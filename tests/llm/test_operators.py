@@ -143,6 +143,22 @@ def test_search_equals_brute_force_with_ties(spark):
     assert sorted(tuple(r) for r in got) == brute_top(rows)
 
 
+def test_search_answers_every_row_of_a_repeated_id(spark):
+    """300 query rows of one id fill several blocks with the same ids."""
+    rng = np.random.default_rng(9)
+    rows = [(50, (rng.integers(-20, 21, 4) / 64).tolist()) for _ in range(300)]
+    others = [(i, (rng.integers(-20, 21, 4) / 64).tolist()) for i in range(1, 41)]
+    df = spark.createDataFrame(rows + others, "vec_id long, embedding array<double>")
+    got = bitsliced.top_k(df, F.col("vec_id") % 50 == 0, block_rows=16, chunk=16).collect()
+    whole = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in others]
+    want = []
+    for _, v in rows:
+        q = np.floor(256 * np.array(v)).astype(int)
+        scored = sorted((-int(q @ o), i) for i, o in whole)[:5]
+        want += [(50, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_search_leaves_out_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
