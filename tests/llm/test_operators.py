@@ -283,7 +283,7 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
 
 
-@pytest.mark.parametrize("group", [None, 900])
+@pytest.mark.parametrize("group", [None, 300])
 def test_near_copies_of_five_word_shingles_go(spark, monkeypatch, group):
     """Copies planted at similarities around 0.8, 0.9 and 0.95, and just below 0.8."""
     if group:
