@@ -4,7 +4,8 @@ A gear hash rolls over the last 16 bytes at every place.  A chunk ends where the
 smaller than at the ``REACH`` places on either side, so a cut depends only on the bytes
 around it: after an insertion the cuts fall on the same content again, and a passage that
 occurs twice has the same cuts inside from 40 bytes after its begin to 24 before its end.
-Chunks are 25 bytes or longer, 49 on average.
+Chunks are 25 bytes or longer, 49 on average; where ``MOST`` bytes have no cut, as in text that
+repeats a short period, cuts follow at that distance from the last one.
 
 The unit that is deduplicated is a chunk with the one that follows it (about 98 bytes), so
 that a phrase that happens to fill one chunk is no duplicate.  Units meet by digest; all but
@@ -25,10 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindlework.llm.common import as_bytes, store
+from spindlework.llm.common import as_bytes, fresh, slices, store
 
 ROLL = 16  # bytes the gear hash sees
 REACH = 24  # a cut is the least hash of 24 places before and after
+MOST = 512  # bytes of a chunk: text that repeats within 24 bytes has no least hash
 LEAST = 50  # bytes of a unit
 STEP = 1 << 20  # bytes of a long text hashed at a time
 GEAR = np.random.default_rng(11).integers(0, 1 << 63, 256, np.uint64)
@@ -64,7 +66,10 @@ def cuts(text: bytes) -> list[int]:
         inner = np.arange(edge, len(h) - REACH)
         low = (h[inner] < least[inner - REACH]) & (h[inner] < least[inner + 1])
         found += (inner[low] + (at - edge) + 1).tolist()
-    return [*found, n]
+    found.append(n)
+    if max(map(int.__sub__, found[1:], found), default=0) <= MOST:
+        return found
+    return [x for a, b in zip(found, found[1:]) for x in range(a, b, MOST)] + [n]
 
 
 def units(text: bytes) -> list[tuple[int, int]]:
@@ -94,16 +99,17 @@ def unit_rows(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high, low = xxhash.xxh3_64_intdigest, xxhash.xxh32_intdigest
         for batch in batches:
-            ids, keys = (batch.column(c).to_pylist() for c in ("doc_id", "t"))
-            own: list[tuple] = []
-            for doc, t, text in zip(ids, keys, as_bytes(batch, "text")):
-                for a, b in units(text):
-                    piece = text[a:b]
-                    own.append((doc, t, high(piece), low(piece), a, b - a))
-                if len(own) >= 100_000:
-                    yield rows(own)
-                    own = []
-            yield rows(own)
+            for part in slices(batch, "text", 1 << 20):
+                ids, keys = (part.column(c).to_pylist() for c in ("doc_id", "t"))
+                own: list[tuple] = []
+                for doc, t, text in zip(ids, keys, as_bytes(part, "text")):
+                    for a, b in units(text):
+                        piece = text[a:b]
+                        own.append((doc, t, high(piece), low(piece), a, b - a))
+                    if len(own) >= 50_000:
+                        yield rows(own)
+                        own = []
+                yield rows(own)
 
     return docs.mapInArrow(scan, "doc_id long, t long, h long, c int, start int, size int")
 
@@ -118,7 +124,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, t, spans): for every document that holds units seen before, its runs of
-    such bytes as (start, stop, first_doc_id, first_start), in order and apart.
+    such bytes as (start, stop, first_doc_id, first_start), in order and without overlap.  A run
+    equals, byte for byte, what begins at its first_start in its first document.
 
     Rows that repeat both id and text count as one document.  Null ids come first in order.
     Null and empty texts and texts under LEAST bytes have no unit.
@@ -143,23 +150,34 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     (F.col("start") + F.col("size")).alias("stop"),
                     F.col("first.doc_id").alias("first_doc_id"),
                     F.col("first.start").alias("first_start"),
+                    F.col("first.t").alias("first_t"),
                 )
             ).alias("spans")
         )
     )
 
+    kept = ("start", "stop", "first_doc_id", "first_start")
+
+    def origin(x: dict) -> tuple:
+        return x["first_doc_id"], x["first_t"], x["first_start"] - x["start"]
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, kinds = [], batch.schema.field("spans").type.value_type
             for spans in batch.column("spans").to_pylist():
                 own: list[dict] = []
                 for x in sorted(spans, key=lambda s: (s["start"], s["stop"])):
-                    if own and x["start"] <= own[-1]["stop"]:
-                        own[-1]["stop"] = max(own[-1]["stop"], x["stop"])
-                    else:
+                    last = own[-1] if own else None
+                    if last is None or x["start"] > last["stop"]:
                         own.append(x)
-                out.append(own)
-            spans = pa.array(out, batch.schema.field("spans").type)
+                    elif x["stop"] > last["stop"]:
+                        if origin(x) == origin(last):
+                            last["stop"] = x["stop"]
+                        else:  # goes on, but comes from elsewhere
+                            past = last["stop"] - x["start"]
+                            own.append({**x, "start": last["stop"], "first_start": x["first_start"] + past})
+                out.append([{k: s[k] for k in kept} for s in own])
+            spans = pa.array(out, pa.list_(pa.struct([(k, kinds.field(k).type) for k in kept])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("t"), spans], names=["doc_id", "t", "spans"]
             )
@@ -194,27 +212,29 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated runs; other columns as they are, n_chars (if there)
     counted anew.  A document whose whole text came before stays with empty text; null
     texts stay null."""
+    key, t, runs = fresh(docs, "id", "t", "spans")
     spans = repeated_spans(docs).select(
-        F.col("doc_id").alias("_id"), F.col("t").alias("_t"), F.col("spans").alias("_spans")
+        F.col("doc_id").alias(key), F.col("t").alias(t), F.col("spans").alias(runs)
     )
     met = docs.join(
         spans,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(F.col("text").cast("string")) == F.col("_t")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(key))
+        & (F.xxhash64(F.col("text").cast("string")) == F.col(t)),
         "left",
-    ).select(*docs.columns, "_spans")
+    ).select(*docs.columns, runs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index("text")
-            texts = batch.column("text").to_pylist()
-            for i, spans in enumerate(batch.column("_spans").to_pylist()):
-                if spans:
-                    own = [(s["start"], s["stop"]) for s in spans]
-                    texts[i] = without(texts[i].encode("utf-8"), own)
-            columns = batch.columns[:-1]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            for part in slices(batch, "text", 1 << 20):
+                texts = part.column("text").to_pylist()
+                for i, spans in enumerate(part.column(runs).to_pylist()):
+                    if spans:
+                        own = [(s["start"], s["stop"]) for s in spans]
+                        texts[i] = without(texts[i].encode("utf-8"), own)
+                columns = part.columns[:-1]
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
 
     out = met.mapInArrow(cut, docs.schema)
     if "n_chars" in docs.columns:

@@ -30,6 +30,33 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Remove a table of :func:`store` that nothing reads any more; other tables stay."""
+    spark = df.sparkSession
+    folder = work_dir(spark)
+    for file in df.inputFiles()[:1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if path.getParent().toUri().getPath() == _path(spark, folder):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _path(spark: SparkSession, folder: str) -> str:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        own = f"_{name}"
+        while own.lower() in taken:
+            own = f"_{own}"
+        taken.add(own.lower())
+        out.append(own)
+    return out
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``max_bytes`` of text; a longer row comes alone."""
     if batch.num_rows == 0:
@@ -42,6 +69,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
         stop = max(stop, start + 1)
         yield batch.slice(start, stop - start)
         start, done = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()
 
 
 def as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:

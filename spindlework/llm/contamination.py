@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindlework.llm.common import as_bytes, plain_words, slices, store
+from spindlework.llm.common import as_bytes, fresh, plain_words, slices, store
 
 WINDOW = 10
 SHARD_BYTES = 2 << 20  # an automaton of some 150 MB in a task
@@ -103,8 +103,10 @@ def word_spans(text: bytes) -> list[tuple[int, int]]:
 _IS_WORD = bytes(int(len(plain_words(bytes([c]))) > 0) for c in range(256))
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``_words`` and ``_hits``: array of (first, stop, item id as text).
+def find_hits(
+    docs: DataFrame, benchmark: DataFrame, n_words: str, found: str, window: int = WINDOW
+) -> DataFrame:
+    """``docs`` with the number of words and the hits, an array of (first, stop, item id as text).
 
     Items with null text or without words match nothing; a null item id shows as ''.
     """
@@ -114,7 +116,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     ).filter("text IS NOT NULL")
     hit = pa.struct([("first", pa.int32()), ("stop", pa.int32()), ("item", pa.string())])
     empty = F.array().cast("array<struct<first: int, stop: int, item: string>>")
-    out = docs.withColumn("_words", F.lit(0).cast("long")).withColumn("_hits", empty)
+    out = docs.withColumn(n_words, F.lit(0).cast("long")).withColumn(found, empty)
     parts = shards(items)
     for k, shard in enumerate(parts):
         rows = [(r.item_id, r.text.encode("utf-8")) for r in shard.distinct().collect()]
@@ -129,17 +131,17 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
             for batch in batches:
                 for part in slices(batch, "text", 1 << 20):
                     counts, hits = [], []
-                    for text, before in zip(as_bytes(part, "text"), part.column("_hits").to_pylist()):
-                        n, found = find(text, automaton, items, window)
+                    for text, before in zip(as_bytes(part, "text"), part.column(found).to_pylist()):
+                        n, own = find(text, automaton, items, window)
                         counts.append(n)
                         hits.append(
                             before
-                            + [{"first": a, "stop": b, "item": rows[i][0]} for a, b, i in found]
+                            + [{"first": a, "stop": b, "item": rows[i][0]} for a, b, i in own]
                         )
                     names = part.schema.names
                     columns = dict(zip(names, part.columns))
-                    columns["_words"] = pa.array(counts, pa.int64())
-                    columns["_hits"] = pa.array(hits, pa.list_(hit))
+                    columns[n_words] = pa.array(counts, pa.int64())
+                    columns[found] = pa.array(hits, pa.list_(hit))
                     yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
         out = out.mapInArrow(scan, out.schema)
@@ -190,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    return find_hits(own, benchmark, window).mapInArrow(
+    return find_hits(own, benchmark, "_words", "_hits", window).mapInArrow(
         sum_up,
         "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
         "contaminated boolean, hits array<struct<start: int, stop: int, item_id: string>>",
@@ -199,7 +201,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without a hit, all columns as they are."""
-    return find_hits(docs, benchmark, window).filter(F.size("_hits") == 0).select(docs.columns)
+    n_words, found = fresh(docs, "words", "hits")
+    out = find_hits(docs, benchmark, n_words, found, window)
+    return out.filter(F.size(found) == 0).select(docs.columns)
 
 
 ORACLE = r"""

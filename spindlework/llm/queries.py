@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, and their SQL."""
+"""The registered queries of the thirteen operators, each over its whole table, and their SQL."""
 
 from __future__ import annotations
 
@@ -11,9 +11,12 @@ from spindlework.llm import (
     bitsliced,
     chunks,
     contamination,
+    disclosure,
     hmm,
     language,
+    lexical,
     packing,
+    shallot,
     simhash,
     suffixes,
     token_counts,
@@ -71,6 +74,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_ids(_documents(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return shallot.cluster(read(spark, sf_dir, "embeddings"))[0]
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.personal_data(_documents(spark, sf_dir))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(_documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1,
     "op2_topk_search": op2,
@@ -82,6 +98,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8,
     "op9_suffix_dedup": op9,
     "op10_language_id": op10,
+    "op11_shallot_clustering": op11,
+    "op12_pii_disclosure": op12,
+    "op13_lexical_search": op13,
 }
 
-ORACLE = {"op2_topk_search": bitsliced.ORACLE, "op6_decontamination": contamination.ORACLE}
+ORACLE = {
+    "op2_topk_search": bitsliced.ORACLE,
+    "op6_decontamination": contamination.ORACLE,
+    "op11_shallot_clustering": shallot.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
+}

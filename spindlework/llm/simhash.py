@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindlework.llm.common import as_bytes, slices, store
+from spindlework.llm.common import as_bytes, fresh, slices, store
 from spindlework.llm.components import components
 
 SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit, bits
@@ -248,7 +248,7 @@ def chosen_rows(
     docs: DataFrame, prints: DataFrame, known: DataFrame, mark: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """The rows of ``docs`` that stand for the components ``known``; ``prints`` has (doc_id,
-    fp) of every row, and ``mark`` adds fp to rows (doc_id, text, _row)."""
+    fp) of every row, and ``mark`` gives rows (doc_id, text, any) with fp in place of text."""
     chosen = store(
         prints.join(known, "fp")
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -257,21 +257,22 @@ def chosen_rows(
         "chosen",
     )
     # ids of one row go by a join on the id; those of several are looked at in full
+    key, row, mark_, root = fresh(docs, "id", "row", "fp", "root")
     once = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
     once = once.filter("n = 1").select("doc_id")
-    single = store(chosen.join(once, "doc_id").select(F.col("doc_id").alias("_id")), "single-ids")
-    out = docs.join(single, F.col("doc_id") == F.col("_id"), "left_semi")
-    doubled = chosen.join(single, F.col("doc_id") == F.col("_id"), "left_anti")
+    single = store(chosen.join(once, "doc_id").select(F.col("doc_id").alias(key)), "single-ids")
+    out = docs.join(single, F.col("doc_id") == F.col(key), "left_semi")
+    doubled = chosen.join(single, F.col("doc_id") == F.col(key), "left_anti")
     if doubled.limit(1).count() == 0:
         return out
-    ids = doubled.select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    marked = mark(rest.withColumn("_row", F.struct(*docs.columns)).select("doc_id", "text", "_row"))
-    of = doubled.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "root")
+    ids = doubled.select(F.col("doc_id").alias(key)).distinct()
+    rest = docs.join(ids, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
+    marked = mark(rest.withColumn(row, F.struct(*docs.columns)).select("doc_id", "text", row))
+    of = doubled.select(F.col("doc_id").alias(key), F.col("fp").alias(mark_), F.col("root").alias(root))
     # of rows with the same id, those of the chosen fingerprint, and of these the least
     kept = (
-        marked.join(of, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
-        .groupBy("_id", "root")
-        .agg(F.min("_row").alias("_row"))
+        marked.join(of, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("fp") == F.col(mark_)))
+        .groupBy(key, root)
+        .agg(F.min(row).alias(row))
     )
-    return out.unionByName(kept.select("_row.*"))
+    return out.unionByName(kept.select(f"{row}.*"))
