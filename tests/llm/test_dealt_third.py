@@ -216,7 +216,7 @@ def test_sanitised_texts(spark, people):
     made = [(r.doc_id, r.text) for r in disclosure.sanitise(df).collect()]
     out = dict(made)
     assert "zzyzx" not in out[20].lower() and "[email]" in out[20] and " the " in out[20]
-    assert out[4].count("quimbly") == 1 and out[2] == " \n\t"
+    assert out[24].count("quimbly") == 1 and {(2, " \n\t"), (None, None), (1, "")} <= set(made)
     none = df.limit(0)
     assert disclosure.personal_data(none).count() == 0 and disclosure.sanitise(none).count() == 0
 
