@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,11 +57,35 @@ def encode_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def parse_json(df: DataFrame, schema: T.StructType = READING_SCHEMA, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Message ``value`` (bytes or text) as typed columns; bad fields become NULL."""
-    return df.select(
-        *keep, F.from_json(F.col("value").cast("string"), schema).alias("data")
-    ).select(*keep, "data.*")
+# A message as it came, and what is wrong with it.
+PAYLOAD = T.StructType().add("_payload", T.StringType()).add("_fault", T.StringType())
+
+
+def parse_json(
+    df: DataFrame, schema: T.StructType = READING_SCHEMA, keep: tuple[str, ...] = (), payload: bool = False
+) -> DataFrame:
+    """Message ``value`` (bytes or text) as typed columns; bad fields become NULL.
+
+    With ``payload`` each row keeps its text and its fault: ``empty`` (NULL), ``unreadable`` (no
+    JSON object), ``bad field`` (a value of another type), or NULL.
+    """
+    text = F.col("value").cast("string")
+    if not payload:
+        return df.select(*keep, F.from_json(text, schema).alias("data")).select(*keep, "data.*")
+    broken = "_broken"
+    wide = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
+    parsed = df.select(
+        *keep,
+        text.alias("_payload"),
+        F.from_json(text, wide, {"columnNameOfCorruptRecord": broken}).alias("data"),
+    )
+    nothing = reduce(and_, [F.col(f"data.`{c}`").isNull() for c in schema.names])
+    fault = (
+        F.when(F.col("_payload").isNull(), "empty")
+        .when(F.col(f"data.{broken}").isNotNull() & nothing, "unreadable")
+        .when(F.col(f"data.{broken}").isNotNull(), "bad field")
+    )
+    return parsed.select(*keep, *[F.col(f"data.`{c}`") for c in schema.names], "_payload", fault.alias("_fault"))
 
 
 def parse_telemetry(df: DataFrame) -> DataFrame:

@@ -376,11 +376,18 @@ SELECT round(accuracy, 9) AS accuracy, round(recall, 9) AS recall, round(precisi
     "model_comparison": f"""{_PRED}, s AS ({_STACK})
 SELECT round(accuracy, 9) AS accuracy, round(recall, 9) AS recall, round(precision, 9) AS precision, round(f1, 9) AS f1,
   model, model = (SELECT model FROM s ORDER BY f1 DESC, model DESC LIMIT 1) AS best FROM s""",
-    "stream_upsert_latest": f"""{_MR} SELECT {_COLS} FROM arrived QUALIFY row_number() OVER (PARTITION BY udi
-  ORDER BY ingest_ts DESC, ingest_seq1 DESC, ingest_seq2 DESC, ingest_seq3 DESC) = 1""",
-    "stream_batch_stats": f"""{_MR}, parsed AS (SELECT {_PARSED} FROM machine_readings)
-SELECT CAST(4 AS BIGINT) AS batches, count(*) AS rows, count(*) FILTER (WHERE udi IS NULL) AS rejects,
-  min(udi) AS min_udi, max(udi) AS max_udi FROM parsed""",
+    **{
+        name: f"""{_MR} SELECT {_COLS} FROM arrived QUALIFY row_number() OVER (PARTITION BY udi
+  ORDER BY ingest_ts DESC, ingest_seq1 DESC, ingest_seq2 DESC, ingest_seq3 DESC) = 1"""
+        for name in ("stream_upsert_latest", "stream_upsert_folded")
+    },
+    "stream_batch_stats": f"""{_MR}, parsed AS (
+  SELECT CAST(floor(udi / 10) % 4 AS BIGINT) AS batch_id, CASE WHEN {_LOST} THEN NULL ELSE udi END AS udi FROM machine_readings)
+SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE udi IS NULL) AS rejects, min(udi) AS min_udi, max(udi) AS max_udi
+FROM parsed GROUP BY 1""",
+    "stream_rejects": f"""{_MR}
+SELECT CASE WHEN udi % 20 = 0 THEN 'unreadable' END AS fault, CASE WHEN udi % 20 = 0 THEN CAST(udi AS VARCHAR) ELSE '' END AS named,
+  udi % 20 = 4 AS is_empty_object, CAST(NULL AS INTEGER) AS udi FROM machine_readings WHERE udi % 20 IN (0, 4)""",
     "relay_stream": "SELECT 'plant/' || event_type AS topic, props AS value FROM events",
     "label_index_freq": f"{_MR} SELECT udi, m.failure_type, CAST(idx AS DOUBLE) AS label FROM machine_readings m JOIN {_RANKED} r ON m.failure_type = r.failure_type",
     "label_index_alpha": f"""{_MR} SELECT udi, m.failure_type, CAST(idx AS DOUBLE) AS label, m.failure_type AS decoded

@@ -36,7 +36,7 @@ from spindlework.schemas import (
     READING_SCHEMA,
 )
 from spindlework.sources import files, fixtures, messages, sinks
-from spindlework.streaming import ingest
+from spindlework.streaming import ingest, keyed
 from spindlework.streaming import relay as relays
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,7 +214,7 @@ def json_encode_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- records --------------------------------------------------------------------
 
 
-def damaged_messages(m: DataFrame) -> DataFrame:
+def damaged_messages(m: DataFrame, *keep: str) -> DataFrame:
     """Readings as JSON, a few of them damaged in the ways a feed damages them."""
     kind = F.col("udi") % 20
     value = F.col("value")
@@ -227,7 +227,7 @@ def damaged_messages(m: DataFrame) -> DataFrame:
         .when(kind == 5, F.lit(None).cast("string"))
         .otherwise(value)
     )
-    return m.select("udi", F.to_json(F.struct(*m.columns)).alias("value")).select(damaged.alias("value"))
+    return m.select("udi", F.to_json(F.struct(*m.columns)).alias("value")).select(*keep, damaged.alias("value"))
 
 
 @query
@@ -426,14 +426,18 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(READING_SCHEMA).parquet(out)
 
 
-def _keyed_store(spark: SparkSession, values_df: DataFrame, extra: list[T.StructField]) -> str:
+def _keyed_store(
+    spark: SparkSession, values_df: DataFrame, fields: list[T.StructField], payload: bool = False, **options
+) -> str:
     folder, quarter = _staged(spark, values_df)
     store = new_path(spark, "keyed")
+    source = messages.text_stream(spark, folder, quarter)
     ingest.start_keyed(
-        ingest.parse_readings(messages.text_stream(spark, folder, quarter), extra, messages.ARRIVAL.names),
+        ingest.parse_readings(source, fields, messages.ARRIVAL.names, payload),
         store,
         new_path(spark, "offsets"),
         available_now=True,
+        **options,
     ).awaitTermination()
     return store
 
@@ -441,22 +445,42 @@ def _keyed_store(spark: SparkSession, values_df: DataFrame, extra: list[T.Struct
 @query
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fixtures.readings_with_arrival(spark, sf_dir)
-    store = _keyed_store(spark, records.encode_json(m), ARRIVAL_FIELDS)
-    return ingest.read_latest(spark, store, fixtures.ARRIVAL, ARRIVAL_FIELDS)
+    return keyed.read_latest(
+        spark, _keyed_store(spark, records.encode_json(m), ARRIVAL_FIELDS), fixtures.ARRIVAL, ARRIVAL_FIELDS
+    )
+
+
+@query
+def stream_upsert_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a store that folds every three batches: a snapshot and one open batch."""
+    m = fixtures.readings_with_arrival(spark, sf_dir)
+    order = {"newest_by": fixtures.ARRIVAL, "extra": ARRIVAL_FIELDS}
+    store = _keyed_store(spark, records.encode_json(m), ARRIVAL_FIELDS, fold_every=3, **order)
+    return keyed.read_latest(spark, store, **order)
 
 
 @query
 def stream_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of all micro-batches, totalled."""
+    """Each micro-batch's statistics, one batch for each remainder of the record number."""
     m = fixtures.machine_readings(spark, sf_dir)
-    stats = ingest.read_batch_stats(spark, _keyed_store(spark, damaged_messages(m), []))
-    return stats.agg(
-        F.count_distinct("batch_id").alias("batches"),
-        F.sum("rows").alias("rows"),
-        F.sum("rejects").alias("rejects"),
-        F.min("min_udi").alias("min_udi"),
-        F.max("max_udi").alias("max_udi"),
-    )
+    damaged = materialise(damaged_messages(m, "udi"), "damaged")
+    store = new_path(spark, "keyed")
+    sink = keyed.keyed_sink(store, fold_every=3)
+    for part in range(4):
+        rows = damaged.filter(F.floor(F.col("udi") / 10) % 4 == part).select("value")
+        sink(records.parse_json(rows, payload=True), part)
+    return keyed.read_batch_stats(spark, store)
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages of all micro-batches with their faults and what their payload names."""
+    m = fixtures.machine_readings(spark, sf_dir)
+    store = _keyed_store(spark, damaged_messages(m).filter("value IS NOT NULL"), [], payload=True, fold_every=3)
+    named = F.regexp_extract("_payload", '"udi":([0-9]+)', 1)
+    return keyed.read_rejects(spark, store).select(
+        F.col("_fault").alias("fault"), named.alias("named"), F.length("_payload") == 2, "udi"
+    ).toDF("fault", "named", "is_empty_object", "udi")
 
 
 @query
