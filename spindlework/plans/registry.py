@@ -632,28 +632,31 @@ def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- models ---------------------------------------------------------------------
-# They read coarse measures that the class follows from.  One-vs-rest boosting and the search
-# run with fewer trees and draws than the library's defaults, which take hours on this box.
+# They read coarse measures that the class follows from.
 
 
-def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    split = splits.with_hash_split(fixtures.graded_readings(spark, sf_dir), SPLIT_KEYS)
+def _train_test(
+    spark: SparkSession, sf_dir: str, view: Callable = fixtures.graded_readings
+) -> tuple[DataFrame, DataFrame]:
+    split = splits.with_hash_split(view(spark, sf_dir), SPLIT_KEYS)
     m = materialise(split, "split-readings")
     return m.filter("split = 'train'"), m.filter("split = 'test'")
 
 
-def _multiclass(name: str, estimator: Callable, **prepare) -> None:
+def _multiclass(name: str, estimator: Callable, view: Callable = fixtures.graded_readings, **prepare) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        train, test = _train_test(spark, sf_dir)
+        train, test = _train_test(spark, sf_dir, view)
         model = models.fit_model(train, estimator(), **prepare)
         return model.transform(test).select("udi", "failure_type", "label", "prediction", "predicted_class")
 
     QUERIES[name] = run
 
 
-def _binary(name: str, estimator: Callable[[int], object]) -> None:
+def _binary(
+    name: str, estimator: Callable[[int], object], view: Callable = fixtures.graded_readings
+) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        train, test = _train_test(spark, sf_dir)
+        train, test = _train_test(spark, sf_dir, view)
         rows = train.count()
         train, test = (d.withColumn("label", F.col("target").cast("double")) for d in (train, test))
         model = models.fit_model(
@@ -666,23 +669,43 @@ def _binary(name: str, estimator: Callable[[int], object]) -> None:
 
 _multiclass("rf_predict", lambda: models.random_forest(), scale="std")
 _multiclass("dt_predict", models.decision_tree, categorical="none")
-_multiclass("lr_multi_predict", models.multinomial_regression, categorical="none")
 _multiclass(
-    "gbt_multi_predict",
-    lambda: models.boosted_trees_multiclass(trees=4, rate=0.1, depth=4, parallelism=4),
-    scale="zscore",
-    categorical="one_hot_all",
-    label_order="text",
+    "lr_multi_predict", models.multinomial_regression, fixtures.separated_readings, categorical="none"
 )
+
+
+@query
+def gbt_multi_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One softmax ensemble at the tuned settings: 267 rounds, depth 6, rate 0.01."""
+    train, test = _train_test(spark, sf_dir)
+    prepare, model = models.fit_softmax_boosting(
+        train, scale="zscore", categorical="one_hot_all", label_order="text"
+    )
+    scored = model.transform(prepare.transform(test))
+    named = features.index_to_text("prediction", "predicted_class", features.labels_of(prepare))
+    return named.transform(scored).select("udi", "failure_type", "label", "prediction", "predicted_class")
+
+
 _binary("rf_binary_predict", lambda n: models.binary_forest())
-_binary("lr_binary_predict", lambda n: models.binary_regression(n))
+_binary("lr_binary_predict", lambda n: models.binary_regression(n), fixtures.separated_readings)
 _binary("gbt_binary_predict", lambda n: models.boosted_trees())
 
 
+@query
+def gbt_tuned_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tuned binary boosting: 173 rounds, depth 9, nine tenths of the rows a round."""
+    train, test = _train_test(spark, sf_dir)
+    train, test = (d.withColumn("label", F.col("target").cast("double")) for d in (train, test))
+    prepare, model = models.fit_softmax_boosting(
+        train, label=None, scale="zscore", categorical="one_hot_all", **models.TUNED_BOOSTING_BINARY
+    )
+    return model.transform(prepare.transform(test)).select("udi", "label", "prediction")
+
+
 @query
 def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = materialise(
-        _coordinates(spark, sf_dir, fixtures.graded_readings).select(
+        _coordinates(spark, sf_dir, fixtures.separated_readings).select(
             "udi",
             "split",
             (F.col("label") > 0).cast("double").alias("label"),
@@ -698,7 +721,7 @@ def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fitted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five classifiers of the failure flag, fitted on the train rows and measured on both parts."""
-    split = splits.with_hash_split(fixtures.graded_readings(spark, sf_dir), SPLIT_KEYS)
+    split = splits.with_hash_split(fixtures.separated_readings(spark, sf_dir), SPLIT_KEYS)
     m = split.withColumn("label", F.col("target").cast("double"))
     m = materialise(m.select("split", "label", "type", *NUMERIC_FEATURES), "split-readings")
     prepare = features.fit_features(
@@ -723,18 +746,30 @@ def fitted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prediction_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_test(spark, sf_dir)
     model = models.fit_model(train, models.decision_tree())
-    return models.prediction_listing(model.transform(test), 5, SPLIT_KEYS)
+    listed = models.prediction_listing(model.transform(test), 5, SPLIT_KEYS)
+    values = [F.col("features")[i].alias(f"f{i}") for i in range(len(NUMERIC_FEATURES))]
+    return listed.select(*SPLIT_KEYS, *values, "label", "prediction")
+
+
+def _search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = fixtures.graded_readings(spark, sf_dir)
+    split = splits.with_hash_split(m, SPLIT_KEYS).filter("split = 'train'")
+    return materialise(splits.with_folds(split, SPLIT_KEYS), "search-readings")
 
 
 @query
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixtures.graded_readings(spark, sf_dir)
-    train = splits.with_folds(splits.with_hash_split(m, SPLIT_KEYS).filter("split = 'train'"), SPLIT_KEYS)
-    train = materialise(train, "search-readings")
-    ready = features.fit_features(train).transform(train)
-    space = {"numTrees": (2, 6), "maxDepth": [4, 6], "minInstancesPerNode": (1, 10)}
-    table, _ = tuning.random_search(ready, models.random_forest(), space, draws=2, parallelism=4)
-    return table
+    """The forest space in full: 50 draws, five folds, F1 weighted over all classes."""
+    train = _search_rows(spark, sf_dir)
+    return tuning.shared_search(features.fit_features(train, categorical="index").transform(train), "forest")
+
+
+@query
+def random_search_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boosting space in full: 50 draws, five folds, F1 of the failure flag."""
+    train = _search_rows(spark, sf_dir).withColumn("label", F.col("target").cast("double"))
+    ready = features.fit_features(train, label=None, categorical="index").transform(train)
+    return tuning.shared_search(ready, "boosting", binary=True)
 
 
 @query
