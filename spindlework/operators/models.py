@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from spindlework.operators.binned import Boosted, fit_boosted
 from spindlework.operators.features import fit_features, index_to_text, labels_of
+from spindlework.operators.resample import resampled
 from spindlework.plans.workspace import materialise, work_dir
 from spindlework.schemas import NUMERIC_FEATURES
 
@@ -177,11 +178,17 @@ def fit_kernel_svm(
 
 
 def fit_model(
-    train: DataFrame, estimator: Estimator, decode: str | None = "predicted_class", **features
+    train: DataFrame,
+    estimator: Estimator,
+    decode: str | None = "predicted_class",
+    resample: bool = False,
+    **features,
 ) -> PipelineModel:
     """Preparation, classifier and class text as one model that can be saved whole.
 
-    Rows that lack a measure, the category or the label teach nothing and are left out.
+    Rows that lack a measure, the category or the label teach nothing and are left out.  With
+    ``resample`` the classifier learns from the prepared rows and synthetic ones that lift every
+    class to the size of the largest; the preparation is fitted on the given rows.
     """
     label = features.get("label", "failure_type")
     needed = [*features.get("numeric", NUMERIC_FEATURES), features.get("category", "type"), label or "label"]
@@ -193,6 +200,9 @@ def fit_model(
     if len(known) > 1:  # classifiers learn the classes that occur, not the slot for unseen ones
         target = target.alias("label", metadata={"ml_attr": {"type": "nominal", "vals": known}})
     ready = materialise(prepare.transform(train).select("features", target), "training")
+    if resample and (first := ready.first()) is not None:
+        balanced = resampled(ready, len(first["features"]))
+        ready = materialise(balanced.select("features", target), "resampled")
     stages = [*prepare.stages, estimator.fit(ready)]
     if decode and known:
         stages.append(index_to_text("prediction", decode, known))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,10 +111,36 @@ def smote_synthetic(
     return drawn.select("label", "base", "turn", *moved)
 
 
-def smote_oversample(df: DataFrame, coords: list[str], label: str = "label", **options) -> DataFrame:
-    """The given rows and the synthetic ones, marked."""
+def smote_oversample(
+    df: DataFrame, coords: list[str], label: str = "label", origin: bool = False, **options
+) -> DataFrame:
+    """The given rows and the synthetic ones, marked; ``origin`` keeps what a synthetic row came from."""
     given = df.select(
         F.col(label).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in coords]
     ).withColumn("synthetic", F.lit(False))
-    made = smote_synthetic(df, coords, label, **options)
-    return given.unionByName(made.drop("base", "turn").withColumn("synthetic", F.lit(True)))
+    made = smote_synthetic(df, coords, label, **options).withColumn("synthetic", F.lit(True))
+    both = given.unionByName(made, allowMissingColumns=True)
+    return both if origin else both.drop("base", "turn")
+
+
+def resampled(ready: DataFrame, width: int, seed: int | str = 42, **options) -> DataFrame:
+    """(features, label) with every class lifted to the size of the largest; ``features`` has
+    ``width`` entries.  Features of a category may come out between its slots."""
+    names = [f"x{i}" for i in range(width)]
+    cells = vector_to_array("features")
+    flat = ready.select("label", *[cells[i].alias(n) for i, n in enumerate(names)])
+    both = smote_oversample(materialise(flat, "to-resample"), names, seed=seed, **options)
+    return both.select(array_to_vector(F.array(*names)).alias("features"), F.col("label").cast("double").alias("label"))
+
+
+def resampled_rounds(
+    ready: DataFrame, folds: int, width: int, fold: str = "fold", seed: int | str = 42, **options
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(train, test) of each round of a cross-validation.
+
+    Only the rows outside the round's fold are resampled, so no synthetic row comes from, or
+    lies beside, a row that the model is then measured on.
+    """
+    for k in range(folds):
+        train = ready.filter(F.col(fold) != k).select("features", "label")
+        yield resampled(train, width, seed, **options), ready.filter(F.col(fold) == k).select("features", "label")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spindlework.operators import binned
 from spindlework.operators.models import tree_depth
+from spindlework.operators.resample import resampled_rounds
 from spindlework.plans.workspace import materialise
 
 # The searched spaces.  A pair is a range [low, high), a list a choice.
@@ -89,6 +90,23 @@ def random_search(
     return table, search.bestModel
 
 
+def cross_validate(
+    ready: DataFrame, estimator: Estimator, folds: int = FOLDS, binary: bool = False, resample: bool = False,
+    fold_column: str = "fold", **options,
+) -> list[float]:
+    """F1 of each fold; with ``resample`` a round learns from synthetic rows of its own train rows too."""
+    ready = materialise(ready.select("features", "label", fold_column), "cross-validation")
+    if resample:
+        first = ready.first()
+        rounds = resampled_rounds(ready, folds, len(first["features"]) if first else 0, fold_column, **options)
+    else:
+        rounds = (
+            (ready.filter(F.col(fold_column) != k), ready.filter(F.col(fold_column) == k)) for k in range(folds)
+        )
+    measure = f1_evaluator(binary)
+    return [measure.evaluate(estimator.fit(materialise(a, "round")).transform(b)) for a, b in rounds]
+
+
 def _units(kind: str, settings: list[dict]) -> tuple[list[dict], list[tuple[int, int, int]]]:
     """Fits that serve all draws, and for each draw its (fit, trees, depth).
 

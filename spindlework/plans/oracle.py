@@ -143,6 +143,7 @@ _C_LIST = ", ".join(_C)
 _DIST = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _C)
 
 _RAW_LIST = ", ".join(RAW_COLUMNS)
+_LINE = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in RAW_COLUMNS if c != "udi")
 _READING_NULLS_FIRST = ", ".join(f"{c} NULLS FIRST" for c in READING_COLUMNS)
 
 _CELLS = " UNION ALL ".join(
@@ -282,19 +283,20 @@ LEFT JOIN (SELECT DISTINCT product_id, product_name, product_category, manufactu
 LEFT JOIN date_dim d ON fact.date_id = d.date_id
 GROUP BY 1, 2, 3, 4, 5""",
     "star_load": f"""{_FACT}
-SELECT 'failure_dim' AS table_name, count(*) AS row_count FROM (SELECT DISTINCT failure_type, failure_type_id FROM machine_readings)
-UNION ALL SELECT 'type_dim', count(*) FROM (SELECT DISTINCT type, type_id FROM machine_readings)
-UNION ALL SELECT 'product_dim', count(*) FROM (
+SELECT 'failure_dim' AS table_name, * FROM (SELECT DISTINCT failure_type, failure_type_id FROM machine_readings)
+UNION ALL BY NAME SELECT 'type_dim' AS table_name, * FROM (SELECT DISTINCT type, type_id FROM machine_readings)
+UNION ALL BY NAME SELECT 'product_dim' AS table_name, * FROM (
   SELECT DISTINCT product_id, product_name, product_category, manufacturer FROM machine_readings)
-UNION ALL SELECT 'date_dim', count(*) FROM date_dim
-UNION ALL SELECT 'fact_table', count(*) FROM fact""",
+UNION ALL BY NAME SELECT 'date_dim' AS table_name, * FROM date_dim
+UNION ALL BY NAME SELECT 'fact_table' AS table_name, * FROM fact""",
     "parse_timestamp": f"""{_MR} SELECT udi, timestamp, {_CANON} AS canonical,
   CAST(month(TRY_CAST(timestamp AS TIMESTAMP)) AS INT) AS month,
   CAST(year(TRY_CAST(timestamp AS TIMESTAMP)) AS INT) AS year FROM machine_readings""",
     "csv_scan": _ten(),
     "csv_dir_load": f"""{_MR}
-SELECT {_RAW_LIST}, false AS rejected FROM machine_readings WHERE udi % 50 <> 0
-UNION ALL SELECT {", ".join("NULL" for _ in RAW_COLUMNS)}, true FROM machine_readings WHERE udi % 50 = 0""",
+SELECT {_RAW_LIST}, false AS rejected, NULL AS line FROM machine_readings WHERE udi % 50 <> 0
+UNION ALL SELECT {", ".join("NULL" for _ in RAW_COLUMNS)}, true,
+  'broken ' || concat_ws(',', udi, {_LINE}) FROM machine_readings WHERE udi % 50 = 0""",
     **{
         name: f"{_MR} SELECT * FROM machine_readings"
         for name in ("keyed_scan", "warehouse_write", "ensure_table", "stream_ingest", "stream_available_now")
@@ -452,7 +454,8 @@ FROM split JOIN lab ON failure_type = ft, fit""",
 ), moved AS (
   SELECT w.*, {", ".join(f"n_{c}" for c in _C)}, {_number("d", 9)} / 4294967296.0::DOUBLE AS u FROM drawn w JOIN near n
   ON w.label = n.label AND w.base = n.base AND n.rank = {_number("d")} % least(5, class_rows - 1)
-) SELECT label, base, turn, {", ".join(f"(CAST({c} AS DOUBLE) + u * (CAST(n_{c} AS DOUBLE) - CAST({c} AS DOUBLE))) / 10000 AS {c}" for c in _C)} FROM moved""",
+) SELECT label, base, turn, true AS synthetic, {", ".join(f"(CAST({c} AS DOUBLE) + u * (CAST(n_{c} AS DOUBLE) - CAST({c} AS DOUBLE))) / 10000 AS {c}" for c in _C)} FROM moved
+UNION ALL SELECT label, NULL, NULL, false, {", ".join(f"CAST({c} AS DOUBLE) / 10000" for c in _C)} FROM grid WHERE split = 'train'""",
     "knn_predict": f"""{_GRID}, test AS (
   SELECT row_number() OVER () AS rid, * FROM grid WHERE split = 'test'
 ), train AS (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,11 +126,8 @@ def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     write, read = warehouse.parquet_target(spark, new_path(spark, "warehouse"))
     warehouse.load_star(_stored_readings(spark, sf_dir), write, read)
-    counts = [
-        read(t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-        for t in warehouse.TABLES
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3]).unionByName(counts[4])
+    stored = [read(t).withColumn("table_name", F.lit(t)) for t in warehouse.TABLES]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stored)
 
 
 @query
@@ -172,7 +170,7 @@ def csv_dir_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.write.mode("append").option("header", True).csv(folder)
     good, bad = files.csv_folder(spark, folder)
     good = records.format_record(good).withColumn("rejected", F.lit(False))
-    return good.unionByName(bad.select(F.lit(True).alias("rejected")), allowMissingColumns=True)
+    return good.unionByName(bad.select("line", F.lit(True).alias("rejected")), allowMissingColumns=True)
 
 
 @query
@@ -618,10 +616,10 @@ def _coordinates(
 
 @query
 def smote_oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic rows of the training part only; coordinates in scaled units."""
+    """The training part and its synthetic rows; coordinates in scaled units."""
     c = materialise(_coordinates(spark, sf_dir).filter("split = 'train'"), "coordinates")
-    made = resample.smote_synthetic(c, COORDS)
-    return made.select("label", "base", "turn", *[(F.col(x) / GRID).alias(x) for x in COORDS])
+    rows = resample.smote_oversample(c, COORDS, origin=True)
+    return rows.select("label", "base", "turn", "synthetic", *[(F.col(x) / GRID).alias(x) for x in COORDS])
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import DATA
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from spindlework.operators import evaluate, models, splits, tuning
@@ -90,3 +91,40 @@ def test_fitted_comparison(spark):
     assert {m for (m, _), r in got.items() if r["best"]} == {"a"}
     assert tuple(got["c", "accuracy"])[2:4] == (1.0, 0.8)
     assert abs(got["c", "accuracy"]["gap"] - 0.2) < 1e-12
+
+
+def test_model_learns_from_synthetic_rows(spark):
+    """A rare class of a tenth of a percent is lost without them and found with them."""
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 200 == 0, "rare").otherwise("common").alias("failure_type"),
+        (F.when(F.col("id") % 200 == 0, 60.0).otherwise(0.0) + F.col("id") % 70).alias("torque"),
+        *[(F.pmod(F.xxhash64("id", F.lit(c)), F.lit(50))).cast("double").alias(c) for c in ("air_temperature", "process_temperature", "rotational_speed", "tool_wear")],
+        F.lit("L").alias("type"),
+    )
+    estimator = models.decision_tree(depth=3)
+    found = {}
+    for resample in (False, True):
+        scored = models.fit_model(df, estimator, resample=resample, categorical="none").transform(df)
+        found[resample] = scored.filter("failure_type = 'rare' AND predicted_class = 'rare'").count()
+    assert found[True] > found[False]
+
+
+def test_held_out_rows_never_shape_synthetic_ones(spark):
+    """Whatever stands in a held-out fold, the round's training rows stay the same."""
+    from spindlework.operators import resample
+
+    def rounds(shift):
+        rows = [(DenseVector([float(i % 13) + (shift if i % 3 == k else 0), float(i % 7)]), float(i % 10 == 0), i % 3) for i in range(120) for k in (0,)]
+        ready = spark.createDataFrame(rows, ["features", "label", "fold"])
+        return [[sorted((r.label, *r.features) for r in part.collect()) for part in pair] for pair in resample.resampled_rounds(ready, 3, 2)]
+
+    plain, moved = rounds(0.0), rounds(1000.0)
+    assert plain[0][0] == moved[0][0] and plain[0][1] != moved[0][1]  # fold 0 is held out in round 0
+    assert plain[1][0] != moved[1][0]
+    for train, test in plain:
+        assert len(test) == 40 and sum(r[0] for r in train) == len(train) / 2  # the classes are even
+    scores = tuning.cross_validate(
+        spark.createDataFrame([(DenseVector([float(i % 10 == 0), float(i % 7)]), float(i % 10 == 0), i % 3) for i in range(300)], ["features", "label", "fold"]),
+        models.decision_tree(), folds=3, binary=True, resample=True,
+    )
+    assert scores == [1.0, 1.0, 1.0]
