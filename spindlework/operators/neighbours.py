@@ -1,13 +1,18 @@
 """Exact k nearest neighbours as two cogrouped joins over space partitions.
 
 Copies are collapsed first: a point is a distinct (group, coordinates, label) with
-its number of copies, a query a distinct (group, coordinates).  A bounded sample of
-the points gives median splits that cut space into leaves; points and queries are
-shuffled by leaf.  Round one finds each query's best ``k`` inside its own leaf, which
-bounds its search radius; round two sends the query to exactly those other leaves
-whose bounding box reaches into that radius.  Large leaves are cut into chunks, so
-no task holds an unbounded group, and a task emits at most ``k`` points per query.
-Neighbours are ordered by distance, then label, then coordinates.
+its number of copies, a query a distinct (group, coordinates).  A sample of each group gives
+median splits that cut space into leaves, at most ``TOP_LEAVES`` in all, so the broadcast tree is
+bounded; points and queries are shuffled by leaf.  Round one finds each query's best ``k`` inside
+its own leaf, which bounds its search radius; round two sends the query to exactly those other
+leaves whose bounding box reaches into that radius.
+
+Inside a task the points of a leaf are cut further, by medians of themselves, into small ones of
+``SMALL`` points.  A query visits these nearest first and its radius shrinks with every better
+point, so it stops after a few of them, however many points the leaf has: the leaves follow
+the table and the work of a query does not.  Large leaves are cut into chunks, so no task holds
+an unbounded group, and a task emits at most ``k`` points per query.  Neighbours are ordered by
+distance, then label, then coordinates.
 """
 
 from __future__ import annotations
@@ -24,9 +29,10 @@ from pyspark.sql import functions as F
 from spindlework.operators.joins import lookup_join
 from spindlework.plans.workspace import materialise
 
-LEAF_ROWS = 1024
+LEAF_ROWS = 16_384
 SAMPLE_PER_LEAF = 64
-MAX_SAMPLE = 200_000  # sampled points on the driver, which also bounds the leaves
+TOP_LEAVES = 4096  # bounds the broadcast tree and, with SAMPLE_PER_LEAF, the driver's sample
+SMALL = 128  # points of a leaf inside a task
 QUERY_CHUNK = 20_000
 POINT_CHUNK = 100_000
 _BLOCK_CELLS = 4_000_000  # distances held at once by a task
@@ -122,28 +128,72 @@ def _grow(sample: np.ndarray, points: int, first_leaf: int, leaf_rows: int) -> S
     return SplitTree(first_leaf, depth, axis, cut)
 
 
+def _small_leaves(p: np.ndarray) -> list[np.ndarray]:
+    """Rows of ``p`` in sets of at most ``SMALL``, halved along the widest axis."""
+    out, todo = [], [np.arange(len(p))]
+    while todo:
+        rows = todo.pop()
+        part = p[rows]
+        spread = part.max(axis=0) - part.min(axis=0)
+        axis = int(np.argmax(spread))
+        if len(rows) <= SMALL or not spread[axis] > 0:
+            out.append(rows)
+            continue
+        half = len(rows) // 2
+        order = np.argpartition(part[:, axis], half)
+        todo += [rows[order[:half]], rows[order[half:]]]
+    return out
+
+
+def _squares(gaps: list[np.ndarray]) -> np.ndarray:
+    """Sum of squares, always in the order of the coordinates, so that boxes and points round alike."""
+    total = np.square(gaps[0])
+    for gap in gaps[1:]:
+        total += np.square(gap)
+    return total
+
+
 def _best(q: np.ndarray, p: np.ndarray, radius: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query row, point row, squared distance) of up to ``k`` points per query."""
-    found: list[tuple[np.ndarray, ...]] = [
-        (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
-    ]
-    step = max(1, _BLOCK_CELLS // max(1, len(p)))
-    for start in range(0, len(q), step):
-        block = q[start : start + step]
-        dist = np.square(block[:, 0, None] - p[None, :, 0])
-        for j in range(1, q.shape[1]):
-            dist += np.square(block[:, j, None] - p[None, :, j])
-        limit = radius[start : start + step]
-        if len(p) > k:
-            limit = np.minimum(limit, np.partition(dist, k - 1, axis=1)[:, k - 1])
-        rows, cols = np.nonzero(dist <= limit[:, None])
-        value = dist[rows, cols]
-        order = np.lexsort((cols, value, rows))
-        rows, cols, value = rows[order], cols[order], value[order]
-        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        keep = rank < k
-        found.append((rows[keep] + start, cols[keep], value[keep]))
-    return tuple(np.concatenate(c) for c in zip(*found))
+    """(query row, point row, squared distance) of up to ``k`` points per query; ties by point row."""
+    leaves, dims = _small_leaves(p) if len(p) else [], q.shape[1]
+    low, high = (np.array([f(p[rows], axis=0) for rows in leaves]).reshape(-1, dims) for f in (np.min, np.max))
+    found: list[tuple[np.ndarray, ...]] = []
+    step = max(1, _BLOCK_CELLS // max(1, len(leaves)))
+    limit = radius.copy()
+    for start in range(0, len(q) if leaves else 0, step):
+        x = q[start : start + step]
+        box = _squares(
+            [np.maximum(np.maximum(low[:, j] - x[:, j, None], x[:, j, None] - high[:, j]), 0.0) for j in range(dims)]
+        )
+        near, bound = np.full((len(x), k), np.inf), limit[start : start + step]
+        active = np.arange(len(x))
+        while True:
+            leaf = box[active].argmin(1)  # the nearest one not visited
+            gap = box[active, leaf]
+            go = (gap <= bound[active]) & np.isfinite(gap)
+            active, leaf = active[go], leaf[go]
+            if not len(active):
+                break
+            box[active, leaf] = np.inf
+            order = np.argsort(leaf, kind="stable")
+            edges = np.flatnonzero(np.diff(leaf[order])) + 1
+            for at in np.split(order, edges):
+                rows, points = active[at], leaves[leaf[at[0]]]
+                dist = _squares([x[rows, j, None] - p[points, j] for j in range(dims)])
+                best = np.partition(dist, k - 1, axis=1)[:, :k] if len(points) > k else dist
+                near[rows] = np.sort(np.concatenate((near[rows], best), 1), 1)[:, :k]
+                bound[rows] = np.minimum(bound[rows], near[rows, k - 1])
+                r, c = np.nonzero(dist <= bound[rows, None])
+                found.append((rows[r] + start, points[c], dist[r, c]))
+    if not found:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+    rows, cols, value = (np.concatenate(c) for c in zip(*found))
+    keep = value <= limit[rows]
+    rows, cols, value = rows[keep], cols[keep], value[keep]
+    order = np.lexsort((cols, value, rows))
+    rows, cols, value = rows[order], cols[order], value[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[keep], cols[keep], value[keep]
 
 
 def nearest_points(
@@ -186,11 +236,9 @@ def nearest_points(
     )
 
     sizes = {r[g]: r["count"] for r in points.groupBy(g).count().collect()}
-    total = max(1, sum(sizes.values()))
-    share = min(1.0, MAX_SAMPLE / total, max(SAMPLE_PER_LEAF / leaf_rows, 20_000 / total))
-    sample = (
-        points.sampleBy(g, {name: share for name in sizes}, seed=7).select(g, *coords).toPandas()
-    )
+    leaf_rows = max(leaf_rows, sum(sizes.values()) // TOP_LEAVES)
+    shares = {name: min(1.0, SAMPLE_PER_LEAF * (size // leaf_rows + 1) / size) for name, size in sizes.items()}
+    sample = points.sampleBy(g, shares, seed=7).select(g, *coords).toPandas()
     trees: dict[str, SplitTree] = {}
     first_leaf = 0
     for name, size in sorted(sizes.items()):

@@ -335,11 +335,12 @@ FROM machine_readings m""",
   SELECT "column", count(*) FILTER (WHERE i) AS int_cells, count(*) FILTER (WHERE f AND NOT i) AS float_cells,
     count(*) FILTER (WHERE NOT f AND NOT i) AS string_cells FROM typed GROUP BY 1
 ) SELECT *, CASE WHEN string_cells > 0 THEN 'string' WHEN float_cells > 0 THEN 'float' ELSE 'int' END AS inferred FROM c""",
-    "advice_lookup": f"""{_MR}, names(nr, class, french_name) AS (VALUES {_NAMES}),
-advice AS (SELECT class, french_name, n_name AS advice FROM names LEFT JOIN nation ON n_nationkey = nr AND nr < 5),
+    "advice_lookup": f"""{_MR}, names(nr, name_class, french_name) AS (VALUES {_NAMES}),
+advice AS (SELECT name_class AS class, n_name FROM names JOIN nation ON n_nationkey = nr AND nr < 5
+  UNION ALL SELECT 'Unlisted Failure', n_name FROM nation WHERE n_nationkey = 6),
 named AS (SELECT udi, CASE WHEN udi % 13 = 0 THEN 'Unlisted Failure' ELSE failure_type END AS failure_class FROM machine_readings)
-SELECT udi, failure_class, coalesce(french_name, {_text(NO_NAME)}) AS french_name,
-  coalesce(advice, {_text(NO_ADVICE)}) AS advice FROM named LEFT JOIN advice ON failure_class = class""",
+SELECT udi, failure_class, coalesce(french_name, {_text(NO_NAME)}) AS french_name, coalesce(n_name, {_text(NO_ADVICE)}) AS advice
+FROM named LEFT JOIN names ON failure_class = name_class LEFT JOIN advice ON failure_class = class""",
     "prompt_build": f"SELECT conv_id, turn, {_text(PROMPT_PREFIX)} || text AS prompt FROM conversations WHERE role = 'user'",
     "reply_guard": f"""{_TALK}, before AS (
   SELECT *, lag(role) OVER w AS role0, lag(text) OVER w AS text0 FROM dialogue WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
@@ -363,6 +364,9 @@ FROM conversations""",
 SELECT "column", count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, min(x) AS min,
   round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
   round(quantile_cont(x, 0.75), 6) AS p75, max(x) AS max FROM cells GROUP BY 1""",
+    "profile_from_sketches": f"""{_MR}, cells AS ({_CELLS})
+SELECT "column", count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, min(x) AS min, max(x) AS max,
+  true AS p25_within, true AS p50_within, true AS p75_within, true AS distinct_within FROM cells GROUP BY 1""",
     "nunique": f"{_MR} "
     + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values FROM machine_readings" for c in READING_COLUMNS

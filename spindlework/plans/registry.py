@@ -292,9 +292,11 @@ def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _advice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Advice for five of the six classes, from a given table in the order of its keys."""
-    classes = spark.createDataFrame(list(enumerate(scoring.FRENCH_NAMES)), "n_nationkey bigint, class string")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").filter("n_nationkey < 5")
+    """Advice for five of the six classes and one without a name, from a given table in the
+    order of its keys."""
+    named = [*enumerate(scoring.FRENCH_NAMES), (6, "Unlisted Failure")]
+    classes = spark.createDataFrame(named, "n_nationkey bigint, class string")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").filter("n_nationkey < 5 OR n_nationkey = 6")
     return nation.withColumn("n_nationkey", F.col("n_nationkey").cast("bigint")).join(classes, "n_nationkey").select(
         "class", F.col("n_name").alias("advice")
     )
@@ -337,6 +339,33 @@ _readings("null_counts", explore.null_counts)
 _readings("correlation_matrix", lambda m: _rounded(explore.correlation_matrix(m), 8))
 _readings("describe_numeric", lambda m: _rounded(explore.describe_numeric(m), 6))
 _readings("nunique", explore.nunique)
+
+
+@query
+def profile_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile of all readings from the stored sketches of four batches; quartiles and distinct
+    counts as whether they keep their bounds against the exact ones."""
+    m = _stored_readings(spark, sf_dir)
+    store = new_path(spark, "profiles")
+    for part in range(4):
+        batch = m.filter(F.pmod(F.xxhash64("udi"), F.lit(4)) == part)
+        explore.profile_sketches(batch).write.mode("append").parquet(store)
+    sketched = explore.describe_sketches(spark.read.parquet(store))
+    exact = explore.nunique(m.select(*NUMERIC_FEATURES)).withColumnRenamed("distinct_values", "exact")
+    values = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in NUMERIC_FEATURES])).alias("x")).select("x.*")
+    # share of values below and up to each quartile: the quartile lies between the two
+    shares = [
+        ((F.count_if(F.col("v") < F.col(p)) / F.count("*") <= q + 0.01) & (F.count_if(F.col("v") <= F.col(p)) / F.count("*") >= q - 0.01)).alias(f"{p}_within")
+        for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    ]
+    near = values.join(F.broadcast(sketched), "column").groupBy("column").agg(*shares)
+    return _rounded(
+        sketched.join(near, "column").join(exact, "column").select(
+            "column", "count", "mean", "std", "min", "max", "p25_within", "p50_within", "p75_within",
+            (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact") + 1).alias("distinct_within"),
+        ), 6,
+    )
+
 _readings("scatter_grid", explore.scatter_grid)
 
 # --- evaluation -----------------------------------------------------------------

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,23 +23,62 @@ def csv_scan(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return strip_bom(reader.csv(path))
 
 
+HEAD_BYTES = 1 << 16  # read at a time until a header's line ends
+
+
+def _first_line(path: str) -> bytes:
+    """First line of a file, in any file system that pyarrow can open."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        system, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        system, place = fs.FileSystem.from_uri(path)
+    line = b""
+    with system.open_input_file(place) as source:
+        while b"\n" not in line and (block := source.read(HEAD_BYTES)):
+            line += block
+    return line.partition(b"\n")[0].removesuffix(b"\r")
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        heads = [_first_line(p).decode("utf-8", "replace") for p in batch.column("path").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), batch.column("path")], names=["header", "path"])
+
+
 def _headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Header line -> files that start with it.  The driver sees one line per file."""
-    lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .text(folder)
-        .select(
-            F.col("value"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("at"),
+    """Header line -> files that start with it.
+
+    Tasks open the files and read on until the first line ends, so the pass costs the same for
+    small and large files; only groups of equal headers come to the driver, with the paths that
+    Spark's reader is given next.  Where pyarrow doesn't know the file system, Spark reads the
+    first lines, and passes over all of them.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
+    if spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).toUri().getScheme() in _OPENED:
+        parts = spark.sparkContext.defaultParallelism
+        lines = found.repartition(parts).mapInArrow(_first_lines, "header string, path string")
+        lines = lines.filter("header <> ''")
+    else:
+        lines = (
+            spark.read.option("pathGlobFilter", "*.csv")
+            .text(folder)
+            .select(
+                F.col("value"),
+                F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"),
+                F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("at"),
+            )
+            .filter(F.col("start") == 0)
+            .groupBy("path")
+            .agg(F.min_by("value", "at").alias("header"))
         )
-        .filter(F.col("start") == 0)
-    )
-    groups: dict[str, list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect():
-        groups.setdefault(row["header"], []).append(row["file"])
-    return groups
+    groups = lines.groupBy("header").agg(F.collect_list("path").alias("paths"))
+    return {row["header"]: row["paths"] for row in groups.collect()}
+
+
+_OPENED = (None, "file", "s3", "gs", "hdfs")
 
 
 def _header_names(header: str) -> list[str]:

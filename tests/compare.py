@@ -18,6 +18,19 @@ TABLES = (
 DATA = Path("/root/testdata")
 
 
+# Queries that SQL cannot express, and what checks them instead.
+UNCHECKED = {
+    "random_search_boosting": "tests/test_binned.py: fits by definition, both layouts, scores of folds",
+    **{
+        name: "tests/llm: brute force, exact round trips or held-out labels"
+        for name in (
+            "op1_substring_dedup", "op3_token_counts", "op4_simhash_near_dedup", "op5_toxicity", "op7_hmm_scores",
+            "op8_best_fit_packing", "op9_suffix_dedup", "op10_language_id", "op12_pii_disclosure", "pipeline",
+        )
+    },
+}
+
+
 def connect(sf_dir: Path) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -50,7 +63,7 @@ def check(spark, con, name: str, query, sql: str | None, sf_dir: Path) -> tuple[
     got = query(spark, str(sf_dir)).toPandas()
     took = time.time() - start
     if sql is None:
-        return True, f"{took:6.1f}s rows={len(got)} (rows only)"
+        return name in UNCHECKED, f"{took:6.1f}s rows={len(got)}, no SQL: {UNCHECKED.get(name, 'no check at all')}"
     start = time.time()
     want = con.execute(sql).fetchdf()
     oracle_took = time.time() - start

@@ -171,6 +171,75 @@ def test_csv_folder(spark, tmp_path):
         files.csv_folder(spark, str(tmp_path / "missing"))
 
 
+def test_profile_of_all_batches_from_their_sketches(spark):
+    """Ranks and distinct counts within their bounds, the rest exact, however the rows fall into batches."""
+    df = spark.range(200_000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) ** 1.5).alias("wide"),
+        (F.col("id") % 37).cast("double").alias("few"),
+        F.when(F.col("id") < 5, F.col("id")).cast("double").alias("rare"),
+        F.lit(None).cast("double").alias("none"),
+        "id",
+    )
+    names = ["wide", "few", "rare", "none"]
+    store = new_path(spark, "profiles")
+    for low, high in ((0, 5), (5, 100_000), (100_000, 100_000), (100_000, 200_000)):
+        batch = df.filter((F.col("id") >= low) & (F.col("id") < high))
+        explore.profile_sketches(batch, names).write.mode("append").parquet(store)
+    got = {r["column"]: r for r in explore.describe_sketches(spark.read.parquet(store)).collect()}
+    want = {r["column"]: r for r in explore.describe_numeric(df, names).collect()}
+    for c in names:
+        assert (got[c]["count"], got[c]["min"], got[c]["max"]) == (want[c]["count"], want[c]["min"], want[c]["max"])
+        for m in ("mean", "std"):
+            assert got[c][m] == want[c][m] or abs(got[c][m] / want[c][m] - 1) < 1e-9
+    for q in (0.25, 0.5, 0.75):
+        below = df.filter(F.col("wide") <= got["wide"][f"p{int(q * 100)}"]).count() / 200_000
+        assert abs(below - q) < 0.01
+    assert abs(got["wide"]["distinct_values"] / df.select("wide").distinct().count() - 1) < 0.05
+    assert got["few"]["distinct_values"] == 37 and got["none"]["distinct_values"] == 0 and got["none"]["p50"] is None
+
+
+def test_csv_headers_are_read_without_the_rest(spark, tmp_path, monkeypatch):
+    """A file that no line reader could pass, behind a header: only its first block is opened."""
+    (tmp_path / "a b.csv").write_bytes(b"UDI,Type\r\n" + b"1,L\n" * 200_000)
+    (tmp_path / "c.csv").write_text("Type,UDI\nM,4\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "wide.csv").write_text("UDI," + "x" * 100_000)
+    by_task = files._headers(spark, str(tmp_path))
+    assert {h[:9]: len(p) for h, p in by_task.items()} == {"UDI,Type": 1, "Type,UDI": 1, "UDI,xxxxx": 1}
+    monkeypatch.setattr(files, "_OPENED", ())
+    assert {h[:9] for h in files._headers(spark, str(tmp_path))} == {"UDI,Type", "Type,UDI", "UDI,xxxxx"}
+    good, bad = files.csv_folder(spark, str(tmp_path))
+    assert good.filter("Type = 'L'").count() == 200_000 and bad.count() == 0
+
+
+def test_first_line_stops_at_its_end(tmp_path):
+    from pyarrow import fs
+
+    read = []
+
+    class Source:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+        def read(self, n):
+            read.append(n)
+            return (b"a" * 70_000 + b"\n" + b"b" * 10**6)[sum(read[:-1]) : sum(read)]
+
+    class System:
+        def open_input_file(self, _):
+            return Source()
+
+    real, fs.LocalFileSystem = fs.LocalFileSystem, System
+    try:
+        assert files._first_line("file:/x.csv") == b"a" * 70_000
+    finally:
+        fs.LocalFileSystem = real
+    assert len(read) == 2
+
+
 def test_csv_scan_infers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("UDI,Torque [Nm],Type\n1,4.5,L\n")
     assert [t for _, t in files.csv_scan(spark, str(tmp_path / "a.csv")).dtypes] == ["int", "double", "string"]
@@ -219,7 +288,8 @@ def test_advice_default(spark):
     got = {r["c"]: (r["french_name"], r["advice"]) for r in scoring.with_advice(df, "c", table).collect()}
     assert got["Power Failure"] == ("Panne d'Alimentation", "call")
     assert {r["advice"] for r in scoring.with_advice(df, "c").collect()} == {scoring.NO_ADVICE}
-    assert got["Other"] == got[None] == (scoring.NO_NAME, scoring.NO_ADVICE)
+    assert got["Other"] == (scoring.NO_NAME, "no such class")  # name and text are looked up apart
+    assert got[None] == (scoring.NO_NAME, scoring.NO_ADVICE)
 
 
 def test_percent_text_follows_python(spark):
@@ -334,6 +404,20 @@ def test_knn_matches_brute_force(spark, layout):
     assert {r["id"]: int(r["prediction"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("k", [1, 5, 400])
+def test_best_points_equal_brute_force_with_ties(k):
+    rng = np.random.default_rng(k)
+    p = rng.integers(0, 9, (3000, 3)).astype(float)
+    q = rng.integers(-2, 12, (200, 3)).astype(float)
+    radius = np.where(np.arange(200) % 3 == 0, 4.0, np.inf)
+    rows, cols, value = neighbours._best(q, p, radius, k)
+    dist = ((q[:, None] - p[None]) ** 2).sum(2)
+    for i in range(200):
+        want = [j for j in np.lexsort((np.arange(3000), dist[i]))[:k] if dist[i, j] <= radius[i]]
+        assert cols[rows == i].tolist() == want and (value[rows == i] == dist[i, want]).all()
+    assert len(neighbours._best(q, p[:0], radius, k)[0]) == 0
+
+
 def test_knn_with_fewer_points_than_k_and_nulls(spark):
     train = spark.createDataFrame([(0.0, 1), (1.0, 0)], "x double, label int")
     test = spark.createDataFrame([(0.1,), (None,)], "x double")
