@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from spindlework.operators.binned import Boosted, fit_boosted
 from spindlework.operators.features import fit_features, index_to_text, labels_of
+from spindlework.operators.kernels import landmark_features
 from spindlework.operators.resample import resampled
 from spindlework.plans.workspace import materialise, work_dir
 from spindlework.schemas import NUMERIC_FEATURES
@@ -161,11 +162,23 @@ def fourier_features(columns: list[str], gamma: float, size: int = 64, seed: int
 
 
 def fit_kernel_svm(
-    train: DataFrame, columns: list[str], c: float = 1.0, size: int = 64, iterations: int = 100, seed: int = 42
+    train: DataFrame,
+    columns: list[str],
+    c: float = 1.0,
+    size: int = 64,
+    iterations: int = 100,
+    seed: int = 42,
+    kernel_map: str = "cosines",
 ) -> PipelineModel:
-    """SVM with an RBF kernel: random cosine features under a linear SVM."""
-    rows = train.count()
-    stages = fourier_features(columns, scale_gamma(train, columns), size, seed)
+    """SVM with an RBF kernel: a linear SVM on features whose dot products stand for the kernel,
+    random ``cosines`` or ``landmarks`` (``kernels.kernel_error`` measures either)."""
+    rows, gamma = train.count(), scale_gamma(train, columns)
+    if kernel_map == "landmarks":
+        stages = [landmark_features(train, columns, gamma, size, seed)]
+    elif kernel_map == "cosines":
+        stages = fourier_features(columns, gamma, size, seed)
+    else:
+        raise ValueError(f"unknown kernel map {kernel_map!r}")
     mapped = PipelineModel(stages=stages).transform(train).select("features", "label")
     svc = LinearSVC(
         labelCol="label",

@@ -484,6 +484,7 @@ UNION ALL SELECT label, NULL, NULL, false, {", ".join(f"CAST({c} AS DOUBLE) / 10
     "lr_multi_predict": _classes("count(*) DESC, failure_type"),
     "lr_binary_predict": _FLAG,
     "svm_rbf_predict": _FLAG,
+    "svm_landmark_predict": _FLAG,
     "prediction_listing": f"""{_GRADED}, numbered AS (
   SELECT failure_type, CAST(row_number() OVER (ORDER BY count(*) DESC, failure_type) - 1 AS DOUBLE) AS label
   FROM parts WHERE split = 'train' GROUP BY 1

@@ -729,8 +729,7 @@ def gbt_tuned_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(prepare.transform(test)).select("udi", "label", "prediction")
 
 
-@query
-def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _svm(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     c = materialise(
         _coordinates(spark, sf_dir, fixtures.separated_readings).select(
             "udi",
@@ -741,10 +740,21 @@ def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
         "svm-input",
     )
     train, test = c.filter("split = 'train'"), c.filter("split = 'test'")
-    svm = models.fit_kernel_svm(train, COORDS)
+    svm = models.fit_kernel_svm(train, COORDS, **settings)
     return svm.transform(test).select("udi", "label", "prediction")
 
 
+@query
+def svm_rbf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _svm(spark, sf_dir)
+
+
+@query
+def svm_landmark_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C = 10, on landmark features of the kernel."""
+    return _svm(spark, sf_dir, c=10.0, kernel_map="landmarks")
+
+
 @query
 def fitted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five classifiers of the failure flag, fitted on the train rows and measured on both parts."""

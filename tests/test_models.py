@@ -7,7 +7,7 @@ from compare import DATA
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
-from spindlework.operators import evaluate, models, splits, tuning
+from spindlework.operators import evaluate, kernels, models, splits, tuning
 from spindlework.plans.workspace import new_path
 from spindlework.sources import fixtures
 
@@ -73,6 +73,34 @@ def test_kernel_svm_separates_a_ring(spark):
     assert right > 360
 
 
+def test_landmarks_come_closer_to_the_kernel_than_cosines(spark):
+    blob = spark.range(3000).select(
+        *[
+            (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 500 + (F.col("id") % 5) * 2).alias(c)
+            for i, c in enumerate(("x", "y", "z"))
+        ]
+    )
+    names, gamma = ["x", "y", "z"], 0.05
+    landmark = kernels.landmark_features(blob, names, gamma, 64)
+    mean, most = kernels.kernel_error([landmark], blob, names, gamma)
+    cosines = kernels.kernel_error(models.fourier_features(names, gamma, 64), blob, names, gamma)
+    assert mean < 0.005 and most < 0.1 and mean < cosines[0] / 10
+    points, root, _ = landmark.map()  # exact at the landmarks
+    own = kernels.rbf(points, points, gamma)
+    assert abs((own @ root) @ (own @ root).T - own).max() < 1e-6
+
+
+def test_landmark_svm_separates_a_ring_and_can_be_saved(spark):
+    ring = spark.range(400).select(
+        (F.col("id") % 20 - 10).cast("double").alias("x"), (F.floor(F.col("id") / 20) - 10).cast("double").alias("y")
+    ).withColumn("label", (F.col("x") ** 2 + F.col("y") ** 2 < 40).cast("double"))
+    model = models.fit_kernel_svm(ring, ["x", "y"], c=10.0, kernel_map="landmarks")
+    path = new_path(spark, "svm")
+    models.save_model(model, path)
+    for m in (model, models.load_model(path)):
+        assert m.transform(ring).filter("label = prediction").count() > 380
+
+
 def test_search_draws(spark):
     draws = tuning.draw_settings(tuning.FOREST_SPACE)
     assert len(draws) == 50 and draws == tuning.draw_settings(tuning.FOREST_SPACE)
