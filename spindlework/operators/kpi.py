@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindlework.operators.joins import BROADCAST_BYTES, lookup_join
+from spindlework.operators.joins import BROADCAST_BYTES, lookup_joins
 from spindlework.plans.workspace import materialise
 
 # Fixed values of the KPI definitions.
@@ -89,6 +89,6 @@ def tool_lifetime_efficiency(df: DataFrame) -> DataFrame:
 def with_kpis(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Readings with all five metrics."""
     base = materialise(kpi_base(df), "kpi-base")
-    joined = lookup_join(with_derived_metrics(df), product_kpis(base), "product_id", max_bytes)
-    joined = lookup_join(joined, type_kpis(base), "type", max_bytes)
+    kpis = [(product_kpis(base), "product_id"), (type_kpis(base), "type")]
+    joined = lookup_joins(with_derived_metrics(df), kpis, max_bytes)
     return joined.select(*df.columns, *METRICS)

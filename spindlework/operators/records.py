@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindlework.functions.values import canonical_timestamp, record_digest
-from spindlework.operators.joins import lookup_join
+from spindlework.operators.joins import lookup_joins
 from spindlework.schemas import (
     ABSENT_DEFAULTS,
     CSV_COLUMNS,
@@ -124,9 +124,7 @@ def enrich_readings(
     narrow: DataFrame, types: DataFrame, failures: DataFrame, products: DataFrame, moment: str = "timestamp"
 ) -> DataFrame:
     """Give narrow readings the ids, product texts and calendar columns of wide ones."""
-    df = lookup_join(narrow, types, "type")
-    df = lookup_join(df, failures, "failure_type")
-    df = lookup_join(df, products, "product_id")
+    df = lookup_joins(narrow, [(types, "type"), (failures, "failure_type"), (products, "product_id")])
     at = canonical_timestamp(moment).cast("timestamp")
     return df.withColumns(
         {

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlework.functions.values import canonical_timestamp
-from spindlework.operators.joins import BROADCAST_BYTES, lookup_join
+from spindlework.operators.joins import BROADCAST_BYTES, lookup_join, lookup_joins
 from spindlework.operators.kpi import METRICS
 from spindlework.operators.numbering import number_rows
 
@@ -89,14 +89,13 @@ def star_report(
         F.sum("tool_wear").alias("wear"),
         F.max("torque").alias("max_torque"),
     )
-    named = lookup_join(
-        grouped, failures.withColumnRenamed("failure_type_id", "failure_id"), "failure_id", max_bytes
-    )
-    named = lookup_join(named, types, "type_id", max_bytes)
-    named = lookup_join(
-        named, products.select("product_id", "product_category"), "product_id", max_bytes
-    )
-    named = lookup_join(named, dates.select("date_id", "year", "month"), "date_id", max_bytes)
+    dimensions = [
+        (failures.withColumnRenamed("failure_type_id", "failure_id"), "failure_id"),
+        (types, "type_id"),
+        (products.select("product_id", "product_category"), "product_id"),
+        (dates.select("date_id", "year", "month"), "date_id"),
+    ]
+    named = lookup_joins(grouped, dimensions, max_bytes)
     return named.groupBy("year", "month", "type", "failure_type", "product_category").agg(
         F.sum("n").alias("readings"),
         F.sum("failures").alias("failures"),

@@ -538,3 +538,62 @@ def test_lookup_join_beyond_the_bound_plans_its_left_side_once(spark):
     assert not any("lineitem" in f for f in large.inputFiles())
     total = [F.count("*"), F.sum("code"), F.sum(F.xxhash64("udi", "product_id", "code") % 1000)]
     assert small.agg(*total).first() == large.agg(*total).first()
+
+
+def stored(spark, monkeypatch):
+    """Names of the tables the join steps write."""
+    from spindlework.operators import joins
+
+    names, write = [], joins.materialise
+    monkeypatch.setattr(joins, "materialise", lambda df, name="step": (names.append(name), write(df, name))[1])
+    return names
+
+
+def ordered(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_chain_beyond_the_bound_writes_its_left_side_once(spark, monkeypatch):
+    """Four tables, all beyond the bound: one copy of the left side, one pass over its keys."""
+    from spindlework.operators.joins import lookup_joins
+
+    names = stored(spark, monkeypatch)
+    left = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("a"),
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("b"),
+        (F.col("id") % 4).cast("int").alias("c"),
+        (-F.col("id") % 5).cast("double").alias("d"),
+        F.lit("x").alias("_salt"),
+    )
+    tables = [
+        (spark.range(0, 60).select(F.col("id").alias("a"), (F.col("id") * 10).alias("va")), "a"),
+        (spark.createDataFrame([("hot", 1), ("1", 2), ("hot", 3), (None, 4)], "b string, vb int"), "b"),
+        (spark.range(3).select(F.col("id").alias("c"), F.lit("t").alias("vc")), ["c"]),  # other width of numbers
+        (spark.createDataFrame([(0.0, 1), (-1.0, 2)], "d double, vd int"), "d"),
+    ]
+    want = left
+    for right, on in tables:
+        want = want.join(right, on, "left")
+    want = ordered(want.select(*left.columns, "va", "vb", "vc", "vd"))
+    got = lookup_joins(left, tables, max_bytes=1)
+    assert names.count("lookup-left") == 1 and names.count("key-counts") == 1
+    assert got.columns == [*left.columns, "va", "vb", "vc", "vd"] and ordered(got) == want
+    assert len(want) == 9000  # the hot key has two lookup rows
+    assert ordered(lookup_joins(left, tables)) == want and names.count("lookup-left") == 1
+
+
+def test_hot_rows_of_a_shuffled_join_are_dealt_over_tasks(spark):
+    from spindlework.operators.joins import lookup_joins
+
+    left = spark.range(0, 8000, 1, 4).select(F.when(F.col("id") % 10 < 9, 7).otherwise(F.col("id")).alias("k"))
+    right = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for c, v in zip(before, ("-1", "false")):
+        spark.conf.set(c, v)
+    try:
+        out = lookup_joins(left, [(right, "k")], max_bytes=1)
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 8000 and max(sizes) < 3000  # one task would have 7200
