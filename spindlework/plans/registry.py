@@ -658,6 +658,15 @@ def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("udi", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+@query
+def knn_binary_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failure flag by the five nearest readings."""
+    flag = _coordinates(spark, sf_dir).withColumn("label", (F.col("label") > 0).cast("int"))
+    c = materialise(flag, "coordinates")
+    scored = neighbours.knn_predict(c.filter("split = 'test'"), c.filter("split = 'train'"), COORDS)
+    return scored.select("udi", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
 # --- models ---------------------------------------------------------------------
 # They read coarse measures that the class follows from.
 
@@ -695,6 +704,7 @@ def _binary(
 
 
 _multiclass("rf_predict", lambda: models.random_forest(), scale="std")
+_multiclass("rf_deep_predict", lambda: models.random_forest(depth=models.MAX_TREE_DEPTH, min_instances=1), scale="std")
 _multiclass("dt_predict", models.decision_tree, categorical="none")
 _multiclass(
     "lr_multi_predict", models.multinomial_regression, fixtures.separated_readings, categorical="none"
@@ -779,6 +789,24 @@ def fitted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.fitted_comparison({**scored, "svm": svm.transform(flat)}))
 
 
+def _fitted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_test(spark, sf_dir)
+    model = models.fit_model(train, models.decision_tree())
+    return materialise(model.transform(test).select("label", "prediction"), "fitted-predictions")
+
+
+@query
+def fitted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-class report of a fitted model on its test rows."""
+    return _rounded(evaluate.classification_report(_fitted_predictions(spark, sf_dir)))
+
+
+@query
+def fitted_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense confusion matrix with shares of a fitted model on its test rows."""
+    return _rounded(evaluate.confusion_share(_fitted_predictions(spark, sf_dir)))
+
+
 @query
 def prediction_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_test(spark, sf_dir)
