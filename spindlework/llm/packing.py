@@ -7,8 +7,7 @@ once a worker and looked up; ids are joined as bytes.
 Packing.  A sequence has three capacities: tokens, documents and attention cost (the sum of
 squared lengths).  Pieces are placed in falling order, each into the open sequence that can
 take it under every capacity and has the least weighted residual norm afterwards.  A
-capacity's weight is the share of it the pieces ask for; one that can never bind (as many
-documents as tokens, a cost of tokens squared) has weight zero.
+capacity's weight is the share of it the pieces ask for, against the share most asked for.
 
 Scale.  Only piece lengths are shuffled, not ids.  Pieces are dealt by a hash of their row
 number into groups of about ``GROUP`` and each group is packed in a task; a group leaves
@@ -156,66 +155,47 @@ def pieces(
 def best_fit(
     lengths: np.ndarray, tokens: int = 4096, documents: int | None = None, cost: int | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each length, placed in falling order."""
+    """(bin, offset) of each length, placed in falling order under all three capacities.
+
+    Without limits of their own a sequence takes as many documents as tokens and a cost of
+    tokens squared; these refuse no piece but count in the choice like any other.
+    """
     documents = tokens if documents is None else documents
     cost = tokens * tokens if cost is None else cost
-    caps = np.array([tokens, documents, cost], float)
-    if len(lengths) and (lengths.max() > tokens or int(lengths.max()) ** 2 > cost or documents < 1):
+    if not len(lengths):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if lengths.max() > tokens or int(lengths.max()) ** 2 > cost or documents < 1:
         raise ValueError("a piece exceeds a capacity of an empty sequence")
-    need = np.stack([lengths, np.ones(len(lengths)), lengths.astype(float) ** 2], 1) / caps
-    asked = need.sum(0) / max(need.sum(0).max(), 1e-12) if len(need) else np.ones(3)
-    free = np.array([False, documents >= tokens, cost >= tokens * tokens])
-    weights = np.where(free, 0.0, asked)
-    used = np.flatnonzero(~free)
-    bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    if len(used) == 1:
-        return best_fit_by_tokens(lengths, tokens)
-    left = np.zeros((len(lengths), 3))  # residual capacities of the open sequences, as shares
-    number = np.zeros(len(lengths), np.int64)
-    n_open = made = 0
     order = np.argsort(-lengths, kind="stable")
-    least = need.min(0) - 1e-9 if len(need) else need
-    for i in order.tolist():
-        rest = left[:n_open, used] - need[i, used]
-        fits = (rest >= -1e-9).all(1)
-        at = -1
-        if fits.any():
-            norm = ((rest * weights[used]) ** 2).sum(1)
-            norm[~fits] = np.inf
-            at = int(norm.argmin())
-        if at < 0:
-            at, number[n_open], made = n_open, made, made + 1
-            left[at], n_open = 1.0, n_open + 1
-        bins[i] = number[at]
-        offsets[i] = round((1.0 - left[at, 0]) * tokens)
-        left[at] -= need[i]
-        if (left[at] < least).any():  # takes nothing any more: the last open one moves here
-            n_open -= 1
-            left[at], number[at] = left[n_open], number[n_open]
-    return bins, offsets
-
-
-def best_fit_by_tokens(lengths: np.ndarray, tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same where only tokens can bind: the least residual norm is the least residual,
-    found as the lowest set bit of a number that marks the residuals with open sequences."""
-    bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    open_at: list[list[int]] = [[] for _ in range(tokens + 1)]
-    marks, made = 0, 0
-    order = np.argsort(-lengths, kind="stable").tolist()
-    for i, length in zip(order, lengths[order].tolist()):
-        able = marks >> length
-        if able:
-            rest = length + (able & -able).bit_length() - 1
-            number = open_at[rest].pop()
-            if not open_at[rest]:
-                marks &= ~(1 << rest)
+    sizes = lengths[order].astype(np.int64)
+    asked = np.array([sizes.sum() / tokens, len(sizes) / documents, (sizes.astype(float) ** 2).sum() / cost])
+    per_token, per_document, per_cost = asked / asked.max() / (tokens, documents, cost)
+    least = int(sizes[-1])
+    # residual capacities of the open sequences, whole numbers, the first n_open of each
+    room, spare, effort = (np.zeros(len(sizes), np.int64) for _ in range(3))
+    number = np.zeros(len(sizes), np.int64)
+    bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    n_open = made = 0
+    for i, size in zip(order.tolist(), sizes.tolist()):
+        square = size * size
+        rest, more, work = room[:n_open] - size, spare[:n_open] - 1, effort[:n_open] - square
+        able = np.flatnonzero((rest >= 0) & (more >= 0) & (work >= 0))
+        if len(able):
+            norm = (rest[able] * per_token) ** 2
+            norm += (more[able] * per_document) ** 2
+            norm += (work[able] * per_cost) ** 2
+            at = int(able[norm.argmin()])
         else:
-            rest, number, made = tokens, made, made + 1
-        bins[i], offsets[i] = number, tokens - rest
-        rest -= length
-        if rest:
-            open_at[rest].append(number)
-            marks |= 1 << rest
+            at, number[n_open], n_open, made = n_open, made, n_open + 1, made + 1
+            room[at], spare[at], effort[at] = tokens, documents, cost
+        bins[i], offsets[i] = number[at], tokens - room[at]
+        room[at] -= size
+        spare[at] -= 1
+        effort[at] -= square
+        if room[at] < least or spare[at] < 1 or effort[at] < least * least:
+            n_open -= 1  # takes nothing any more: the last open one moves here
+            for held in (room, spare, effort, number):
+                held[at] = held[n_open]
     return bins, offsets
 
 
