@@ -2,7 +2,8 @@
 
 Index.  Components become integers floor(scale x).  A block of rows keeps, for every
 attribute and bit, one bitmap over its rows (a slice); attributes are shifted by the
-block's minimum, so slices are unsigned.
+block's minimum, so slices are unsigned.  Slices are what is stored and shuffled: some ten bits
+a component, and whole numbers of any size without loss.
 
 Scores.  A query adds the slices of attribute d, weighted by the set bits of its own
 component (complemented for a negative one), all at once for all rows of a block: slices
@@ -14,8 +15,9 @@ among the best k and those tied so far.  Rows still tied at the last slice are t
 boundary: their scores are equal, and the smaller id wins.  Selected rows are scored
 exactly.
 
-Blocks of rows and chunks of queries meet by an equi-join on their pair number: a stated query
-set against all rows, in blocks.  At most k rows leave a block for each query.
+Blocks of rows and chunks of queries meet by an equi-join on a block and a set of up to
+``SET_CHUNKS`` chunks: a stated query set against all rows, in blocks.  A block is shuffled
+once for each set, a chunk once for each block.  At most k rows leave a block for each query.
 """
 
 from __future__ import annotations
@@ -31,14 +33,23 @@ from pyspark.sql import functions as F
 from spindlework.llm.common import store
 
 BLOCK_ROWS = 1 << 15
-CHUNK_QUERIES = 64
-EXACT_BITS = 62  # scores below this many bits are added in slices; wider ones row by row
-MAX_COMPONENT = 2.0**53  # larger scaled components are exact doubles and saturate the score
+CHUNK_QUERIES = 256
+SET_CHUNKS = 64  # chunks that meet a block in one task, at most
+TASKS = 64  # fewer chunks a set where blocks are too few for so many tasks
+NARROW = 2.0**62  # whole numbers below fit a long with their differences
 
 
 def quantise(values: np.ndarray, scale: float) -> np.ndarray:
-    """floor(scale x) as int64, saturated beyond 2**53."""
-    return np.clip(np.floor(values * scale), -MAX_COMPONENT, MAX_COMPONENT).astype(np.int64)
+    """floor(scale x) as whole doubles; what exceeds a double becomes the largest one."""
+    with np.errstate(over="ignore"):
+        return np.nan_to_num(np.floor(values * scale))
+
+
+def whole(values: np.ndarray) -> np.ndarray:
+    """Whole doubles as int64, or as Python's whole numbers if any is too large."""
+    if (np.abs(values) < NARROW).all():
+        return values.astype(np.int64)
+    return np.array([int(x) for x in values.ravel()], object).reshape(values.shape)
 
 
 def pack(bits: np.ndarray) -> np.ndarray:
@@ -53,29 +64,51 @@ def unpack(bitmap: np.ndarray, rows: int) -> np.ndarray:
 
 
 class Block:
-    """Slices of some rows, built once for a chunk of queries."""
+    """Bit slices of some rows, in the order of their ids."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.values = ids[order], values[order]
-        self.low = self.values.min(0)
-        spread = (self.values.max(0) - self.low).astype(np.uint64)
-        self.bits = [int(x).bit_length() for x in spread]
-        self.slices, self.at = [], []
-        for d, bits in enumerate(self.bits):
-            self.at.append(len(self.slices))
-            column = (self.values[:, d] - self.low[d]).astype(np.uint64)
-            self.slices += [pack((column >> np.uint64(b)) & np.uint64(1) > 0) for b in range(bits)]
-        words = -(-len(ids) // 64)
-        self.slices = np.array(self.slices, np.uint64).reshape(-1, words)
+    def __init__(self, ids: np.ndarray, low: np.ndarray, bits: np.ndarray, slices: np.ndarray):
+        self.ids, self.low, self.bits = ids, whole(low), bits.tolist()
+        self.at = (np.cumsum(bits) - bits).tolist()
+        self.slices = slices.reshape(-1, -(-len(ids) // 64))
         self.every = pack(np.ones(len(ids), bool))
+        self.wide = self.low.dtype == object or max(self.bits, default=0) > 62
+        self._values: np.ndarray | None = None
 
-    def score_slices(self, query: np.ndarray) -> list[np.ndarray]:
+    @staticmethod
+    def parts(ids: np.ndarray, scaled: np.ndarray) -> list[bytes]:
+        """What is stored: ids, minima, bits of each attribute, slices."""
+        order = np.argsort(ids, kind="stable")
+        ids, scaled = ids[order], scaled[order]
+        low = scaled.min(0)
+        over = whole(scaled) - whole(low)
+        bits = np.array([int(x).bit_length() for x in over.max(0)], np.int32)
+        bitmaps = [pack((over[:, d] >> b) & 1 > 0) for d, n in enumerate(bits) for b in range(n)]
+        return [ids.tobytes(), low.tobytes(), bits.tobytes(), b"".join(x.tobytes() for x in bitmaps)]
+
+    @classmethod
+    def read(cls, ids: bytes, low: bytes, bits: bytes, slices: bytes) -> Block:
+        kinds = (np.int64, np.float64, np.int32, np.uint64)
+        return cls(*(np.frombuffer(x, kind) for x, kind in zip((ids, low, bits, slices), kinds)))
+
+    def values(self) -> np.ndarray:
+        """The components again, rows x attributes."""
+        if self._values is None:
+            kind = object if self.wide else np.int64
+            out = np.empty((len(self.ids), len(self.bits)), kind)
+            for d, (bits, at) in enumerate(zip(self.bits, self.at)):
+                column = np.full(len(self.ids), self.low[d], kind)
+                for b in range(bits):
+                    column += unpack(self.slices[at + b], len(self.ids)).astype(kind) * (1 << b)
+                out[:, d] = column
+            self._values = out
+        return self._values
+
+    def score_slices(self, query: list[int]) -> list[np.ndarray]:
         """Bitmaps of the score's bits, lowest first; scores carry a common offset."""
         waiting: dict[int, list] = {}
         plain: dict[int, list[int]] = {}
         turned: dict[int, list[int]] = {}
-        for d, (q, bits, at) in enumerate(zip(query.tolist(), self.bits, self.at)):
+        for d, (q, bits, at) in enumerate(zip(query, self.bits, self.at)):
             held = turned if q < 0 else plain
             size, place = abs(q), 0
             while size:
@@ -109,19 +142,17 @@ class Block:
             weight += 1
         return out
 
-    def top(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, list[int]]:
         """Rows of the k best scores (ties to the smaller id) without the id ``own``."""
         rest = self.every.copy()
         if own is not None:
-            a, b = np.searchsorted(self.ids, [own, own + 1])
-            for row in range(a, b):
-                rest[row // 64] &= ~(np.uint64(1) << np.uint64(row % 64))
-        size = sum(abs(q) * (2**bits) for q, bits in zip(query.tolist(), self.bits))
-        offset = sum(abs(q) * abs(m) for q, m in zip(query.tolist(), self.low.tolist()))
-        if size + offset >= 2**EXACT_BITS:
-            return self.wide_top(query, k, rest)
+            a, b = np.searchsorted(self.ids, own, "left"), np.searchsorted(self.ids, own, "right")
+            if a < b:
+                self_rows = np.zeros(len(self.ids), bool)
+                self_rows[a:b] = True
+                rest &= ~pack(self_rows)
         sure = np.zeros_like(rest)
-        for bitmap in reversed(self.score_slices(query)):
+        for bitmap in reversed(self.score_slices(query.tolist())):
             high = rest & bitmap
             n = int(np.bitwise_count(sure | high).sum())
             if n > k:
@@ -135,26 +166,26 @@ class Block:
         rows = np.flatnonzero(unpack(sure, len(self.ids)))
         tied = np.flatnonzero(unpack(rest, len(self.ids)))[: max(k - len(rows), 0)]
         rows = np.concatenate((rows, tied))
-        scores = self.values[rows] @ query
-        order = np.lexsort((self.ids[rows], -scores))
-        return self.ids[rows][order], scores[order]
+        scores = self.scores(rows, query)
+        order = sorted(range(len(rows)), key=lambda i: (-scores[i], self.ids[rows[i]]))
+        return self.ids[rows[order]], [scores[i] for i in order]
+
+    def scores(self, rows: np.ndarray, query: np.ndarray) -> list[int]:
+        own = self.values()[rows]
+        size = sum(abs(q) * ((1 << bits) + abs(m)) for q, bits, m in zip(query.tolist(), self.bits, self.low.tolist()))
+        if size >= NARROW:
+            own, query = own.astype(object), query.astype(object)
+        return [int(x) for x in (own * query).sum(1)]
+
 
-    def wide_top(self, query: np.ndarray, k: int, rest: np.ndarray):
-        """Scores beyond 62 bits: whole numbers of any size, saturated to a long."""
-        rows = np.flatnonzero(unpack(rest, len(self.ids)))
-        exact = self.values[rows].astype(object) @ query.astype(object)
-        order = sorted(range(len(rows)), key=lambda i: (-exact[i], self.ids[rows[i]]))[:k]
-        ends = [min(max(int(exact[i]), -(2**63)), 2**63 - 1) for i in order]
-        return self.ids[rows[order]] if order else self.ids[:0], np.array(ends, np.int64)
+LONG = (-(2**63), 2**63 - 1)
 
 
-def _matrix(ids: bytes, values: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    own = np.frombuffer(ids, np.int64)
-    return own, np.frombuffer(values, np.int64).reshape(len(own), dims)
+BLOCK = ("ids", "low", "bits", "slices")
 
 
 def blocks_of(rows: DataFrame, size: int, scale: float, name: str) -> DataFrame:
-    """Quantised vectors in binary blocks (dims, part, ids, values), numbered within dims.
+    """Quantised vectors in sliced blocks (dims, no, ids, low, bits, slices), numbered within dims.
 
     Rows are dealt by a hash of the id into parts of about ``size`` rows; parts of a task
     are cut again so that none holds more than twice ``size`` rows.
@@ -175,16 +206,15 @@ def blocks_of(rows: DataFrame, size: int, scale: float, name: str) -> DataFrame:
             counter += 1
             own = held.pop(key)
             ids = np.array([v for v, _ in own], np.int64)
-            values = quantise(np.array([x for _, x in own], np.float64), scale)
+            scaled = quantise(np.array([x for _, x in own], np.float64), scale)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([key[0]], pa.int32()),
                     pa.array([key[1]], pa.int64()),
                     pa.array([counter], pa.int64()),
-                    pa.array([ids.tobytes()], pa.binary()),
-                    pa.array([values.tobytes()], pa.binary()),
+                    *(pa.array([x], pa.binary()) for x in Block.parts(ids, scaled)),
                 ],
-                names=["dims", "part", "block", "ids", "values"],
+                names=["dims", "part", "block", *BLOCK],
             )
 
         last = None
@@ -203,14 +233,14 @@ def blocks_of(rows: DataFrame, size: int, scale: float, name: str) -> DataFrame:
 
     shuffled = hashed.repartition("dims", "part").sortWithinPartitions("dims", "part")
     made = shuffled.select("dims", "part", "vec_id", "embedding").mapInArrow(
-        gather, "dims int, part long, block long, ids binary, values binary"
+        gather, "dims int, part long, block long" + "".join(f", {c} binary" for c in BLOCK)
     )
     made = store(made, name)
     # a few thousand rows at 100 million vectors: one row for each block
     numbered = made.select("dims", "part", "block").withColumn(
         "no", F.row_number().over(W.partitionBy("dims").orderBy("part", "block"))
     )
-    return made.join(numbered, ["dims", "part", "block"]).select("dims", "no", "ids", "values")
+    return made.join(numbered, ["dims", "part", "block"]).select("dims", "no", *BLOCK)
 
 
 def top_k(
@@ -226,8 +256,8 @@ def top_k(
     Vectors that are null or hold a null or non-finite component, and rows with a null
     vec_id, take no part.  A query meets vectors of its own length only (empty vectors: all
     scores 0) and never a row of its own vec_id; a vec_id that occurs several times as a
-    query is answered once for each row.  Ties go to the smaller vec_id.  Scores beyond 62
-    bits are summed in whole numbers and saturate at the ends of a long.
+    query is answered once for each row.  Ties go to the smaller vec_id.  Scores are exact whole
+    numbers; one beyond a long becomes the end of a long.
     """
     usable = F.col("vec_id").isNotNull() & F.forall(
         "embedding",
@@ -246,37 +276,47 @@ def top_k(
         return vectors.sparkSession.createDataFrame(
             [], "query_id long, rank int, vec_id long, score long"
         )
-    sizes = [F.create_map(*[F.lit(x) for d, s in n.items() for x in (d, s[i])]) for i in (0, 1)]
-    # each block goes to every chunk of queries and each chunk to every block
-    left = index.withColumn("q", F.explode(F.sequence(F.lit(1), sizes[1][F.col("dims")])))
+    sets = {d: min(q, max(-(-q // SET_CHUNKS), -(-TASKS // b))) for d, (b, q) in n.items()}
+    maps = [
+        F.create_map(*[F.lit(x) for d in n for x in (d, of(d))])[F.col("dims")]
+        for of in (lambda d: n[d][0], lambda d: sets[d])
+    ]
+    # each block goes to every set of chunks and each chunk to every block
+    tasks = min(sum(b * sets[d] for d, (b, _) in n.items()), 20_000)
+    left = index.withColumn("q", F.explode(F.sequence(F.lit(1), maps[1])))
     right = queries.select(
-        "dims", F.col("no").alias("q"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values")
-    ).withColumn("no", F.explode(F.sequence(F.lit(1), sizes[0][F.col("dims")])))
+        "dims",
+        F.col("no").alias("chunk"),
+        (F.pmod(F.col("no"), maps[1]) + 1).alias("q"),
+        *(F.col(c).alias(f"q_{c}") for c in BLOCK),
+    ).withColumn("no", F.explode(F.sequence(F.lit(1), maps[0])))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                ids, values = _matrix(row["ids"], row["values"], row["dims"])
-                asked, wanted = _matrix(row["q_ids"], row["q_values"], row["dims"])
-                block, found = Block(ids, values), []
-                for j, (own, query) in enumerate(zip(asked.tolist(), wanted)):
+                block = Block.read(*(row[c] for c in BLOCK))
+                asked = Block.read(*(row[f"q_{c}"] for c in BLOCK))
+                found = []
+                for j, (own, query) in enumerate(zip(asked.ids.tolist(), asked.values())):
                     best, scores = block.top(query, k, own)
-                    found += [(j, own, v, s) for v, s in zip(best.tolist(), scores.tolist())]
+                    ends = (min(max(s, LONG[0]), LONG[1]) for s in scores)
+                    found += [(j, own, v, s) for v, s in zip(best.tolist(), ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["dims"]] * len(found), pa.int32()),
-                        pa.array([row["q"]] * len(found), pa.int32()),
+                        pa.array([row["chunk"]] * len(found), pa.int32()),
                         *(pa.array([f[c] for f in found], t) for c, t in enumerate([pa.int32()] + [pa.int64()] * 3)),
                     ],
-                    names=["dims", "q", "place", "query_id", "vec_id", "score"],
+                    names=["dims", "chunk", "place", "query_id", "vec_id", "score"],
                 )
 
-    met = left.join(right.hint("shuffle_merge"), ["dims", "q", "no"])
+    meet = ["dims", "q", "no"]
+    met = left.repartition(tasks, *meet).join(right.repartition(tasks, *meet).hint("shuffle_merge"), meet)
     best = met.mapInArrow(
-        search, "dims int, q int, place int, query_id long, vec_id long, score long"
+        search, "dims int, chunk int, place int, query_id long, vec_id long, score long"
     )
-    order = W.partitionBy("dims", "q", "place").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("dims", "chunk", "place").orderBy(F.desc("score"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -206,6 +206,39 @@ def test_search_leaves_out_unusable_vectors(spark):
     assert bitsliced.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("sets, tasks", [(64, 64), (2, 1)])
+def test_search_of_large_components_is_exact(spark, monkeypatch, sets, tasks):
+    """Components far beyond 2^53 beside small ones; a long holds every score."""
+    monkeypatch.setattr(bitsliced, "SET_CHUNKS", sets)
+    monkeypatch.setattr(bitsliced, "TASKS", tasks)
+    rng = random.Random(4)
+    rows = [(50, [1 / 256, 0.0]), (1, [2.0**50, 0.0]), (2, [2.0**49, 3.0]), (3, [-(2.0**52), 1.0])]
+    rows += [(i, [rng.choice([0.0, 1 / 256, 2.0**51, 2.0**70 if i % 50 else 0.0]), 0.0]) for i in range(100, 300)]
+    rows = [(i, [min(v[0], 2.0**54), v[1]] if i % 50 else [1 / 256, v[1]]) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = bitsliced.top_k(df, F.col("vec_id") % 50 == 0, block_rows=40, chunk=1).collect()
+    assert {r.score for r in got if r.query_id == 50} == {2**62}
+    exact = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in exact if i % 50 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(exact[q], v)), i) for i, v in exact.items() if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_blocks_give_their_rows_back():
+    rng = np.random.default_rng(3)
+    for scaled in (
+        rng.integers(-500, 500, (130, 7)).astype(float),
+        np.floor(rng.normal(size=(70, 3)) * 2.0**80),
+        np.zeros((5, 2)), np.zeros((3, 0)),
+    ):
+        ids = rng.permutation(len(scaled)).astype(np.int64)
+        block = bitsliced.Block.read(*bitsliced.Block.parts(ids, scaled))
+        want = [[int(x) for x in v] for v in scaled[np.argsort(ids)]]
+        assert block.values().tolist() == want and block.ids.tolist() == sorted(ids)
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
@@ -347,6 +380,34 @@ def test_toxicity_learns_the_words(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_copies_in_the_sample_are_alike(spark):
+    """Near copies count once; texts that share a phrase, or a class apart, stay."""
+    rng = random.Random(8)
+    phrase = [f"common{i}" for i in range(12)]
+    rows, sample = [], []
+    for i in range(60):
+        own = [f"d{i}w{rng.randrange(10**6)}" for _ in range(108)]
+        rows.append((i, " ".join(own[:50] + phrase + own[50:])))
+        copy = own[:50] + phrase + own[50:]
+        copy[rng.randrange(5)] = "other"
+        rows.append((100 + i, " ".join(copy)))
+        sample += [(i, i % 2, 0), (100 + i, i % 2, 0)]
+    rows += [(500, rows[0][1]), (600, ""), (601, None)]
+    sample += [(500, 1, 1), (600, 0, 0), (601, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chosen = spark.createDataFrame(sample, "doc_id long, toxic int, half long")
+    kept = {r.doc_id for r in toxicity.one_of_copies(docs, chosen).collect()}
+    assert kept >= set(range(60)) | {500, 600} and 601 not in kept
+    assert len(kept & set(range(100, 160))) <= 2
+
+
+def test_sample_takes_ids_that_have_a_document(spark):
+    docs = spark.createDataFrame([(i, "x") for i in range(0, 40, 2)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 4 // 2) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels, 15).collect()
+    assert len(got) == 20 and {r.doc_id for r in got} == set(range(0, 40, 2))
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame(
         [(1, 0), (2, 1), (None, 1), (3, None), (4, 1), (4, 0), (5, 7)], "doc_id long, toxic int"
@@ -496,6 +557,35 @@ def test_packing_round_trip(odd):
     assert packing.packed(odd.limit(0)).count() == 0
 
 
+def brute_best_fit(lengths, tokens, documents, cost):
+    """Every sequence stays open; the norm of all three weighted residuals decides."""
+    caps = [tokens, documents or tokens, cost or tokens**2]
+    asked = [sum(lengths) / caps[0], len(lengths) / caps[1], sum(x * x for x in lengths) / caps[2]]
+    weights = [a / max(asked) / c for a, c in zip(asked, caps)]
+    left, out = [], [0] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        need = (lengths[i], 1, lengths[i] ** 2)
+        rests = [[a - b for a, b in zip(own, need)] for own in left]
+        able = [j for j, rest in enumerate(rests) if min(rest) >= 0]
+        if not able:
+            left.append(list(caps))
+            able, rests = [len(left) - 1], {len(left) - 1: [a - b for a, b in zip(caps, need)]}
+        norms = {j: sum((w * r) ** 2 for w, r in zip(weights, rests[j])) for j in able}
+        least = min(norms.values())
+        near = [j for j in able if norms[j] <= least * (1 + 1e-12)]
+        out[i] = near[0]
+        left[near[0]] = rests[near[0]]
+    return out
+
+
+def fills(bins, lengths):
+    """Tokens, documents and cost of every sequence."""
+    own = collections.defaultdict(list)
+    for b, x in zip(bins, lengths.tolist()):
+        own[int(b)].append(x)
+    return sorted((sum(x), len(x), sum(y * y for y in x)) for x in own.values())
+
+
 def test_best_fit_under_every_capacity():
     lengths = np.random.default_rng(1).integers(1, 200, 3000)
     for documents, cost in ((None, None), (3, None), (None, 20_000), (4, 30_000)):
@@ -511,6 +601,11 @@ def test_best_fit_under_every_capacity():
     small = np.minimum(lengths, 120)
     bins, _ = packing.best_fit(small, 200, 4, 20_000)
     assert np.bincount(bins, small.astype(float) ** 2).max() <= 20_000 and np.bincount(bins).max() <= 4
+    for size, want in ((small, (4, 20_000)), (lengths, (None, None))):
+        # sequences with the same residuals may stand for each other
+        assert fills(packing.best_fit(size, 200, *want)[0], size) == fills(
+            brute_best_fit(size.tolist(), 200, *want), size
+        )
     bins, _ = packing.best_fit(lengths, 200)
     assert bins.max() + 1 <= 1.01 * math.ceil(lengths.sum() / 200) + 1
 
