@@ -9,8 +9,12 @@ repeats a short period, cuts follow at that distance from the last one.
 
 The unit that is deduplicated is a chunk with the one that follows it (about 98 bytes), so
 that a phrase that happens to fill one chunk is no duplicate.  Units meet by digest; all but
-the first (smallest document, then place) lose their bytes.  The content of every removed chunk
-stays where it occurs first.
+the first (smallest document, then place) lose their bytes.
+
+Runs of such units end at cuts, up to some chunk inside the passage they come from.  So the
+``AROUND`` bytes on either side of a run are compared with those beside its origin, and the run
+grows by what is equal.  A removed byte has its equal at an earlier place, so all content stays
+somewhere.
 
 Digests are 96 bits.  They are counted before anything is joined, with the counts combined
 map-side, so a passage that a third of the documents share is one row a task.
@@ -32,6 +36,7 @@ ROLL = 16  # bytes the gear hash sees
 REACH = 24  # a cut is the least hash of 24 places before and after
 MOST = 512  # bytes of a chunk: text that repeats within 24 bytes has no least hash
 LEAST = 50  # bytes of a unit
+AROUND = 192  # bytes on either side of a run that are compared; 0.5 % of chunks end further off
 STEP = 1 << 20  # bytes of a long text hashed at a time
 GEAR = np.random.default_rng(11).integers(0, 1 << 63, 256, np.uint64)
 
@@ -124,8 +129,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, t, spans): for every document that holds units seen before, its runs of
-    such bytes as (start, stop, first_doc_id, first_start), in order and without overlap.  A run
-    equals, byte for byte, what begins at its first_start in its first document.
+    such bytes as (start, stop, first_doc_id, first_t, first_start), in order and without overlap.
+    A run equals, byte for byte, what begins at its first_start in its first document, and goes
+    on as far as both are equal, but for what another run holds.
 
     Rows that repeat both id and text count as one document.  Null ids come first in order.
     Null and empty texts and texts under LEAST bytes have no unit.
@@ -138,7 +144,6 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .filter("n > 1")
         .select("h", "c", "first")
     )
-    span = "array<struct<start: int, stop: int, first_doc_id: bigint, first_start: int>>"
     again = (
         rows.join(store(shared, "shared-units"), ["h", "c"])  # a hot unit can be split
         .filter(~place.eqNullSafe(F.col("first")))
@@ -149,40 +154,147 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     "start",
                     (F.col("start") + F.col("size")).alias("stop"),
                     F.col("first.doc_id").alias("first_doc_id"),
-                    F.col("first.start").alias("first_start"),
                     F.col("first.t").alias("first_t"),
+                    F.col("first.start").alias("first_start"),
                 )
             ).alias("spans")
         )
     )
+    runs = again.mapInArrow(joined, f"doc_id long, t long, spans {SPANS}")
+    runs = store(runs.select("doc_id", "t", F.explode("spans").alias("s")).select("doc_id", "t", "s.*"), "runs")
+    sides = store(grown(docs, runs), "run-sides")
+    ends = sides.groupBy("doc_id", "t").agg(F.collect_list(F.struct(*SPAN, "after", "more")).alias("spans"))
+    return ends.mapInArrow(stretched, f"doc_id long, t long, spans {SPANS}")
+
+
+SPAN = ("start", "stop", "first_doc_id", "first_t", "first_start")
+SPANS = "array<struct<start: int, stop: int, first_doc_id: bigint, first_t: bigint, first_start: int>>"
+SPAN_TYPE = pa.list_(pa.struct(list(zip(SPAN, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())))))
 
-    kept = ("start", "stop", "first_doc_id", "first_start")
+
+def with_spans(batch: pa.RecordBatch, spans: list[list[dict]]) -> pa.RecordBatch:
+    own = [batch.column("doc_id"), batch.column("t"), pa.array(spans, SPAN_TYPE)]
+    return pa.RecordBatch.from_arrays(own, names=["doc_id", "t", "spans"])
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units that meet or overlap, of the same origin and shift, as one run."""
 
     def origin(x: dict) -> tuple:
         return x["first_doc_id"], x["first_t"], x["first_start"] - x["start"]
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for spans in batch.column("spans").to_pylist():
+            own: list[dict] = []
+            for x in sorted(spans, key=lambda s: (s["start"], s["stop"])):
+                last = own[-1] if own else None
+                if last is None or x["start"] > last["stop"]:
+                    own.append(x)
+                elif x["stop"] > last["stop"]:
+                    if origin(x) == origin(last):
+                        last["stop"] = x["stop"]
+                    else:  # goes on, but comes from elsewhere
+                        past = last["stop"] - x["start"]
+                        own.append({**x, "start": last["stop"], "first_start": x["first_start"] + past})
+            out.append(own)
+        yield with_spans(batch, out)
+
+
+def grown(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """Two rows a run, for the bytes before it and after it: ``more`` of them, up to AROUND,
+    are equal to those beside its origin."""
+    size = F.col("stop") - F.col("start")
+    sides = runs.withColumn("after", F.explode(F.array(F.lit(False), F.lit(True)))).select(
+        "doc_id", "t", *SPAN, "after",
+        F.when(F.col("after"), F.col("stop")).otherwise(F.col("start")).alias("at"),
+        (F.col("first_start") + F.when(F.col("after"), size).otherwise(0)).alias("first_at"),
+    )
+    # places are distinct, so a passage that many share is asked for once; a text has no more
+    # of them than bytes
+    places = (
+        sides.select("doc_id", "t", "after", "at")
+        .union(sides.select("first_doc_id", "first_t", "after", "first_at"))
+        .distinct()
+        .groupBy(F.col("doc_id").alias("d"), F.col("t").alias("k"))
+        .agg(F.collect_list(F.struct("after", "at")).alias("places"))
+    )
+    asked = keyed(docs).join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("k")))
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                rows: list[tuple] = []
+                ids, keys, wanted = (part.column(c).to_pylist() for c in ("d", "k", "places"))
+                for doc, t, text, own in zip(ids, keys, as_bytes(part, "text"), wanted):
+                    for p in own:
+                        at = p["at"]
+                        near = text[at : at + AROUND] if p["after"] else text[max(at - AROUND, 0) : at][::-1]
+                        rows.append((doc, t, p["after"], at, near))
+                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
+                columns = zip(*rows) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds)], names=["d", "k", "side", "place", "near"]
+                )
+
+    near = asked.select("d", "k", "text", "places").mapInArrow(
+        beside, "d long, k long, side boolean, place int, near binary"
+    )
+    # rows that repeat id and text give the same bytes again
+    near = store(near.dropDuplicates(["d", "k", "side", "place"]), "run-surroundings")
+
+    def met(left: DataFrame, doc: str, t: str, at: str, name: str) -> DataFrame:
+        same = F.col(doc).eqNullSafe(F.col("d")) & (F.col(t) == F.col("k"))
+        same &= (F.col("after") == F.col("side")) & (F.col(at) == F.col("place"))
+        return left.join(near, same).drop("d", "k", "side", "place").withColumnRenamed("near", name)
+
+    both = met(met(sides, "doc_id", "t", "at", "own"), "first_doc_id", "first_t", "first_at", "origin")
+    kept = ("doc_id", "t", *SPAN, "after")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, kinds = [], batch.schema.field("spans").type.value_type
-            for spans in batch.column("spans").to_pylist():
-                own: list[dict] = []
-                for x in sorted(spans, key=lambda s: (s["start"], s["stop"])):
-                    last = own[-1] if own else None
-                    if last is None or x["start"] > last["stop"]:
-                        own.append(x)
-                    elif x["stop"] > last["stop"]:
-                        if origin(x) == origin(last):
-                            last["stop"] = x["stop"]
-                        else:  # goes on, but comes from elsewhere
-                            past = last["stop"] - x["start"]
-                            own.append({**x, "start": last["stop"], "first_start": x["first_start"] + past})
-                out.append([{k: s[k] for k in kept} for s in own])
-            spans = pa.array(out, pa.list_(pa.struct([(k, kinds.field(k).type) for k in kept])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("t"), spans], names=["doc_id", "t", "spans"]
-            )
-
-    return again.mapInArrow(merge, f"doc_id long, t long, spans {span}")
+            pairs = zip(batch.column("own").to_pylist(), batch.column("origin").to_pylist())
+            more = pa.array([alike(a, b) for a, b in pairs], pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), more], names=[*kept, "more"])
+
+    kinds = "doc_id long, t long, start int, stop int, first_doc_id long, first_t long, first_start int"
+    return both.select(*kept, "own", "origin").mapInArrow(compare, f"{kinds}, after boolean, more int")
+
+
+def alike(a: bytes, b: bytes) -> int:
+    """Bytes that both begin with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs grown on both sides, but not into each other or an origin in the same text."""
+    for batch in batches:
+        out = []
+        ids, keys = (batch.column(c).to_pylist() for c in ("doc_id", "t"))
+        for doc, t, sides in zip(ids, keys, batch.column("spans").to_pylist()):
+            more = {(s["start"], s["after"]): s["more"] for s in sides}
+            own = sorted(({c: s[c] for c in SPAN} for s in sides if s["after"]), key=lambda s: s["start"])
+            limits = [s["start"] for s in own[1:]] + [1 << 31]
+            past = 0
+            for run, limit in zip(own, limits):
+                start, stop = run["start"], run["stop"]
+                before = min(more[start, False], start - past)
+                after = min(more[start, True], limit - stop)
+                if (run["first_doc_id"], run["first_t"]) == (doc, t):  # origin and run stay apart
+                    room = max(start - run["first_start"] - (stop - start), 0)
+                    before = min(before, room)
+                    after = min(after, room - before)
+                run["start"], run["first_start"] = start - before, run["first_start"] - before
+                run["stop"] = past = stop + after
+            out.append(own)
+        yield with_spans(batch, out)
 
 
 def repeats(docs: DataFrame) -> DataFrame:

@@ -133,6 +133,39 @@ def test_every_run_equals_its_origin(spark, docs):
     assert found and all(same_bytes(given, r) for r in found)
 
 
+def test_runs_reach_the_ends_of_their_passages(spark):
+    """Of passages of 51 words, other words around them, 95 % of the bytes go, and no others."""
+    rng = random.Random(12)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)]
+
+    passages = [words(51) for _ in range(60)]
+    rows = [(i, " ".join(words(40) + passages[i % 60] + words(40))) for i in range(180)]
+    rows += [(200, " ".join([*words(30), *passages[0], *words(20), *passages[0]])), (None, " ".join(passages[1]))]
+    given = dict(rows)
+    found = chunks.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    begins = {(r.doc_id, r.start) for r in found}
+    for r in found:
+        own, first = given[r.doc_id].encode(), given[r.first_doc_id].encode()
+        a, b = r.start + r.n_bytes, r.first_start + r.n_bytes
+        assert own[r.start : a] == first[r.first_start : b]
+        if (r.doc_id, a) not in begins:  # else another run, of another origin, goes on there
+            assert own[a : a + 1] != first[b : b + 1] or a == len(own) or b == len(first)
+    sizes = [len(" ".join(p)) for p in passages]
+    copies = 2 * sum(sizes) + 2 * sizes[0] + sizes[1]
+    gone = sum(r.n_bytes for r in found)
+    assert 0.95 * copies <= gone <= copies + 4 * len(found)
+
+
+def test_alike_and_growth_within_a_text(spark):
+    assert chunks.alike(b"abc", b"abd") == 2 and chunks.alike(b"", b"x") == 0 and chunks.alike(b"ab", b"abc") == 2
+    text = "0123456789abcdef" * 900
+    for r in chunks.repeats(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect():
+        assert 0 <= r.first_start < r.start  # an earlier place, so no byte goes with all its equals
+        assert text[r.start : r.start + r.n_bytes] == text[r.first_start : r.first_start + r.n_bytes]
+
+
 def test_extra_columns_keep_their_values(spark, docs):
     names = ["_id", "_t", "_spans", "_hits", "_words", "_row", "_fp", "__id", "FP", "root"]
     few = docs.select("doc_id", "text").limit(60)
