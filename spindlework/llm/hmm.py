@@ -1,58 +1,80 @@
 """A hidden Markov language model, trained by Baum-Welch over the whole corpus.
 
-A hidden state emits a word class, the class the word.  The most frequent words are classes of
-their own, all others share classes by their last two characters; within a class a word has
-its smoothed relative frequency, with one part left for unknown words, so the model is a proper
+A hidden state emits a word of the whole training vocabulary.  The rounds of training tie
+words together: the most frequent ones are classes of their own, all others share classes by
+their last two characters.  A last pass of expected counts is kept for every word and state, in
+a table that grows with the vocabulary, and unties the words: a word of a shared class takes its
+own odds of the states, drawn to those of its class where it is rare.  Within a class and
+state known words and one part for unknown words sum to one, so the model is a proper
 distribution over the same events as the unigram base.
 
 Jobs.  Texts become blocks of about ``BLOCK_BYTES`` with numbers local to the block and the
-block's own word list.  Word lists (a row for each word and block, not for each token) meet
-by word to be counted, so no vocabulary is broadcast or gathered anywhere, and go back to
-their blocks with counts and classes.  Every Baum-Welch round is one pass
-over the blocks: expected counts are summed in the task, then by Spark for each class; only
-states x classes figures reach the driver.
-
-Training cuts texts into stretches of ``STRETCH`` tokens, which start from equal odds.
-Scores do not: the scaled forward recursion runs over each whole text, all texts of a
-block side by side.
+block's own word list.  Every Baum-Welch round is one pass over the blocks: expected counts are
+summed in the task, then by Spark for each class; only states x classes figures reach the
+driver.  Then word lists (a row for each word and block, not for each token) meet by word
+with their counts and expected states, and go back to their blocks.  Words with a class of
+their own take no part in that, so no word of many rows meets in one task, and no vocabulary is
+broadcast or gathered anywhere.
+
+Training cuts long texts into stretches of ``STRETCH`` tokens.  A stretch reads ``MARGIN``
+tokens more on both sides, which give its first and last state their odds; every token and
+every transition is counted once.  Scores cut nothing: the scaled forward recursion runs over
+each whole text, all texts of a block side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import punctuation
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spindlework.llm.common import as_bytes, fold, slices, store
 
-STATES = 8
+STATES = 8  # 15 at most: the states of a word are written as 4 bits each
 ROUNDS = 5
 OWN_CLASSES = 2048  # most frequent words
 END_CLASSES = 1024  # classes by ending
 CLASSES = OWN_CLASSES + END_CLASSES + 1  # and that of the text's end
+OFTEN = 1 << 16  # a word of this part of some block's tokens may get a class of its own
+WORD_PRIOR = 2.0  # tokens by which a word's states are drawn to those of its class
 BLOCK_BYTES = 3 << 20
-STRETCH = 128
-TOGETHER = 1024  # stretches computed side by side
+STRETCH = 160
+MARGIN = 16
+TOGETHER = 768  # stretches computed side by side
 
 
 @dataclass
 class Model:
     start: np.ndarray  # states
     move: np.ndarray  # states x states
-    emit: np.ndarray  # classes x states
+    emit: np.ndarray  # classes (or words) x states
+    use: np.ndarray | None = None  # share of the tokens in each state
+
+
+@dataclass
+class Words:
+    """What scoring knows of shared classes and of the corpus, CLASSES rows at most."""
+
+    tokens: np.ndarray  # training tokens of each class
+    distinct: int  # different words in training
+    prior: np.ndarray  # classes x states, odds of the states in a class
+    whole: np.ndarray  # classes x states, what the words of a class sum to
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """(doc_ids, held, sizes, ids, words, counts), a row for each block, of rows
-    (doc_id, held_out, text).  Word 0 is the end of a text, written as ''."""
+    """(block, doc_ids, held, sizes, ids, words, counts, often), a row for each block, of rows
+    (doc_id, held_out, text).  Word 0 is the end of a text, written as ''.  ``often``: places of
+    the words that make up one token in ``OFTEN`` of the block or more."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_ids", "held", "sizes", "ids", "words", "counts"]
+        names = ["doc_ids", "held", "sizes", "ids", "words", "counts", "often"]
 
         def emit(own):
             docs, held, lines = zip(*own)
@@ -68,8 +90,9 @@ def blocks(docs: DataFrame) -> DataFrame:
             ids = np.concatenate(tokens)
             learns = np.repeat(~np.array(held), sizes)
             counts = np.bincount(ids[learns], minlength=len(number))
-            kinds = [pa.int64(), pa.bool_(), pa.int32(), None, pa.string(), pa.int64()]
-            values = [docs, held, sizes, None, [w.decode("utf-8") for w in number], counts]
+            often = np.flatnonzero((counts > 0) & (counts * OFTEN >= len(ids)))
+            kinds = [pa.int64(), pa.bool_(), pa.int32(), None, pa.string(), pa.int64(), pa.int32()]
+            values = [docs, held, sizes, None, [w.decode("utf-8") for w in number], counts, often]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([planes(ids)], pa.binary())
@@ -95,131 +118,234 @@ def blocks(docs: DataFrame) -> DataFrame:
     made = docs.mapInArrow(
         scan,
         "doc_ids array<bigint>, held array<boolean>, sizes array<int>, ids binary, "
-        "words array<string>, counts array<bigint>",
+        "words array<string>, counts array<bigint>, often array<int>",
     )
     return store(made.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
-def counted_words(made: DataFrame) -> DataFrame:
-    """(block, at, word, c, first): the words of each block with their counts in the whole
-    corpus; ``first`` marks one row of each word.  A word has one row in a block at most."""
-    listed = made.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    whole = W.partitionBy("word")
-    return store(
-        listed.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-        .withColumn("c", F.sum("n").over(whole))
-        .withColumn("first", F.row_number().over(whole.orderBy("block")) == 1)
-        .drop("n"),
-        "words",
-    )
-
-
-def with_classes(words: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``words`` with cls in place of word, and tokens and words seen in each class."""
-    frequent = (
-        words.filter("first AND c > 0 AND word <> ''").orderBy(F.desc("c"), "word").limit(OWN_CLASSES)
+def frequent_words(made: DataFrame) -> dict[str, int]:
+    """Class of each word that has one of its own: the OWN_CLASSES most frequent words."""
+    listed = made.select(F.explode("often").alias("at"), "words", "counts").select(
+        F.col("words")[F.col("at")].alias("word"), F.col("counts")[F.col("at")].alias("n")
     )
-    # at most OWN_CLASSES rows: numbered on the driver and broadcast
-    own = words.sparkSession.createDataFrame(
-        [(r.word, i) for i, r in enumerate(frequent.collect())], "word string, own int"
+    top = (
+        listed.filter("word <> ''")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "word")
+        .limit(OWN_CLASSES)
     )
-    ending = F.substring(F.regexp_replace("word", r"[\p{Punct}]+$", ""), -2, 2)
-    by_ending = F.pmod(F.xxhash64(ending), F.lit(END_CLASSES)).cast("int") + OWN_CLASSES
-    cls = F.when(F.col("word") == "", CLASSES - 1).otherwise(F.coalesce("own", by_ending))
-    classed = words.join(F.broadcast(own), "word", "left").withColumn("cls", cls)
-    totals = np.zeros((CLASSES, 2))
-    seen = classed.filter("first AND c > 0").groupBy("cls")
-    for r in seen.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        totals[r.cls] = r.n, r.v
-    return classed.select("block", "at", "c", "cls"), totals
+    return {r.word: i for i, r in enumerate(top.collect())}  # at most OWN_CLASSES rows
 
 
-def planes(ids: np.ndarray) -> bytes:
-    """32-bit numbers with their first bytes in front, then the second ones and so on: most
-    numbers are small, so the last planes are zeros and take no room when compressed."""
-    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+class _Endings(dict):
+    def __missing__(self, end: str) -> int:
+        self[end] = found = OWN_CLASSES + crc32(end.encode()) % END_CLASSES
+        return found
 
 
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def ending_class(word: str) -> Column:
+    """The shared class of a word, as :func:`with_classes` gives it."""
+    end = F.substring(F.regexp_replace(word, r"[\p{Punct}]+\z", ""), -2, 2)
+    return (F.crc32(end) % END_CLASSES).cast("int") + OWN_CLASSES
 
 
-def code(made: DataFrame, classed: DataFrame, totals: np.ndarray) -> DataFrame:
-    """Blocks in classes: (doc_ids, held, sizes, known, base, within, classes).
+def with_classes(made: DataFrame, own: dict[str, int]) -> tuple[DataFrame, np.ndarray]:
+    """Blocks with ``kinds`` (the class of each word of the block) and ``classes`` (that of
+    each token) in place of often, and the training tokens of each class."""
+    held = made.sparkSession.sparkContext.broadcast(own | {"": CLASSES - 1})  # bounded
+    kept = ["block", "doc_ids", "held", "sizes", "ids", "words", "counts"]
 
-    base: the unigram score of each text; within: the part of its words inside their classes.
-    ``totals``: tokens and words of each class, CLASSES x 2.
-    """
-    own = classed.groupBy("block").agg(
-        F.collect_list(F.struct("at", "c", "cls")).alias("own")  # a block's words
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ends = held.value, _Endings()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = batch.slice(i, 1)
+                words = part.column("words")[0].values.to_pylist()
+                kinds = np.fromiter(
+                    (own[w] if w in own else ends[w.rstrip(punctuation)[-2:]] for w in words),
+                    np.uint16,
+                    len(words),
+                )
+                tokens = kinds[from_planes(part.column("ids")[0].as_py())]
+                tally = np.bincount(kinds, part.column("counts")[0].values.to_numpy(), CLASSES)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in kept),
+                        pa.array([kinds.tobytes()], pa.binary()),
+                        pa.array([tokens.tobytes()], pa.binary()),
+                        pa.array([tally.astype(np.int64)], pa.list_(pa.int64())),
+                    ],
+                    names=[*kept, "kinds", "classes", "tally"],
+                )
+
+    coded = store(
+        made.select(*kept).mapInArrow(
+            scan,
+            "block long, doc_ids array<bigint>, held array<boolean>, sizes array<int>, ids binary, "
+            "words array<string>, counts array<bigint>, kinds binary, classes binary, tally array<bigint>",
+        ),
+        "coded",
     )
-    n, v = totals.sum(0)
+    tokens = np.zeros(CLASSES)
+    summed = coded.select(F.posexplode("tally").alias("cls", "n")).filter("n > 0").groupBy("cls")
+    for r in summed.agg(F.sum("n").alias("n")).collect():  # at most CLASSES rows
+        tokens[r.cls] = r.n
+    return coded.drop("tally"), tokens
+
+
+def nibbles(shares: np.ndarray) -> np.ndarray:
+    """Rows of figures as 4 bits each, 15 for the largest of a row, the first in front."""
+    most = np.maximum(shares.max(1, keepdims=True), 1e-30)
+    parts = np.rint(15 * shares / most).astype(np.int64)
+    return (parts << (4 * np.arange(shares.shape[1]))).sum(1)
+
+
+def from_nibbles(packed: np.ndarray, states: int) -> np.ndarray:
+    """Rows of shares that sum to one (zeros if there is none)."""
+    parts = (packed[:, None] >> (4 * np.arange(states))) & 15
+    return parts / np.maximum(parts.sum(1, keepdims=True), 1)
+
+
+def word_states(coded: DataFrame, model: Model) -> DataFrame:
+    """(block, at, word, n, q): for each word of a shared class and each block with it, its
+    training tokens there and their expected states as :func:`nibbles`."""
+    held = coded.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                own = batch.column("own")[i].values.flatten()
-                at, c, cls = (x.to_numpy(zero_copy_only=False) for x in own)
-                count, kind = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                count[at], kind[at] = c, cls
-                base = np.log10((count + 1) / (n + v + 1))
-                shared = (kind >= OWN_CLASSES) & (kind < CLASSES - 1)
-                inside = np.zeros(len(at))
-                inside[shared] = np.log10(
-                    (count[shared] + 1) / (totals[kind[shared]].sum(1) + 1)
-                )
+                kinds = np.frombuffer(batch.column("kinds")[i].as_py(), np.uint16)
                 ids = from_planes(batch.column("ids")[i].as_py())
                 sizes = batch.column("sizes")[i].values.to_numpy()
-                starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                sums = [np.add.reduceat(x[ids], starts) for x in (count > 0, base, inside)]
+                learns = ~batch.column("held")[i].values.to_numpy(zero_copy_only=False)
+                found = expect(
+                    held.value, kinds[ids], *stretches(sizes, learns), keys=ids, n_keys=len(kinds)
+                )
+                at = np.flatnonzero((kinds >= OWN_CLASSES) & (kinds < CLASSES - 1))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(k).slice(i, 1) for k in ("doc_ids", "held", "sizes")),
-                        pa.array([sums[0].astype(np.int64)], pa.list_(pa.int64())),
-                        pa.array([sums[1]], pa.list_(pa.float64())),
-                        pa.array([sums[2]], pa.list_(pa.float64())),
-                        pa.array([kind[ids].astype(np.uint16).tobytes()], pa.binary()),
+                        pa.array(np.full(len(at), batch.column("block")[i].as_py(), np.int64)),
+                        pa.array(at.astype(np.int32)),
+                        batch.column("words")[i].values.take(pa.array(at)),
+                        batch.column("counts")[i].values.take(pa.array(at)),
+                        pa.array(nibbles(found[2][at])),
                     ],
-                    names=["doc_ids", "held", "sizes", "known", "base", "within", "classes"],
+                    names=["block", "at", "word", "n", "q"],
                 )
 
-    joined = made.select("block", "doc_ids", "held", "sizes", "ids").join(own, "block")
+    return coded.select("block", "held", "sizes", "ids", "words", "counts", "kinds").mapInArrow(
+        scan, "block long, at int, word string, n long, q long"
+    )
+
+
+def whole_vocabulary(rows: DataFrame, states: int) -> DataFrame:
+    """Rows of :func:`word_states` with (c, q) of their word in the whole corpus, its class, and
+    ``first`` at one row of each word.  A word has one row in a block at most, and words of
+    their own class none, so the rows that meet by word are few in each task."""
+    whole = W.partitionBy("word")
+    q = [F.shiftrightunsigned("q", 4 * s).bitwiseAND(F.lit(15)) for s in range(states)]
+    share = F.col("n") / F.greatest(sum(q[1:], q[0]), F.lit(1))
+    met = rows.withColumn("share", share).select(
+        "block",
+        "at",
+        "word",
+        F.sum("n").over(whole).alias("c"),
+        *(F.sum(q[s] * F.col("share")).over(whole).alias(f"s{s}") for s in range(states)),
+        (F.row_number().over(whole.orderBy("block")) == 1).alias("first"),
+    )
+    most = F.greatest(*(F.col(f"s{s}") for s in range(states)), F.lit(1e-30))
+    packed = [F.shiftleft(F.rint(15 * F.col(f"s{s}") / most).cast("long"), 4 * s) for s in range(states)]
+    joined = packed[0]
+    for part in packed[1:]:
+        joined = joined.bitwiseOR(part)
     return store(
-        joined.drop("block").mapInArrow(
-            scan,
-            "doc_ids array<bigint>, held array<boolean>, sizes array<int>, known array<bigint>, "
-            "base array<double>, within array<double>, classes binary",
-        ),
-        "coded",
+        met.select("block", "at", "c", joined.alias("q"), ending_class("word").alias("cls"), "first"),
+        "words",
+    )
+
+
+def word_figures(words: DataFrame, model: Model, tokens: np.ndarray) -> Words:
+    """The sums over the vocabulary that make the words of each class and state sum to one."""
+    k = len(model.start)
+    q = [F.shiftrightunsigned("q", 4 * s).bitwiseAND(F.lit(15)) for s in range(k)]
+    drawn = (F.col("c") + 1) / (F.col("c") + WORD_PRIOR)
+    own = drawn * F.col("c") / F.greatest(sum(q[1:], q[0]), F.lit(1))
+    rows = (
+        words.filter("first AND c > 0")
+        .withColumn("own", own)
+        .groupBy("cls")
+        .agg(
+            F.count("*").alias("v"),
+            F.sum(drawn * WORD_PRIOR).alias("t"),
+            *(F.sum(q[s] * F.col("own")).alias(f"s{s}") for s in range(k)),
+        )
+        .collect()  # at most END_CLASSES rows
     )
+    prior = model.emit * model.use
+    prior = prior / prior.sum(1, keepdims=True)
+    whole = prior.copy()  # the part of unknown words
+    for r in rows:
+        whole[r.cls] += np.array([r[f"s{s}"] for s in range(k)]) + r.t * prior[r.cls]
+    shared = np.arange(CLASSES)
+    alone = tokens[(shared < OWN_CLASSES) | (shared == CLASSES - 1)]
+    return Words(tokens, int(np.count_nonzero(alone)) + sum(r.v for r in rows), prior, whole)
+
+
+def word_emissions(model: Model, known: Words, kinds, count, q) -> np.ndarray:
+    """words x states: the odds of each word in each state, of its class, training tokens in the
+    whole corpus and packed states."""
+    emit = model.emit[kinds]
+    at = np.flatnonzero((kinds >= OWN_CLASSES) & (kinds < CLASSES - 1))
+    of, c = kinds[at], count[at, None]
+    states = (c * from_nibbles(q[at], len(model.start)) + WORD_PRIOR * known.prior[of]) / (c + WORD_PRIOR)
+    states = np.where(c > 0, states, known.prior[of])
+    emit[at] *= (c + 1) * states / known.whole[of]
+    return emit
 
 
-def stretches(classes: np.ndarray, sizes: np.ndarray, learns: np.ndarray):
-    """(begin, length, whether a text begins there) of the stretches of texts that teach."""
+def planes(ids: np.ndarray) -> bytes:
+    """32-bit numbers with their first bytes in front, then the second ones and so on: most
+    numbers are small, so the last planes are zeros and take no room when compressed."""
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def stretches(sizes: np.ndarray, learns: np.ndarray):
+    """(begin, length, whether a text begins there, first and last token that count) of the
+    stretches of texts that teach, with their margins, in falling length."""
     starts = np.cumsum(sizes) - sizes
     starts, sizes = starts[learns], sizes[learns]
     n = -(-sizes // STRETCH)
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    begin = np.repeat(starts, n) + step * STRETCH
-    length = np.minimum(np.repeat(starts + sizes, n) - begin, STRETCH)
-    order = np.argsort(-length, kind="stable")
-    return begin[order], length[order], (step == 0)[order]
+    start, stop = np.repeat(starts, n), np.repeat(starts + sizes, n)
+    own = start + step * STRETCH
+    own_stop = np.minimum(own + STRETCH, stop)
+    begin, end = np.maximum(own - MARGIN, start), np.minimum(own_stop + MARGIN, stop)
+    order = np.argsort(begin - end, kind="stable")
+    return tuple(x[order] for x in (begin, end - begin, begin == start, own - begin, own_stop - begin))
 
 
-def expect(model: Model, classes: np.ndarray, begin, length, first):
+def expect(model: Model, classes: np.ndarray, begin, length, first, low, high, keys=None, n_keys=0):
     """Expected starts, moves and emissions of stretches (in falling length), and the log
-    likelihood, by the scaled forward-backward recursion."""
-    k = len(model.start)
-    starts, moves, emissions, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), 0.0
+    likelihood, by the scaled forward-backward recursion, of the tokens from ``low`` to
+    ``high`` and the moves into them.  Emissions are summed by class, or by ``keys``."""
+    k, rows = len(model.start), CLASSES if keys is None else n_keys
+    starts, moves, emissions, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((rows, k)), 0.0
     move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
     for at in range(0, len(begin), TOGETHER):
-        b, n, f = (x[at : at + TOGETHER] for x in (begin, length, first))
+        b, n, f, lo, hi = (x[at : at + TOGETHER] for x in (begin, length, first, low, high))
         steps = int(n[0])
         active = np.searchsorted(-n, -np.arange(1, steps + 1), side="right")  # longer than t
-        own = np.zeros((steps, len(b)), np.int64)
+        place = np.zeros((steps, len(b)), np.int64)
         for t in range(steps):
-            own[t, : active[t]] = classes[b[: active[t]] + t]
-        seen = emit[own]  # steps x stretches x states
+            place[t, : active[t]] = b[: active[t]] + t
+        seen = emit[classes[place]]  # steps x stretches x states
+        time = np.arange(steps)[:, None]
+        counts = (time >= lo) & (time < hi)
         alpha, scale = np.zeros_like(seen), np.ones((steps, len(b)), np.float32)
         now = np.where(f[:, None], model.start, 1.0 / k).astype(np.float32)
         for t in range(steps):
@@ -228,32 +354,31 @@ def expect(model: Model, classes: np.ndarray, begin, length, first):
             scale[t, :m] = now.sum(1)
             now /= scale[t, :m, None]
             alpha[t, :m] = now
-        likelihood += float(np.log(scale).sum(dtype=np.float64))
+        likelihood += float(np.log(scale[counts]).sum(dtype=np.float64))
         beta = np.ones_like(seen)
         for t in range(steps - 2, -1, -1):
             m = active[t + 1]
             ahead = seen[t + 1, :m] * beta[t + 1, :m] / scale[t + 1, :m, None]
-            moves += alpha[t, :m].T.astype(np.float64) @ ahead
+            moves += (alpha[t, :m] * counts[t + 1, :m, None]).T.astype(np.float64) @ ahead
             beta[t, :m] = ahead @ move.T
         gamma = alpha * beta
-        valid = np.arange(len(b))[None] < active[:, None]
-        starts += gamma[0][f].sum(0)
-        flat, where = gamma[valid], own[valid]
+        starts += gamma[0][f & (lo == 0)].sum(0)
+        flat, where = gamma[counts], (classes if keys is None else keys)[place[counts]]
         for s in range(k):
-            emissions[:, s] += np.bincount(where, flat[:, s], minlength=CLASSES)
+            emissions[:, s] += np.bincount(where, flat[:, s], minlength=rows)
     return starts, moves * model.move, emissions, likelihood
 
 
-def first_model(totals: np.ndarray, states: int, seed: int = 3) -> Model:
+def first_model(tokens: np.ndarray, states: int, seed: int = 3) -> Model:
     """Each state sees the class frequencies through noise of its own; states tend to stay."""
     rng = np.random.default_rng(seed)
-    share = (totals[:, 0] + 0.5) / (totals[:, 0] + 0.5).sum()
+    share = (tokens + 0.5) / (tokens + 0.5).sum()
     emit = share[:, None] * np.exp(rng.normal(size=(CLASSES, states)))
     move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
+    return Model(np.full(states, 1 / states), move, emit / emit.sum(0), np.full(states, 1 / states))
 
 
-def improve(coded: DataFrame, model: Model, totals: np.ndarray) -> tuple[Model, float]:
+def improve(coded: DataFrame, model: Model, tokens: np.ndarray) -> tuple[Model, float]:
     """One Baum-Welch round over all blocks: the next model and the log likelihood of this."""
     held = coded.sparkSession.sparkContext.broadcast(model)  # states x classes figures
     k = len(model.start)
@@ -267,7 +392,7 @@ def improve(coded: DataFrame, model: Model, totals: np.ndarray) -> tuple[Model,
                 classes = np.frombuffer(batch.column("classes")[i].as_py(), np.uint16)
                 sizes = batch.column("sizes")[i].values.to_numpy()
                 learns = ~batch.column("held")[i].values.to_numpy(zero_copy_only=False)
-                own = expect(model, classes, *stretches(classes, sizes, learns))
+                own = expect(model, classes, *stretches(sizes, learns))
                 sums = [a + b for a, b in zip(sums, own)]
         start, move, emit, likelihood = sums
         table = np.vstack((emit, move, start, np.full(k, likelihood)))
@@ -286,18 +411,24 @@ def improve(coded: DataFrame, model: Model, totals: np.ndarray) -> tuple[Model,
     )
     table = np.zeros((CLASSES + k + 2, k))
     table[rows.row] = rows[columns]
-    share = (totals[:, 0] + 0.5) / (totals[:, 0] + 0.5).sum()
+    share = (tokens + 0.5) / (tokens + 0.5).sum()
+    use = table[:CLASSES].sum(0) + 1
     emit = table[:CLASSES] + 100 * share[:, None]  # Dirichlet priors
     move = table[CLASSES : CLASSES + k] + 1 + 9 * np.eye(k)
     start = table[CLASSES + k] + 1
     return (
-        Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0)),
+        Model(
+            start / start.sum(),
+            move / move.sum(1, keepdims=True),
+            emit / emit.sum(0),
+            use / use.sum(),
+        ),
         float(table[-1, 0]),
     )
 
 
 def forward(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """log10 likelihood of each text's classes by the scaled forward recursion, exact."""
+    """log10 likelihood of each text's classes (or words) by the scaled forward recursion, exact."""
     order = np.argsort(-sizes, kind="stable")
     starts, n = (np.cumsum(sizes) - sizes)[order], sizes[order]
     total = np.zeros(len(n))
@@ -313,38 +444,56 @@ def forward(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def score(coded: DataFrame, model: Model, train_tokens: int) -> DataFrame:
-    held = coded.sparkSession.sparkContext.broadcast(model)
+def score(coded: DataFrame, words: DataFrame, model: Model, known: Words) -> DataFrame:
+    """A row for each text: its figures by the base and by the model."""
+    held = coded.sparkSession.sparkContext.broadcast((model, known))  # CLASSES rows
+    own = words.groupBy("block").agg(
+        F.collect_list(F.struct("at", "c", "q")).alias("own")  # a block's words
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, known = held.value
+        n = int(known.tokens.sum())
         for batch in batches:
             for i in range(batch.num_rows):
-                part = {c: batch.column(c)[i].values for c in batch.schema.names if c != "classes"}
-                classes = np.frombuffer(batch.column("classes")[i].as_py(), np.uint16)
-                sizes = part["sizes"].to_numpy()
-                likelihood = forward(held.value, classes, sizes)
+                kinds = np.frombuffer(batch.column("kinds")[i].as_py(), np.uint16)
+                ids = from_planes(batch.column("ids")[i].as_py())
+                sizes = batch.column("sizes")[i].values.to_numpy()
+                count, q = known.tokens[kinds].astype(np.int64), np.zeros(len(kinds), np.int64)
+                count[(kinds >= OWN_CLASSES) & (kinds < CLASSES - 1)] = 0
+                if batch.column("own")[i].is_valid:
+                    at, c, packed = batch.column("own")[i].values.flatten()
+                    count[at.to_numpy()], q[at.to_numpy()] = c.to_numpy(), packed.to_numpy()
+                base = np.log10((count + 1) / (n + known.distinct + 1))
+                starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+                of_words = Model(model.start, model.move, word_emissions(model, known, kinds, count, q))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part["doc_ids"], part["held"],
-                        pa.array(sizes.astype(np.int64)), part["known"],
-                        pa.array(np.full(len(sizes), train_tokens, np.int64)), part["base"],
-                        pa.array(likelihood + part["within"].to_numpy()),
+                        batch.column("doc_ids")[i].values,
+                        batch.column("held")[i].values,
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array(np.add.reduceat((count > 0).astype(np.int64)[ids], starts)),
+                        pa.array(np.full(len(sizes), n, np.int64)),
+                        pa.array(np.add.reduceat(base[ids], starts)),
+                        pa.array(forward(of_words, ids, sizes)),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return coded.mapInArrow(
+    # a block without a word of a shared class has no list
+    joined = coded.select("block", "doc_ids", "held", "sizes", "ids", "kinds").join(own, "block", "left")
+    return joined.drop("block").mapInArrow(
         scan,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",
     )
 
 
-def train(coded: DataFrame, totals: np.ndarray, states: int = STATES, rounds: int = ROUNDS):
+def train(coded: DataFrame, tokens: np.ndarray, states: int = STATES, rounds: int = ROUNDS):
     """The model after ``rounds`` rounds and the log likelihood before each."""
-    model, seen = first_model(totals, states), []
+    model, seen = first_model(tokens, states), []
     for _ in range(rounds):
-        model, likelihood = improve(coded, model, totals)
+        model, likelihood = improve(coded, model, tokens)
         seen.append(likelihood)
     return model, seen
 
@@ -365,7 +514,7 @@ def language_scores(
         F.col("text").cast("string").alias("text"),
     )
     made = blocks(own)
-    classed, totals = with_classes(counted_words(made))
-    coded = code(made, classed, totals)
-    model, _ = train(coded, totals, states, rounds)
-    return score(coded, model, int(totals[:, 0].sum()))
+    coded, tokens = with_classes(made, frequent_words(made))
+    model, _ = train(coded, tokens, states, rounds)
+    words = whole_vocabulary(word_states(coded, model), states)
+    return score(coded, words, model, word_figures(words, model, tokens))

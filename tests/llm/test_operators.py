@@ -485,32 +485,45 @@ def test_benchmark_in_shards(spark, docs, monkeypatch):
 
 
 def test_expected_counts_and_likelihood_equal_enumeration(monkeypatch):
-    for name, value in (("CLASSES", 5), ("TOGETHER", 4), ("STRETCH", 6)):
+    for name, value in (("CLASSES", 5), ("TOGETHER", 4), ("STRETCH", 6), ("MARGIN", 2)):
         monkeypatch.setattr(hmm, name, value)
     rng, k = np.random.default_rng(0), 3
     model = hmm.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(5), k).T)
     sizes = np.array([3, 9, 1, 14, 6])
     classes = rng.integers(0, 5, sizes.sum()).astype(np.uint16)
-    parts = hmm.stretches(classes, sizes, np.array([1, 1, 0, 1, 1], bool))
+    parts = hmm.stretches(sizes, np.array([1, 1, 0, 1, 1], bool))
     got = hmm.expect(model, classes, *parts)
     start, move, emit, total = np.zeros(k), np.zeros((k, k)), np.zeros((5, k)), 0.0
-    for begin, n, first in zip(*parts):
-        x, paths = classes[begin : begin + n], []
-        for z in itertools.product(range(k), repeat=int(n)):
+    inside = collections.Counter()
+
+    def odds(x, first):  # of every path of states through the tokens x
+        for z in itertools.product(range(k), repeat=len(x)):
             p = (model.start[z[0]] if first else 1 / k) * model.emit[x[0], z[0]]
-            for i in range(1, n):
+            for i in range(1, len(x)):
                 p *= model.move[z[i - 1], z[i]] * model.emit[x[i], z[i]]
-            paths.append((z, p))
+            yield z, p
+
+    for begin, n, first, low, high in zip(*parts):
+        x = classes[begin : begin + n]
+        paths = list(odds(x, first))
         whole = sum(p for _, p in paths)
-        total += math.log(whole)
+        before = sum(p for _, p in odds(x[:low], first)) if low else 1.0
+        total += math.log(sum(p for _, p in odds(x[:high], first)) / before)
+        inside.update(range(begin + low, begin + high))
         for z, p in paths:
             start[z[0]] += first * p / whole
-            for i in range(n):
+            for i in range(low, high):
                 emit[x[i], z[i]] += p / whole
                 if i:
                     move[z[i - 1], z[i]] += p / whole
     for a, b in zip(got, (start, move, emit, total)):
         assert np.allclose(a, b, rtol=1e-4)
+    # every token of a text that teaches counts once, and every move between two of them
+    assert inside == collections.Counter([*range(12), *range(13, 33)])
+    assert math.isclose(move.sum(), 2 + 8 + 13 + 5)
+    keys = rng.integers(0, 9, sizes.sum())
+    by_key = hmm.expect(model, classes, *parts, keys=keys, n_keys=9)[2]
+    assert by_key.shape == (9, k) and np.allclose(by_key.sum(0), emit.sum(0), rtol=1e-4)
     for n, start_at, got_one in zip(sizes, np.cumsum(sizes) - sizes, hmm.forward(model, classes, sizes)):
         alpha = model.start * model.emit[classes[start_at]]
         for c in classes[start_at + 1 : start_at + n]:
@@ -534,6 +547,65 @@ def test_base_score_and_held_out_gain(docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_emissions_of_the_whole_vocabulary_are_a_distribution(spark, docs):
+    odd_words = [(10**6, "a !! \u00e9\u00e9?! x\u2028 y!\u2028 -- \U0001f600\U0001f601\U0001f602 ab. ab", False)]
+    own = docs.select("doc_id", "text", (hmm.fold("doc_id", 7) == 2).alias("held_out"))
+    own = own.union(spark.createDataFrame(odd_words, own.schema))
+    made = hmm.blocks(own.repartition(5, "doc_id"))  # some blocks
+    frequent = hmm.frequent_words(made)
+    coded, tokens = hmm.with_classes(made, frequent)
+    model, seen = hmm.train(coded, tokens, states=3, rounds=3)
+    assert seen == sorted(seen)
+    rows = hmm.word_states(coded, model)
+    words = hmm.whole_vocabulary(rows, 3)
+    known = hmm.word_figures(words, model, tokens)
+    count = collections.Counter()
+    for r in own.collect():
+        if not r.held_out:
+            count.update((r.text or "").encode().lower().split() + [b""])
+    assert tokens.sum() == sum(count.values()) and known.distinct == len(count)
+    top = sorted((-n, w) for w, n in count.items() if w)[: hmm.OWN_CLASSES]
+    assert sum(count[w.encode()] for w in frequent) == -sum(n for n, _ in top)
+
+    # the table has each word's count; its class is the same in tasks and in SQL
+    at = {(r.block, r.at): r for r in words.collect()}
+    q, kind, parts = {}, {}, collections.defaultdict(lambda: np.zeros(3))
+    for r in coded.collect():
+        kinds = np.frombuffer(r.kinds, np.uint16)
+        for i, (word, cls) in enumerate(zip(r.words, kinds)):
+            got = at.pop((r.block, i), None)
+            kind[word] = cls
+            assert (got is None) == (word == "" or word in frequent)
+            if got:
+                assert (got.c, got.cls) == (count[word.encode()], cls)
+                assert q.setdefault(word, got.q) == got.q
+    assert not at
+    # expected states of a word, summed over its blocks, up to the rounding to 4 bits
+    for r in rows.collect():
+        parts[r.word] += r.n * hmm.from_nibbles(np.array([r.q]), 3)[0]
+    for word, share in parts.items():
+        if count[word.encode()]:
+            assert np.abs(hmm.from_nibbles(np.array([q[word]]), 3)[0] - share / share.sum()).max() < 0.06
+
+    # all known words and one unknown word of each shared class sum to one in every state
+    vocabulary = sorted(w for w in kind if count[w.encode()])
+    kinds = np.array([kind[w] for w in vocabulary] + list(range(hmm.OWN_CLASSES, hmm.CLASSES - 1)))
+    counts = np.array([count[w.encode()] for w in vocabulary] + [0] * hmm.END_CLASSES)
+    packed = np.array([q.get(w, 0) for w in vocabulary] + [0] * hmm.END_CLASSES)
+    emit = hmm.word_emissions(model, known, kinds, counts, packed)
+    assert np.allclose(emit.sum(0), 1, rtol=1e-9) and (emit > 0).all()
+    scored = hmm.score(coded, words, model, known).collect()
+    assert len(scored) == own.count() and all(math.isfinite(r.score) for r in scored)
+
+
+def test_states_of_a_word_are_written_in_four_bits():
+    rng = np.random.default_rng(0)
+    shares = rng.dirichlet(np.ones(8), 200) * rng.integers(1, 1000, 200)[:, None]
+    back = hmm.from_nibbles(hmm.nibbles(shares), 8)
+    assert np.abs(back - shares / shares.sum(1, keepdims=True)).max() < 0.04
+    assert hmm.from_nibbles(hmm.nibbles(np.zeros((1, 8))), 8).sum() == 0
+
+
 def test_language_scores_of_odd_rows(odd, none):
     rows = hmm.language_scores(odd).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r.score) for r in rows)
