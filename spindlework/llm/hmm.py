@@ -31,13 +31,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spindlework.llm.common import as_bytes, fold, slices, store
 
-STATES = 8  # 15 at most: the states of a word are written as 4 bits each
+STATES = 8  # 8 at most: the states of a word are written as 4 bits each
 ROUNDS = 5
 OWN_CLASSES = 2048  # most frequent words
 END_CLASSES = 1024  # classes by ending
@@ -45,8 +46,8 @@ CLASSES = OWN_CLASSES + END_CLASSES + 1  # and that of the text's end
 OFTEN = 1 << 16  # a word of this part of some block's tokens may get a class of its own
 WORD_PRIOR = 2.0  # tokens by which a word's states are drawn to those of its class
 BLOCK_BYTES = 3 << 20
-STRETCH = 160
-MARGIN = 16
+STRETCH = 176
+MARGIN = 8
 TOGETHER = 768  # stretches computed side by side
 
 
@@ -69,12 +70,13 @@ class Words:
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """(block, doc_ids, held, sizes, ids, words, counts, often), a row for each block, of rows
-    (doc_id, held_out, text).  Word 0 is the end of a text, written as ''.  ``often``: places of
-    the words that make up one token in ``OFTEN`` of the block or more."""
+    """(block, doc_ids, held, sizes, ids, words, counts, often, often_n), a row for each block,
+    of rows (doc_id, held_out, text).  Word 0 is the end of a text, written as ''; words are
+    joined by blanks.  ``often``: the words that make up one token in ``OFTEN`` of the block or
+    more, with their counts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_ids", "held", "sizes", "ids", "words", "counts", "often"]
+        names = ["doc_ids", "held", "sizes", "ids", "words", "counts", "often", "often_n"]
 
         def emit(own):
             docs, held, lines = zip(*own)
@@ -91,11 +93,15 @@ def blocks(docs: DataFrame) -> DataFrame:
             learns = np.repeat(~np.array(held), sizes)
             counts = np.bincount(ids[learns], minlength=len(number))
             often = np.flatnonzero((counts > 0) & (counts * OFTEN >= len(ids)))
-            kinds = [pa.int64(), pa.bool_(), pa.int32(), None, pa.string(), pa.int64(), pa.int32()]
-            values = [docs, held, sizes, None, [w.decode("utf-8") for w in number], counts, often]
+            listed = list(number)
+            kinds = [pa.int64(), pa.bool_(), pa.int32(), None, None, None, pa.string(), pa.int64()]
+            values = [
+                docs, held, sizes, planes(ids), b" ".join(listed), planes(counts),
+                [listed[i].decode("utf-8") for i in often], counts[often],
+            ]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([planes(ids)], pa.binary())
+                    pa.array([value], pa.binary())
                     if kind is None
                     else pa.array([list(value)], pa.list_(kind))
                     for kind, value in zip(kinds, values)
@@ -118,15 +124,15 @@ def blocks(docs: DataFrame) -> DataFrame:
     made = docs.mapInArrow(
         scan,
         "doc_ids array<bigint>, held array<boolean>, sizes array<int>, ids binary, "
-        "words array<string>, counts array<bigint>, often array<int>",
+        "words binary, counts binary, often array<string>, often_n array<bigint>",
     )
     return store(made.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
 def frequent_words(made: DataFrame) -> dict[str, int]:
     """Class of each word that has one of its own: the OWN_CLASSES most frequent words."""
-    listed = made.select(F.explode("often").alias("at"), "words", "counts").select(
-        F.col("words")[F.col("at")].alias("word"), F.col("counts")[F.col("at")].alias("n")
+    listed = made.select(F.explode(F.arrays_zip("often", "often_n")).alias("w")).select(
+        F.col("w.often").alias("word"), F.col("w.often_n").alias("n")
     )
     top = (
         listed.filter("word <> ''")
@@ -161,14 +167,14 @@ def with_classes(made: DataFrame, own: dict[str, int]) -> tuple[DataFrame, np.nd
         for batch in batches:
             for i in range(batch.num_rows):
                 part = batch.slice(i, 1)
-                words = part.column("words")[0].values.to_pylist()
+                words = part.column("words")[0].as_py().decode("utf-8").split(" ")
                 kinds = np.fromiter(
                     (own[w] if w in own else ends[w.rstrip(punctuation)[-2:]] for w in words),
                     np.uint16,
                     len(words),
                 )
                 tokens = kinds[from_planes(part.column("ids")[0].as_py())]
-                tally = np.bincount(kinds, part.column("counts")[0].values.to_numpy(), CLASSES)
+                tally = np.bincount(kinds, from_planes(part.column("counts")[0].as_py()), CLASSES)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(c) for c in kept),
@@ -183,7 +189,7 @@ def with_classes(made: DataFrame, own: dict[str, int]) -> tuple[DataFrame, np.nd
         made.select(*kept).mapInArrow(
             scan,
             "block long, doc_ids array<bigint>, held array<boolean>, sizes array<int>, ids binary, "
-            "words array<string>, counts array<bigint>, kinds binary, classes binary, tally array<bigint>",
+            "words binary, counts binary, kinds binary, classes binary, tally array<bigint>",
         ),
         "coded",
     )
@@ -194,6 +200,14 @@ def with_classes(made: DataFrame, own: dict[str, int]) -> tuple[DataFrame, np.nd
     return coded.drop("tally"), tokens
 
 
+PLACE = 31  # bits of a word's place in its block, in front of which are its states
+
+
+def bits_of_states(states: int) -> list[Column]:
+    """The figure of each state in ``at_q``."""
+    return [F.shiftrightunsigned("at_q", PLACE + 4 * s).bitwiseAND(F.lit(15)) for s in range(states)]
+
+
 def nibbles(shares: np.ndarray) -> np.ndarray:
     """Rows of figures as 4 bits each, 15 for the largest of a row, the first in front."""
     most = np.maximum(shares.max(1, keepdims=True), 1e-30)
@@ -208,8 +222,9 @@ def from_nibbles(packed: np.ndarray, states: int) -> np.ndarray:
 
 
 def word_states(coded: DataFrame, model: Model) -> DataFrame:
-    """(block, at, word, n, q): for each word of a shared class and each block with it, its
-    training tokens there and their expected states as :func:`nibbles`."""
+    """(block, at_q, word, n): for each word of a shared class and each block with it, its
+    training tokens there, and its place in the block and their expected states as
+    :func:`nibbles` in one number, the place in its last 31 bits."""
     held = coded.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,44 +238,45 @@ def word_states(coded: DataFrame, model: Model) -> DataFrame:
                     held.value, kinds[ids], *stretches(sizes, learns), keys=ids, n_keys=len(kinds)
                 )
                 at = np.flatnonzero((kinds >= OWN_CLASSES) & (kinds < CLASSES - 1))
+                words = pa.array([batch.column("words")[i].as_py()], pa.binary()).cast(pa.string())
+                counts = from_planes(batch.column("counts")[i].as_py())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(at), batch.column("block")[i].as_py(), np.int64)),
-                        pa.array(at.astype(np.int32)),
-                        batch.column("words")[i].values.take(pa.array(at)),
-                        batch.column("counts")[i].values.take(pa.array(at)),
-                        pa.array(nibbles(found[2][at])),
+                        pa.array(nibbles(found[2][at]) << PLACE | at),
+                        pc.split_pattern(words, " ").values.take(pa.array(at)),
+                        pa.array(counts[at].astype(np.int64)),
                     ],
-                    names=["block", "at", "word", "n", "q"],
+                    names=["block", "at_q", "word", "n"],
                 )
 
     return coded.select("block", "held", "sizes", "ids", "words", "counts", "kinds").mapInArrow(
-        scan, "block long, at int, word string, n long, q long"
+        scan, "block long, at_q long, word string, n long"
     )
 
 
 def whole_vocabulary(rows: DataFrame, states: int) -> DataFrame:
-    """Rows of :func:`word_states` with (c, q) of their word in the whole corpus, its class, and
+    """Rows of :func:`word_states` with (c, states) of their word in the whole corpus, its class, and
     ``first`` at one row of each word.  A word has one row in a block at most, and words of
     their own class none, so the rows that meet by word are few in each task."""
     whole = W.partitionBy("word")
-    q = [F.shiftrightunsigned("q", 4 * s).bitwiseAND(F.lit(15)) for s in range(states)]
+    q = bits_of_states(states)
     share = F.col("n") / F.greatest(sum(q[1:], q[0]), F.lit(1))
     met = rows.withColumn("share", share).select(
         "block",
-        "at",
+        F.col("at_q").bitwiseAND(F.lit((1 << PLACE) - 1)).alias("at"),
         "word",
         F.sum("n").over(whole).alias("c"),
         *(F.sum(q[s] * F.col("share")).over(whole).alias(f"s{s}") for s in range(states)),
-        (F.row_number().over(whole.orderBy("block")) == 1).alias("first"),
+        (F.min("block").over(whole) == F.col("block")).alias("first"),
     )
     most = F.greatest(*(F.col(f"s{s}") for s in range(states)), F.lit(1e-30))
-    packed = [F.shiftleft(F.rint(15 * F.col(f"s{s}") / most).cast("long"), 4 * s) for s in range(states)]
-    joined = packed[0]
-    for part in packed[1:]:
+    packed = [F.shiftleft(F.rint(15 * F.col(f"s{s}") / most).cast("long"), PLACE + 4 * s) for s in range(states)]
+    joined = F.col("at")
+    for part in packed:
         joined = joined.bitwiseOR(part)
     return store(
-        met.select("block", "at", "c", joined.alias("q"), ending_class("word").alias("cls"), "first"),
+        met.select("block", "c", joined.alias("at_q"), ending_class("word").alias("cls"), "first"),
         "words",
     )
 
@@ -268,7 +284,7 @@ def whole_vocabulary(rows: DataFrame, states: int) -> DataFrame:
 def word_figures(words: DataFrame, model: Model, tokens: np.ndarray) -> Words:
     """The sums over the vocabulary that make the words of each class and state sum to one."""
     k = len(model.start)
-    q = [F.shiftrightunsigned("q", 4 * s).bitwiseAND(F.lit(15)) for s in range(k)]
+    q = bits_of_states(k)
     drawn = (F.col("c") + 1) / (F.col("c") + WORD_PRIOR)
     own = drawn * F.col("c") / F.greatest(sum(q[1:], q[0]), F.lit(1))
     rows = (
@@ -448,7 +464,7 @@ def score(coded: DataFrame, words: DataFrame, model: Model, known: Words) -> Dat
     """A row for each text: its figures by the base and by the model."""
     held = coded.sparkSession.sparkContext.broadcast((model, known))  # CLASSES rows
     own = words.groupBy("block").agg(
-        F.collect_list(F.struct("at", "c", "q")).alias("own")  # a block's words
+        F.collect_list(F.struct("c", "at_q")).alias("own")  # a block's words
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,8 +478,9 @@ def score(coded: DataFrame, words: DataFrame, model: Model, known: Words) -> Dat
                 count, q = known.tokens[kinds].astype(np.int64), np.zeros(len(kinds), np.int64)
                 count[(kinds >= OWN_CLASSES) & (kinds < CLASSES - 1)] = 0
                 if batch.column("own")[i].is_valid:
-                    at, c, packed = batch.column("own")[i].values.flatten()
-                    count[at.to_numpy()], q[at.to_numpy()] = c.to_numpy(), packed.to_numpy()
+                    c, at_q = (x.to_numpy() for x in batch.column("own")[i].values.flatten())
+                    at = at_q & ((1 << PLACE) - 1)
+                    count[at], q[at] = c, at_q >> PLACE
                 base = np.log10((count + 1) / (n + known.distinct + 1))
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 of_words = Model(model.start, model.move, word_emissions(model, known, kinds, count, q))

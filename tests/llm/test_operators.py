@@ -551,6 +551,10 @@ def test_emissions_of_the_whole_vocabulary_are_a_distribution(spark, docs):
     odd_words = [(10**6, "a !! \u00e9\u00e9?! x\u2028 y!\u2028 -- \U0001f600\U0001f601\U0001f602 ab. ab", False)]
     own = docs.select("doc_id", "text", (hmm.fold("doc_id", 7) == 2).alias("held_out"))
     own = own.union(spark.createDataFrame(odd_words, own.schema))
+
+    def words_of(row):
+        return bytes(row.words).decode().split(" ")
+
     made = hmm.blocks(own.repartition(5, "doc_id"))  # some blocks
     frequent = hmm.frequent_words(made)
     coded, tokens = hmm.with_classes(made, frequent)
@@ -568,21 +572,23 @@ def test_emissions_of_the_whole_vocabulary_are_a_distribution(spark, docs):
     assert sum(count[w.encode()] for w in frequent) == -sum(n for n, _ in top)
 
     # the table has each word's count; its class is the same in tasks and in SQL
-    at = {(r.block, r.at): r for r in words.collect()}
+    place = (1 << hmm.PLACE) - 1
+    at = {(r.block, r.at_q & place): r for r in words.collect()}
+    assert sum(r.first for r in at.values()) == len({w for r in coded.collect() for w in words_of(r)} - {"", *frequent})
     q, kind, parts = {}, {}, collections.defaultdict(lambda: np.zeros(3))
     for r in coded.collect():
         kinds = np.frombuffer(r.kinds, np.uint16)
-        for i, (word, cls) in enumerate(zip(r.words, kinds)):
+        for i, (word, cls) in enumerate(zip(words_of(r), kinds)):
             got = at.pop((r.block, i), None)
             kind[word] = cls
             assert (got is None) == (word == "" or word in frequent)
             if got:
                 assert (got.c, got.cls) == (count[word.encode()], cls)
-                assert q.setdefault(word, got.q) == got.q
+                assert q.setdefault(word, got.at_q >> hmm.PLACE) == got.at_q >> hmm.PLACE
     assert not at
     # expected states of a word, summed over its blocks, up to the rounding to 4 bits
     for r in rows.collect():
-        parts[r.word] += r.n * hmm.from_nibbles(np.array([r.q]), 3)[0]
+        parts[r.word] += r.n * hmm.from_nibbles(np.array([r.at_q >> hmm.PLACE]), 3)[0]
     for word, share in parts.items():
         if count[word.encode()]:
             assert np.abs(hmm.from_nibbles(np.array([q[word]]), 3)[0] - share / share.sum()).max() < 0.06
