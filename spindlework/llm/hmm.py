@@ -45,7 +45,7 @@ END_CLASSES = 1024  # classes by ending
 CLASSES = OWN_CLASSES + END_CLASSES + 1  # and that of the text's end
 OFTEN = 1 << 16  # a word of this part of some block's tokens may get a class of its own
 WORD_PRIOR = 2.0  # tokens by which a word's states are drawn to those of its class
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 7 << 19
 STRETCH = 176
 MARGIN = 8
 TOGETHER = 768  # stretches computed side by side
