@@ -25,6 +25,7 @@ from spindlework.llm.common import fold, slices
 SYMBOLS = 128  # 0: between words, 1 to 26: a to z, above: other letters by a hash
 SURE = 128  # trigrams from which on a text's likeness to a language stands clear of chance
 CELLS = 4_000_000  # largest (documents x trigrams) table in memory, unless one text alone
+HELD = 128  # stretches compared at once
 
 
 @lru_cache(maxsize=1)
@@ -180,11 +181,30 @@ def distinct(text: str | None) -> str:
     return " ".join(dict.fromkeys((text or "").split()))
 
 
+def stretches(grams: np.ndarray) -> np.ndarray:
+    """All trigrams of a text in rows of ``SURE``; the last row reaches back if it is short, and
+    fewer make no row."""
+    starts = np.arange(0, len(grams), SURE)
+    at = np.minimum(starts, len(grams) - SURE)[:, None] + np.arange(SURE)
+    return grams[at] if len(grams) >= SURE else np.zeros((0, SURE), np.int32)
+
+
+def stretch_vectors(grams: np.ndarray, dims: int, seed: int) -> np.ndarray:
+    """Unit vectors of rows of trigrams."""
+    first, second, third = letter_vectors(dims, seed)
+    g, place = np.unique(grams, return_inverse=True)
+    at = np.arange(len(grams))[:, None] * len(g) + place.reshape(grams.shape)
+    counts = np.bincount(at.ravel(), minlength=len(grams) * len(g)).reshape(len(grams), len(g))
+    bound = first[g // SYMBOLS**2] * second[g // SYMBOLS % SYMBOLS] * third[g % SYMBOLS]
+    out = counts.astype(np.float32) @ bound
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
 def floors(docs: DataFrame, languages: list[str], prototypes: np.ndarray, seed: int = 7) -> np.ndarray:
     """The likeness (cosine, not centred) a text of each language has at least: three quarters
     of what all but 0.5 % of its own texts (text, lang) have.  Texts count by their distinct
-    words, so that one word many times over does not; of these, the first ``SURE`` trigrams or
-    little more, since likeness grows with length.
+    words, so that one word many times over does not.  Since likeness grows with length, a text's
+    is the mean over all its stretches of ``SURE`` trigrams.
 
     A language without a text of ``SURE`` trigrams has floor -1, which no text is below.
     """
@@ -195,15 +215,20 @@ def floors(docs: DataFrame, languages: list[str], prototypes: np.ndarray, seed:
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                texts = [distinct(t)[: SURE + SURE // 4] for t in part.column("text").to_pylist()]
-                at = part.column("lang").to_pylist()
-                vectors, _ = document_vectors(texts, dims, seed)
-                at = np.array([place.get(x, -1) for x in at], np.int32)
-                long = np.array([len(trigrams(t)) >= SURE for t in texts], bool) & (at >= 0)
-                like = (vectors[long] * held.value[at[long]]).sum(1, dtype=np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at[long]), pa.array(like)], names=["at", "like"]
-                )
+                at = [place.get(x, -1) for x in part.column("lang").to_pylist()]
+                rows = [(i, stretches(trigrams(distinct(t)))) for i, t in zip(at, part.column("text").to_pylist()) if i >= 0]
+                rows = [(i, x) for i, x in rows if len(x)]
+                at = np.array([i for i, _ in rows], np.int32)
+                grams = np.concatenate([x for _, x in rows] or [np.zeros((0, SURE), np.int32)])
+                owner = np.repeat(np.arange(len(rows)), [len(x) for _, x in rows])
+                total = np.zeros(len(rows))
+                for start in range(0, len(grams), HELD):
+                    own = owner[start : start + HELD]
+                    vectors = stretch_vectors(grams[start : start + HELD], dims, seed)
+                    like = (vectors * held.value[at[own]]).sum(1, dtype=np.float64)
+                    total += np.bincount(own, like, len(rows))
+                like = total / np.bincount(owner, minlength=len(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(like)], names=["at", "like"])
 
     out = np.full(len(languages), -1.0)
     rows = (

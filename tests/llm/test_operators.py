@@ -837,6 +837,22 @@ def test_texts_like_no_language_go_and_short_ones_stay(spark, docs):
     assert kept >= {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
 
 
+def test_floors_read_whole_texts(spark):
+    """Texts that begin alike and go on otherwise give another floor; every stretch counts."""
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choices(letters, k=6))
+    openings = [" ".join(word("abcdefgh") for _ in range(40)) for _ in range(20)]
+    ends = [" ".join(word("stuvwxyz") for _ in range(20)) for _ in openings]
+    kinds = "text string, lang string"
+    near = spark.createDataFrame([(a, "x") for a in openings], kinds)
+    far = spark.createDataFrame([(f"{a} {b}", "x") for a, b in zip(openings, ends)], kinds)
+    names, prototypes = language.train(near)
+    assert language.floors(far, names, prototypes)[0] < 0.9 * language.floors(near, names, prototypes)[0]
+    for n in (0, 127, 128, 129, 255, 256, 1000):
+        rows = language.stretches(np.arange(n))
+        assert set(rows.ravel()) == (set(range(n)) if n >= 128 else set()) and rows.shape[1] == 128
+
+
 def test_pipeline_of_odd_and_no_rows(spark, odd, none):
     for given in (odd, none):
         now = given
