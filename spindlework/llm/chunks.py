@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ MOST = 512  # bytes of a chunk: text that repeats within 24 bytes has no least h
 LEAST = 50  # bytes of a unit
 AROUND = 192  # bytes on either side of a run that are compared; 0.5 % of chunks end further off
 STEP = 1 << 20  # bytes of a long text hashed at a time
+HELD = 10_000  # spans a task has as Python values at a time, unless one text has more
 GEAR = np.random.default_rng(11).integers(0, 1 << 63, 256, np.uint64)
 
 
@@ -177,13 +179,23 @@ def with_spans(batch: pa.RecordBatch, spans: list[list[dict]]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(own, names=["doc_id", "t", "spans"])
 
 
+def few(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``HELD`` spans; a row of more comes alone."""
+    ends = np.cumsum(pc.list_value_length(batch.column("spans")).to_numpy(zero_copy_only=False))
+    start, done = 0, 0
+    while start < batch.num_rows:
+        stop = max(int(np.searchsorted(ends, done + HELD, side="right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start, done = stop, int(ends[stop - 1])
+
+
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units that meet or overlap, of the same origin and shift, as one run."""
 
     def origin(x: dict) -> tuple:
         return x["first_doc_id"], x["first_t"], x["first_start"] - x["start"]
 
-    for batch in batches:
+    for batch in (part for whole in batches for part in few(whole)):
         out = []
         for spans in batch.column("spans").to_pylist():
             own: list[dict] = []
@@ -275,7 +287,7 @@ def alike(a: bytes, b: bytes) -> int:
 
 def stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs grown on both sides, but not into each other or an origin in the same text."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in few(whole)):
         out = []
         ids, keys = (batch.column(c).to_pylist() for c in ("doc_id", "t"))
         for doc, t, sides in zip(ids, keys, batch.column("spans").to_pylist()):

@@ -13,6 +13,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import DATA, canonical, connect
@@ -188,6 +189,18 @@ def test_removal_keeps_whole_characters():
     assert chunks.without("aéb".encode(), [(0, 2)]) == "b"
 
 
+def test_spans_become_values_a_slice_at_a_time(monkeypatch):
+    monkeypatch.setattr(chunks, "HELD", 10, raising=False)
+    span = lambda i: dict(zip(chunks.SPAN, (i, i + 60, 0, 0, i + 9000)))
+    counts = (4, 4, 4, 25, 1, 0)
+    ids = pa.RecordBatch.from_arrays([pa.array(range(6))] * 2, names=["doc_id", "t"])
+    given = chunks.with_spans(ids, [[span(40 * j) for j in range(n)] for n in counts])
+    parts = list(chunks.joined(iter([given])))
+    assert [p.num_rows for p in parts] == [2, 1, 1, 2]
+    runs = [s for p in parts for s in p.column("spans").to_pylist()]
+    assert [[(r["start"], r["stop"]) for r in own] for own in runs] == [[(0, 40 * n + 20)] if n else [] for n in counts]
+
+
 # 2: exact top-k search
 
 
