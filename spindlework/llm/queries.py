@@ -80,7 +80,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return disclosure.personal_data(_documents(spark, sf_dir))
+    return disclosure.personal_data(_documents(spark, sf_dir), near=None)
 
 
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spindlework.llm import common, disclosure, lexical, shallot
 from spindlework.llm.common import read
+from spindlework.llm.queries import QUERIES as LLM_QUERIES
 
 SF = str(DATA / "sf0.001")
 ODD = [
@@ -227,6 +228,68 @@ def test_personal_data_of_given_documents(spark):
     assert sorted(map(tuple, got), key=repr) == brute_personal(rows, 0.75, 3)
 
 
+def brute_whole(rows, alpha, support):
+    """Extra spans of each row, from sets of documents and texts, for terms anywhere in a text."""
+    texts = [t or "" for _, t in rows]
+    found = [disclosure.base_matches(t) for t in texts]
+    words = [{m.group().lower() for m in disclosure.TERM.finditer(t)} for t in texts]
+    spots = [
+        [(m.span(), m.group().lower()) for m in disclosure.TERM.finditer(t)
+         if not any(x < m.end() and m.start() < y for _, x, y, _ in base)]
+        for t, base in zip(texts, found)
+    ]
+    holds = collections.defaultdict(set)
+    for i, base in enumerate(found):
+        for kind, _, _, form in base:
+            holds[kind, form].add(i)
+    out = [{} for _ in rows]
+    n = len(rows)
+    for own in holds.values():
+        content = math.log(n / len(own))
+        share = lambda both, all_of: math.log(n * both / (len(own) * all_of))  # noqa: B023, E731
+        for word in {w for i in own for _, w in spots[i]}:
+            both = {i for i in own if any(w == word for _, w in spots[i])}
+            if content <= 0 or len({texts[i] for i in both}) < support:
+                continue
+            if share(len(both), sum(word in x for x in words)) < alpha * content:
+                continue
+            begun = sum(any(w[:3] == word[:3] for _, w in spots[i]) for i in own)
+            kind = 4 if share(begun, sum(any(w[:3] == word[:3] for w in x) for x in words)) < alpha * content else 5
+            for i in both:
+                for span, w in spots[i]:
+                    if w == word:
+                        out[i][span] = max(out[i].get(span, 0), kind)
+    return sorted(((rows[i][0], sorted((k, *s) for s, k in x.items())) for i, x in enumerate(out)), key=repr)
+
+
+def test_terms_far_from_an_entity_are_marked(spark, people, monkeypatch):
+    far = lambda i: f"Zzyzx{' ' * 60}filler{i} and more words {'x1 ' * 90}"
+    rows = people + [(1000 + i, far(i) + "reach@example.org") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_whole(rows, 0.75, 3)
+
+    def extra():
+        got = disclosure.personal_data(df, near=None).select("doc_id", "spans").collect()
+        spans = [(d, [x.split(":") for x in s.split(",") if x]) for d, s in got]
+        number = disclosure.KINDS.index
+        return sorted(((d, sorted((number(k), int(a), int(b)) for k, a, b in own if number(k) > 3)) for d, own in spans), key=repr)
+
+    assert extra() == want
+    assert any(d == 1000 and s for d, s in want)
+    monkeypatch.setattr(disclosure, "HELD", 0)
+    assert extra() == want
+    made = dict(tuple(r) for r in disclosure.sanitise(df, near=None).collect())
+    assert "more words" not in made[1000] and "[email]" in made[1000] and made[None] is None
+    assert disclosure.personal_data(df.limit(0), near=None).count() == 0
+
+
+def test_query_marks_terms_anywhere_in_a_text(spark, tmp_path):
+    rows = [(i, f"name{'abcdefg'[i]}q vasiliy {'1 ' * 200} v.p@example.org") for i in range(5)] + [(i, f"other {i}") for i in range(5, 200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in LLM_QUERIES["op12_pii_disclosure"](spark, str(tmp_path)).collect()}
+    assert all("removed:7:14" in got[i] for i in range(5)) and got[7] == ""
+
+
 # 13: ranked lexical search
 
 
