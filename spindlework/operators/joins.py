@@ -61,13 +61,17 @@ def hot_keys(left: DataFrame, keys: list[list[str]], share: int = HOT_SHARE) ->
 
 
 def lookup_joins(
-    left: DataFrame, lookups: list[tuple[DataFrame, str | list[str]]], max_bytes: int = BROADCAST_BYTES
+    left: DataFrame,
+    lookups: list[tuple[DataFrame, str | list[str]]],
+    max_bytes: int = BROADCAST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """``left`` left-joined with each of ``lookups`` (table, equal column names).
 
     Each lookup table is written once and measured.  Within the bound it is broadcast, so the
     large side is not shuffled for it.  If any is beyond, ``left`` is written once for the whole
-    chain, one pass counts its keys for all such tables, and each is joined by a shuffle in which
+    chain (unless it is ``stored``: a written table with at most columns added or left out), one pass
+    counts its keys for all such tables, and each is joined by a shuffle in which
     a hot key's rows, and rows without a key, are dealt over ``SALTS`` tasks and the few lookup
     rows of hot keys are repeated for each.
     """
@@ -79,7 +83,7 @@ def lookup_joins(
     salt, place, mark = _free(columns, "salt", "place", "hot")
     beyond = [on for _, on, fits in held if not fits]
     if beyond:
-        left = materialise(left, "lookup-left")
+        left = left if stored else materialise(left, "lookup-left")
         own = [on for on in beyond if set(on) <= set(left.columns)]  # others come from a lookup
         hot = {tuple(on): keys for on, keys in zip(own, hot_keys(left, own))} if own else {}
         # the place of a row in the written table: the same at every attempt

@@ -86,9 +86,9 @@ def tool_lifetime_efficiency(df: DataFrame) -> DataFrame:
     )
 
 
-def with_kpis(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Readings with all five metrics."""
+def with_kpis(df: DataFrame, max_bytes: int = BROADCAST_BYTES, stored: bool = False) -> DataFrame:
+    """Readings with all five metrics; ``stored`` readings, a written table, are not written again."""
     base = materialise(kpi_base(df), "kpi-base")
     kpis = [(product_kpis(base), "product_id"), (type_kpis(base), "type")]
-    joined = lookup_joins(with_derived_metrics(df), kpis, max_bytes)
+    joined = lookup_joins(with_derived_metrics(df), kpis, max_bytes, stored)
     return joined.select(*df.columns, *METRICS)

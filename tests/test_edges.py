@@ -597,3 +597,21 @@ def test_hot_rows_of_a_shuffled_join_are_dealt_over_tasks(spark):
         for c, v in before.items():
             spark.conf.set(c, v)
     assert sum(sizes) == 8000 and max(sizes) < 3000  # one task would have 7200
+
+
+def test_kpis_of_stored_readings_do_not_write_them_again(spark, monkeypatch):
+    from spindlework.operators import joins
+
+    names = []
+    write = joins.materialise
+    monkeypatch.setattr(joins, "materialise", lambda df, name="step": (names.append(name), write(df, name))[1])
+    made = [
+        reading(udi=i, type="LMH"[i % 3], product_id=None if i % 11 == 0 else f"p{i % 40}", failure_type="Overstrain Failure" if i % 5 == 0 else "x",
+                tool_wear=i % 90, process_temperature=9.0, air_temperature=7.0)
+        for i in range(400)
+    ]
+    m = write(spark.createDataFrame(made, READING_SCHEMA).repartition(4), "readings")
+    want = Counter(map(tuple, kpi.with_kpis(m).collect()))
+    names.clear()
+    assert Counter(map(tuple, kpi.with_kpis(m, 1, stored=True).collect())) == want
+    assert "key-counts" in names and "lookup-left" not in names
