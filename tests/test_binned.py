@@ -6,10 +6,12 @@ import json
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from spindlework.operators import binned, evaluate, tuning
+from spindlework.operators import binned, evaluate, forest, tuning
+from spindlework.plans.workspace import new_path
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +128,57 @@ def test_draws_follow_their_laws():
         x = binned.drawn(key, np.full(len(key), w), 5, 0.8)
         assert abs(x.mean() / (0.8 * w) - 1) < 0.01 and abs(x.var() / (0.16 * w) - 1) < 0.03 and x.max() <= w
     assert (binned.drawn(key, np.zeros(len(key)), 5) == 0).all()
+
+
+def test_sister_sums_and_pieces_give_the_trees_of_direct_sums(rows, monkeypatch):
+    """Trees grown from the smaller sister's sums, in levels of any number of pieces, are those of sums over all rows."""
+    edges = binned.bin_edges(rows)
+    t = binned.Table.of(binned.cells(rows, edges, "fold").toArrow())
+    whole, at = t.merged
+    assert len(whole.w) < len(t.w) and whole.w.sum() == 900
+    w = binned.drawn(t.key, t.w, 5)
+
+    def direct(t, w):
+        values = np.zeros((len(w), 3))
+        values[np.arange(len(w)), t.label] = w
+
+        def sums(tree, level, last):
+            return binned.sums_of(t.bins, binned.numbered(binned.descend(tree, t.bins)[0], level), values, len(level), t.n_bins)
+
+        return shape(binned.finish(binned.forest_growth(3, 9, 12, 1), sums))
+
+    for together in (1024, 4, 2):
+        monkeypatch.setattr(binned, "TOGETHER", together)
+        assert shape(binned.forest_tree(t, w, 3, 9, 12, 1, 3)[0]) == direct(t, w)
+        merged = np.bincount(at, w, len(whole.w))
+        assert shape(binned.forest_tree(whole, merged, 3, 9, 12, 1, 3)[0]) == direct(t, w)
+
+
+def test_two_classes_share_a_tree_with_the_sign_changed(rows):
+    two = rows.withColumn("label", (F.col("label") == 1).cast("double"))
+    edges = binned.bin_edges(two)
+    t = binned.Table.of(binned.cells(two, edges).toArrow())
+    for a, b in binned.boost(t, edges, 2, 3, 0.3, 3, 1, 0.8, 7).rounds:
+        assert (a.feature, a.cut, a.child) == (b.feature, b.cut, b.child)
+        assert all((x == y * (-1, 1, 1)).all() for x, y in zip(a.value, b.value))
+
+
+def test_forest_stage(rows, spark):
+    """Copies are cells, trees the same in tasks and over partitions, a saved model the same."""
+    stage = forest.BinnedForest(numTrees=6, maxDepth=8, minInstancesPerNode=2)
+    model = stage.fit(rows)
+    assert model.transform(rows).filter("label = prediction").count() > 750
+    _, own = binned.fit_forest(rows, 3, 6, 8, 2)
+    _, spread = binned.fit_forest(rows, 3, 6, 8, 2, max_bytes=0)
+    assert [shape(x) for x in own] == [shape(x) for x in spread] == [shape(x) for x in model.trees]
+    path = new_path(spark, "forest")
+    PipelineModel(stages=[model]).write().save(path)
+    pick = [vector_to_array("features"), "probability", "prediction"]
+    again = PipelineModel.load(path).transform(rows).select(*pick).collect()
+    assert sorted(map(str, again)) == sorted(map(str, model.transform(rows).select(*pick).collect()))
+    first = model.transform(rows).first()
+    bins = binned.to_bins(np.array([first["features"]]), model.edges)
+    votes = np.mean([binned.shares(x)[binned.descend(x, bins)[0]][0] for x in model.trees], 0)
+    assert np.allclose(votes, first["probability"]) and votes.argmax() == first["prediction"]
+    _, few = binned.fit_forest(rows, 3, 6, 8, 2, min_gain=0.01)
+    assert sum(len(x.feature) for x in few) < sum(len(x.feature) for x in own)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import DATA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
@@ -156,3 +157,21 @@ def test_held_out_rows_never_shape_synthetic_ones(spark):
         models.decision_tree(), folds=3, binary=True, resample=True,
     )
     assert scores == [1.0, 1.0, 1.0]
+
+
+def test_a_fit_on_counted_copies_is_the_fit_on_all_rows(spark):
+    """Classifiers that take weights read every distinct row once, and give the model of all rows."""
+    rows = spark.range(3000).select(
+        array_to_vector(F.array(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(6)).cast("double") for i in range(3)])).alias("features"),
+        (F.pmod(F.xxhash64("id", F.lit(0)), F.lit(6)) + F.pmod(F.xxhash64("id", F.lit(9)), F.lit(3)) > 4).cast("double").alias("label"),
+    ).cache()
+    counted = models.counted_copies(rows.select(vector_to_array("features").alias("x"), "label"))
+    assert counted.count() < 450 and counted.agg(F.sum("weight")).first()[0] == 3000
+    for e in (models.decision_tree(), models.boosted_trees(trees=3)):
+        scored = e.fit(rows).transform(rows).select("features", "label", F.col("probability").alias("p"))
+        both = models.fit_on_copies(e, rows).transform(scored)
+        gap = F.abs(vector_to_array("p")[1] - vector_to_array("probability")[1])
+        assert both.agg(F.max(gap)).first()[0] < 1e-9
+    a, b = (f(models.binary_regression(3000), rows).coefficients for f in (models.fit_on_copies, lambda e, r: e.fit(r)))
+    assert max(abs(a.toArray() - b.toArray())) < 1e-6
+    assert not models.weighs_copies(models.boosted_trees(subsample=0.9)) and not models.weighs_copies(models.boosted_trees(min_instances=2))
