@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Generator, Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -169,21 +169,31 @@ def uniform(key: np.ndarray, salt: int) -> np.ndarray:
     return (mixed(key, salt) >> np.uint64(11)) / float(1 << 53)
 
 
+@lru_cache(maxsize=4096)
+def _upto(w: int, rate: float | None) -> np.ndarray:
+    """Chances of at most 0, 1, ... draws, the last but one below 1."""
+    p = np.exp(-w) if rate is None else (1 - rate) ** w
+    out, k = [p], 0
+    while p > 0 and out[-1] < 1 and k < (2000 if rate is None else w - 1):
+        k += 1
+        p *= w / k if rate is None else (w - k + 1) / k * rate / (1 - rate)
+        out.append(min(out[-1] + p, 1.0))
+    return np.array(out) if w else np.zeros(0)
+
+
 def drawn(key: np.ndarray, w: np.ndarray, salt: int, rate: float | None = None) -> np.ndarray:
     """How often each cell of ``w`` rows is drawn: Poisson(w), or binomial(w, rate), by
     inversion of its distribution."""
     u, out = uniform(key, salt), np.zeros(len(key))
-    p = np.exp(-np.minimum(w, 700)) if rate is None else (1 - rate) ** w
-    wide = w > 500  # by the normal law, cut to what is possible
-    reach, k = p.copy(), 0
-    rest = np.flatnonzero((u >= reach) & ~wide)
-    while len(rest) and k < 2000:
-        k += 1
-        step = w[rest] / k if rate is None else (w[rest] - k + 1) / k * rate / (1 - rate)
-        p[rest] *= np.maximum(step, 0)
-        reach[rest] += p[rest]
-        out[rest] = k
-        rest = rest[(u[rest] >= reach[rest]) & (p[rest] > 0)]
+    # beyond this the chance of no draw is no number any more
+    most = 500 if rate is None else min(500, int(-300 / np.log10(1 - rate)))
+    wide = w > most  # by the normal law, cut to what is possible
+    own = np.where(wide, 0, w).astype(np.int64) if wide.any() else w.astype(np.int64)
+    kinds = np.flatnonzero(np.bincount(own)) if len(own) else own
+    steps = [_upto(int(n), rate) + n for n in kinds]  # one list, ascending, for all weights
+    ends, before = np.concatenate(steps or [np.zeros(0)]), np.zeros(501, np.int64)
+    before[kinds] = np.cumsum([0, *map(len, steps)])[:-1]
+    out = (np.searchsorted(ends, u + own, side="right") - before[own]).astype(float)
     if wide.any():
         spread = np.sqrt(w[wide] if rate is None else w[wide] * rate * (1 - rate))
         mean = w[wide] if rate is None else w[wide] * rate
@@ -473,6 +483,9 @@ def forest_prefixes(
 
 
 def softmax(margin: np.ndarray) -> np.ndarray:
+    if margin.shape[1] == 2:
+        first = 1 / (1 + np.exp(np.minimum(margin[:, 1] - margin[:, 0], 700)))
+        return np.stack((first, 1 - first), 1)
     e = np.exp(margin - margin.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
 
@@ -567,18 +580,25 @@ def boost(
     for number in range(trees):
         if subsample < 1:
             w = np.bincount(at, drawn(t.key, train, seed * 7919 + 2 * number, subsample), len(whole.w))
-        share, found = softmax(margin), []
+        share, found, weights = softmax(margin), [], {}  # weights of the root, the same for all classes
         for k in range(classes if classes != 2 else 1):
             r, h = gradients(share[:, k], whole.label == k)
             r *= w
             h *= w
 
-            def add(rows: np.ndarray, slot: np.ndarray, slots: int, f: int, r=r, w=w) -> np.ndarray:
-                place = columns[f][rows] + slot * size if slots > 1 else columns[f][rows]
-                both = [np.bincount(place, x[rows], slots * size) for x in (r, w)]
+            def add(rows: np.ndarray, slot: np.ndarray, slots: int, f: int, r=r, w=w, weights=weights) -> np.ndarray:
+                if slots == 1 and len(rows) == len(every):
+                    if f not in weights:
+                        weights[f] = np.bincount(columns[f], w, size)
+                    both = [np.bincount(columns[f], r, size), weights[f]]
+                else:
+                    place = columns[f][rows] + slot * size
+                    both = [np.bincount(place, x[rows], slots * size) for x in (r, w)]
                 return np.stack(both, 1).reshape(slots, size, 2)
 
             def total(rows: np.ndarray, slot: np.ndarray, slots: int, r=r, h=h, w=w) -> np.ndarray:
+                if slots == 1 and len(rows) == len(every):
+                    return np.array([[x.sum() for x in (r, w, h)]])
                 return np.stack([np.bincount(slot, x[rows], slots) for x in (r, w, h)], 1)
 
             sums = NodeSums(whole, every, add, total, lambda value: value[:, 1] < 2 * least)

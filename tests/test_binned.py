@@ -182,3 +182,11 @@ def test_forest_stage(rows, spark):
     assert np.allclose(votes, first["probability"]) and votes.argmax() == first["prediction"]
     _, few = binned.fit_forest(rows, 3, 6, 8, 2, min_gain=0.01)
     assert sum(len(x.feature) for x in few) < sum(len(x.feature) for x in own)
+
+
+def test_cells_of_several_hundred_rows_are_drawn_by_their_law():
+    """A tenth to the power of 400 is no double; such a cell gave one row."""
+    key = np.arange(50_000, dtype=np.uint64)
+    for w in (320.0, 400.0):
+        x = binned.drawn(key, np.full(len(key), w), 5, 0.9)
+        assert abs(x.mean() / (0.9 * w) - 1) < 0.01 and abs(x.var() / (0.09 * w) - 1) < 0.05
