@@ -19,6 +19,15 @@ def canonical_timestamp(column: str | Column) -> Column:
     )
 
 
+def round_whole(value: Column) -> Column:
+    """``value`` rounded to a whole number, halves away from zero, as ``round`` gives it: the share
+    beyond the point is exact, so no decimal is made of it."""
+    size = F.abs(value)
+    share = size % F.lit(1.0)
+    # adding zero makes -0.0 and 0.0 one number
+    return F.signum(value) * (size - share + F.when(share >= 0.5, 1.0).otherwise(0.0)) + F.lit(0.0)
+
+
 def hex_digest(*columns: str | Column, seed: int | str = "") -> Column:
     """md5 of the columns' text, ``|`` between them, NULL as an empty text."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]

@@ -8,8 +8,9 @@ its own leaf, which bounds its search radius; round two sends the query to exact
 leaves whose bounding box reaches into that radius.
 
 Inside a task the points of a leaf are cut further, by medians of themselves, into small ones of
-``SMALL`` points.  A query visits these nearest first and its radius shrinks with every better
-point, so it stops after a few of them, however many points the leaf has: the leaves follow
+``SMALL`` points.  A query visits the nearest of these first, then, set by set for all queries at
+once, those its radius still reaches; the radius shrinks with every better point, so a query meets
+a few of them, however many points the leaf has: the leaves follow
 the table and the work of a query does not.  Large leaves are cut into chunks, so no task holds
 an unbounded group, and a task emits at most ``k`` points per query.  Neighbours are ordered by
 distance, then label, then coordinates.
@@ -32,10 +33,12 @@ from spindlework.plans.workspace import materialise
 LEAF_ROWS = 16_384
 SAMPLE_PER_LEAF = 64
 TOP_LEAVES = 4096  # bounds the broadcast tree and, with SAMPLE_PER_LEAF, the driver's sample
-SMALL = 128  # points of a leaf inside a task
+SMALL = 256  # points of a leaf inside a task
+NEAREST_FIRST = 2  # of these a query visits before the others in reach are taken in turn
 QUERY_CHUNK = 20_000
 POINT_CHUNK = 100_000
-_BLOCK_CELLS = 4_000_000  # distances held at once by a task
+_BLOCK_CELLS = 1_000_000  # distances held at once by a task
+_SLACK = 64 * np.finfo(float).eps  # times the squared sum of two lengths: rounding of a product, with room
 
 
 @dataclass
@@ -131,16 +134,17 @@ def _grow(sample: np.ndarray, points: int, first_leaf: int, leaf_rows: int) -> S
 def _small_leaves(p: np.ndarray) -> list[np.ndarray]:
     """Rows of ``p`` in sets of at most ``SMALL``, halved along the widest axis."""
     out, todo = [], [np.arange(len(p))]
+    by_axis = np.ascontiguousarray(p.T)
     while todo:
         rows = todo.pop()
-        part = p[rows]
-        spread = part.max(axis=0) - part.min(axis=0)
+        part = by_axis[:, rows]
+        spread = part.max(axis=1) - part.min(axis=1)
         axis = int(np.argmax(spread))
         if len(rows) <= SMALL or not spread[axis] > 0:
             out.append(rows)
             continue
         half = len(rows) // 2
-        order = np.argpartition(part[:, axis], half)
+        order = np.argpartition(part[axis], half)
         todo += [rows[order[:half]], rows[order[half:]]]
     return out
 
@@ -154,65 +158,97 @@ def _squares(gaps: list[np.ndarray]) -> np.ndarray:
 
 
 def _best(q: np.ndarray, p: np.ndarray, radius: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query row, point row, squared distance) of up to ``k`` points per query; ties by point row."""
-    leaves, dims = _small_leaves(p) if len(p) else [], q.shape[1]
-    low, high = (np.array([f(p[rows], axis=0) for rows in leaves]).reshape(-1, dims) for f in (np.min, np.max))
-    found: list[tuple[np.ndarray, ...]] = []
-    step = max(1, _BLOCK_CELLS // max(1, len(leaves)))
-    limit = radius.copy()
-    for start in range(0, len(q) if leaves else 0, step):
-        x = q[start : start + step]
+    """(query row, point row, squared distance) of up to ``k`` points per query; ties by point row.
+
+    Candidates come from a matrix product, whose rounding ``slack`` bounds from above; what is
+    returned, compared and cut at ``k`` are distances summed coordinate by coordinate.
+    """
+    none = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+    if not len(q) or not len(p):
+        return none
+    # a coordinate in which all agree adds nothing
+    agree = (p == p[0]).all(axis=0) & (q == p[0]).all(axis=0)
+    use = np.flatnonzero(~agree) if not agree.all() else np.array([0])
+    q, p, dims = q[:, use], p[:, use], len(use)
+    leaves = _small_leaves(p)
+    place, edges = np.concatenate(leaves), np.cumsum([0, *map(len, leaves)])
+    laid = p[place]
+    low, high = (f.reduceat(laid, edges[:-1], axis=0) for f in (np.minimum, np.maximum))
+    centre = (low + high) / 2
+    laid = laid - np.repeat(centre, np.diff(edges), axis=0)
+    norm = np.square(laid).sum(1)
+    reach = np.sqrt(np.maximum.reduceat(norm, edges[:-1]))
+    factors = np.ascontiguousarray(np.column_stack((-2 * laid, norm, np.ones(len(laid)))).T)
+    out: list[tuple[np.ndarray, ...]] = []
+    step = max(1, _BLOCK_CELLS // len(leaves))
+    for start in range(0, len(q), step):
+        x, limit = q[start : start + step], radius[start : start + step]
         box = _squares(
-            [np.maximum(np.maximum(low[:, j] - x[:, j, None], x[:, j, None] - high[:, j]), 0.0) for j in range(dims)]
+            [np.maximum(np.maximum(low[:, j, None] - x[:, j], x[:, j] - high[:, j, None]), 0.0) for j in range(dims)]
         )
-        near, bound = np.full((len(x), k), np.inf), limit[start : start + step]
-        active = np.arange(len(x))
-        while True:
-            leaf = box[active].argmin(1)  # the nearest one not visited
-            gap = box[active, leaf]
-            go = (gap <= bound[active]) & np.isfinite(gap)
-            active, leaf = active[go], leaf[go]
-            if not len(active):
-                break
-            box[active, leaf] = np.inf
-            order = np.argsort(leaf, kind="stable")
-            edges = np.flatnonzero(np.diff(leaf[order])) + 1
-            for at in np.split(order, edges):
-                rows, points = active[at], leaves[leaf[at[0]]]
-                dist = _squares([x[rows, j, None] - p[points, j] for j in range(dims)])
-                best = np.partition(dist, k - 1, axis=1)[:, :k] if len(points) > k else dist
-                near[rows] = np.sort(np.concatenate((near[rows], best), 1), 1)[:, :k]
-                bound[rows] = np.minimum(bound[rows], near[rows, k - 1])
-                r, c = np.nonzero(dist <= bound[rows, None])
-                found.append((rows[r] + start, points[c], dist[r, c]))
-    if not found:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
-    rows, cols, value = (np.concatenate(c) for c in zip(*found))
-    keep = value <= limit[rows]
-    rows, cols, value = rows[keep], cols[keep], value[keep]
-    order = np.lexsort((cols, value, rows))
-    rows, cols, value = rows[order], cols[order], value[order]
-    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-    return rows[keep], cols[keep], value[keep]
-
-
-def nearest_points(
+        near, bound = np.full((len(x), k), np.inf), limit.copy()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def visit(rows: np.ndarray, leaf: int) -> None:
+            """Note the candidates of ``rows`` in a leaf and shrink their bounds."""
+            at = slice(edges[leaf], edges[leaf + 1])
+            y = x[rows] - centre[leaf]
+            own = np.square(y).sum(1)
+            slack = _SLACK * np.square(np.sqrt(own) + reach[leaf])
+            about = np.column_stack((y, np.ones(len(y)), own)) @ factors[:, at]
+            some = np.flatnonzero(~(about.min(1) > bound[rows] + slack))
+            rows, about, slack = rows[some], about[some], slack[some, None]
+            if len(rows):
+                best = np.partition(about, k - 1, axis=1)[:, :k] if about.shape[1] > k else about
+                near[rows] = np.sort(np.concatenate((near[rows], best + slack), 1), 1)[:, :k]
+                bound[rows] = np.fmin(bound[rows], near[rows, k - 1])
+                r, c = np.nonzero(~(about > bound[rows, None] + slack))
+                found.append((rows[r], place[edges[leaf] + c]))
+
+        with np.errstate(invalid="ignore", over="ignore"):
+            active = np.arange(len(x))
+            for _ in range(NEAREST_FIRST):
+                leaf = box[:, active].argmin(0)  # the nearest one not visited
+                gap = box[leaf, active]
+                go = (gap <= bound[active]) & np.isfinite(gap)
+                active, leaf = active[go], leaf[go]
+                if not len(active):
+                    break
+                box[leaf, active] = np.inf
+                order = np.argsort(leaf, kind="stable")
+                for at in np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1):
+                    visit(active[at], leaf[at[0]])
+            for leaf in range(len(leaves) if len(active) else 0):
+                rows = np.flatnonzero((box[leaf] <= bound) & np.isfinite(box[leaf]))
+                if len(rows):
+                    visit(rows, leaf)
+            if not found:
+                continue
+            rows, cols = (np.concatenate(c) for c in zip(*found))
+            value = _squares([x[rows, j] - p[cols, j] for j in range(dims)])
+        keep = value <= np.fmin(bound, limit)[rows]
+        rows, cols, value = rows[keep], cols[keep], value[keep]
+        order = np.lexsort((cols, value, rows))
+        rows, cols, value = rows[order], cols[order], value[order]
+        keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        out.append((rows[keep] + start, cols[keep], value[keep]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else none
+
+
+def _search(
     queries: DataFrame,
     points: DataFrame,
     coords: list[str],
     k: int,
     label: str,
     group: str | None = None,
+    places: bool = True,
     leaf_rows: int = LEAF_ROWS,
     query_chunk: int = QUERY_CHUNK,
     point_chunk: int = POINT_CHUNK,
-) -> DataFrame:
-    """Nearest points of every distinct query, until ``k`` copies are reached.
-
-    Output: group, ``qid``, query coordinates, ``distance2``, ``neighbour_label``,
-    ``nb_<coordinate>``, ``copies`` (capped at ``k``) and ``before``, the copies nearer
-    than this row.  With ``group``, queries only see points of their own group.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """The nearest points, by query id, and the distinct queries; without ``places`` the points'
+    coordinates are neither carried nor used to order points of one distance and label."""
     spark = points.sparkSession
     g = group or "_group"
     if group is None:
@@ -280,7 +316,8 @@ def nearest_points(
         )
     shared = spark.sparkContext.broadcast(trees)
 
-    nb = [f"nb_{c}" for c in coords]
+    shown = coords if places else []
+    nb = [f"nb_{c}" for c in shown]
     found_schema = ", ".join(
         ["qid bigint", "distance2 double", "neighbour_label double"]
         + [f"`{c}` double" for c in nb]
@@ -289,27 +326,25 @@ def nearest_points(
     home_schema = f"{found_schema}, radius double"
 
     def search(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        known = known.sort_values(["neighbour_label", *coords], kind="stable")
+        known = known.sort_values(["neighbour_label", *shown], kind="stable")
         q, p, d = _best(
             asked[coords].to_numpy(dtype=float),
             known[coords].to_numpy(dtype=float),
             asked["radius"].to_numpy(dtype=float),
             k,
         )
-        found = known[["neighbour_label", *coords, "copies"]].iloc[p].reset_index(drop=True)
+        found = known[["neighbour_label", *shown, "copies"]].iloc[p].reset_index(drop=True)
         found.columns = ["neighbour_label", *nb, "copies"]
         found.insert(0, "distance2", d)
         found.insert(0, "qid", asked["qid"].to_numpy()[q])
         return found
 
     def search_home(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        """Found points, and per query one row without a point that tells its radius."""
+        """Found points, each with the radius its query has from all of them."""
         found = search(asked, known)
         upto = found.groupby("qid")["copies"].cumsum()
-        enough = found[upto >= k].groupby("qid")["distance2"].min()
-        reached = pd.DataFrame({"qid": asked["qid"].to_numpy()})
-        reached["radius"] = reached["qid"].map(enough).fillna(np.inf)
-        return pd.concat([found, reached], ignore_index=True)[[*found.columns, "radius"]]
+        found["radius"] = found["distance2"].where(upto >= k, np.inf).groupby(found["qid"]).transform("min")
+        return found
 
     def probe(asked: DataFrame, with_radius: bool = False) -> DataFrame:
         """Search every (query, leaf) row of ``asked`` inside its leaf."""
@@ -367,7 +402,7 @@ def nearest_points(
     )
     first = materialise(probe(home, with_radius=True), "near-points")
     # a query in a leaf without points has no radius yet
-    reached = first.filter(F.col("distance2").isNull()).groupBy("qid").agg(F.min("radius").alias("near"))
+    reached = first.groupBy("qid").agg(F.min("radius").alias("near"))
     asked_schema = ", ".join(
         ["qid bigint", *[f"`{c}` double" for c in coords], "radius double", "leaf bigint"]
     )
@@ -377,14 +412,33 @@ def nearest_points(
         .mapInPandas(others, asked_schema),
         "far-queries",
     )
-    found = first.filter(F.col("distance2").isNotNull()).drop("radius").unionByName(probe(away))
+    found = first.drop("radius").unionByName(probe(away))
     # at most k rows per query and visited leaf come in
     order = W.partitionBy("qid").orderBy("distance2", "neighbour_label", *nb)
     upto = F.sum("copies").over(order.rowsBetween(W.unboundedPreceding, 0))
     kept = found.withColumn("before", upto - F.col("copies")).filter(F.col("before") < k)
-    named = kept.join(queries, "qid")  # one row per query
-    return named.select(
-        *([g] if group else []), "qid", *coords, "distance2", "neighbour_label", *nb, "copies", "before"
+    return kept, queries
+
+
+def nearest_points(
+    queries: DataFrame,
+    points: DataFrame,
+    coords: list[str],
+    k: int,
+    label: str,
+    group: str | None = None,
+    **layout: int,
+) -> DataFrame:
+    """Nearest points of every distinct query, until ``k`` copies are reached.
+
+    Output: group, ``qid``, query coordinates, ``distance2``, ``neighbour_label``,
+    ``nb_<coordinate>``, ``copies`` (capped at ``k``) and ``before``, the copies nearer
+    than this row.  With ``group``, queries only see points of their own group.
+    """
+    kept, asked = _search(queries, points, coords, k, label, group, **layout)
+    nb = [f"nb_{c}" for c in coords]
+    return kept.join(asked, "qid").select(  # one row per query
+        *([group] if group else []), "qid", *coords, "distance2", "neighbour_label", *nb, "copies", "before"
     )
 
 
@@ -398,11 +452,13 @@ def knn_predict(
     **layout: int,
 ) -> DataFrame:
     """Majority label of the ``k`` nearest training rows; a tie takes the smallest."""
-    near = nearest_points(test, train, coords, k, label, **layout)
+    near, asked = _search(test, train, coords, k, label, places=False, **layout)
     used = F.least(F.col("copies"), F.lit(k) - F.col("before"))
-    votes = near.groupBy("qid", *coords, "neighbour_label").agg(F.sum(used).alias("votes"))
-    winner = votes.groupBy("qid", *coords).agg(
-        F.min(F.struct(-F.col("votes"), F.col("neighbour_label").alias("l")))["l"].alias(name)
+    votes = near.groupBy("qid", "neighbour_label").agg(F.sum(used).alias("votes"))
+    winner = (
+        votes.groupBy("qid")
+        .agg(F.min(F.struct(-F.col("votes"), F.col("neighbour_label").alias("l")))["l"].alias(name))
+        .join(asked.select("qid", *coords), "qid")  # one row per query
     )
     keyed = test.withColumns({c: F.col(c).cast("double") + F.lit(0.0) for c in coords})
     return lookup_join(keyed, winner.drop("qid"), coords)

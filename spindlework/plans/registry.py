@@ -646,21 +646,21 @@ def _coordinates(
         "udi",
         "split",
         F.col("failure_type_id").cast("int").alias("label"),
-        *[F.round(v * GRID).alias(n) for n, v in zip(COORDS, scaled)],
+        *[values.round_whole(v * GRID).alias(n) for n, v in zip(COORDS, scaled)],
     )
 
 
 @query
 def smote_oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training part and its synthetic rows; coordinates in scaled units."""
-    c = materialise(_coordinates(spark, sf_dir).filter("split = 'train'"), "coordinates")
+    c = _coordinates(spark, sf_dir).filter("split = 'train'")
     rows = resample.smote_oversample(c, COORDS, origin=True)
     return rows.select("label", "base", "turn", "synthetic", *[(F.col(x) / GRID).alias(x) for x in COORDS])
 
 
 @query
 def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = materialise(_coordinates(spark, sf_dir), "coordinates")
+    c = _coordinates(spark, sf_dir)
     scored = neighbours.knn_predict(c.filter("split = 'test'"), c.filter("split = 'train'"), COORDS)
     return scored.select("udi", "label", F.col("prediction").cast("int").alias("prediction"))
 
@@ -668,8 +668,7 @@ def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def knn_binary_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failure flag by the five nearest readings."""
-    flag = _coordinates(spark, sf_dir).withColumn("label", (F.col("label") > 0).cast("int"))
-    c = materialise(flag, "coordinates")
+    c = _coordinates(spark, sf_dir).withColumn("label", (F.col("label") > 0).cast("int"))
     scored = neighbours.knn_predict(c.filter("split = 'test'"), c.filter("split = 'train'"), COORDS)
     return scored.select("udi", "label", F.col("prediction").cast("int").alias("prediction"))
 

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from spindlework.functions.text import FALLBACK_REPLY, guarded_reply
-from spindlework.functions.values import canonical_timestamp, cell_type, percent_text
+from spindlework.functions.values import canonical_timestamp, cell_type, percent_text, round_whole
 from spindlework.operators import (
     evaluate,
     explore,
@@ -27,7 +27,7 @@ from spindlework.operators import (
     star,
 )
 from spindlework.operators.joins import lookup_join
-from spindlework.plans.workspace import new_path
+from spindlework.plans.workspace import materialise, new_path
 from spindlework.schemas import RAW_CSV_SCHEMA, READING_SCHEMA
 from spindlework.sources import files, messages, sinks
 
@@ -418,6 +418,37 @@ def test_best_points_equal_brute_force_with_ties(k):
     assert len(neighbours._best(q, p[:0], radius, k)[0]) == 0
 
 
+def test_search_sums_few_distances_by_coordinate(monkeypatch):
+    """The work of a query does not follow the points met, most of which a matrix product rules out."""
+    rng = np.random.default_rng(2)
+    p, q = (np.column_stack((rng.normal(size=(n, 4)), np.full((n, 2), 7.0))) for n in (8000, 1000))
+    cells, squares = [], neighbours._squares
+    monkeypatch.setattr(neighbours, "_squares", lambda gaps: cells.append(gaps[0].size) or squares(gaps))
+    rows, cols, value = neighbours._best(q, p, np.full(len(q), np.inf), 5)
+    dist = sum(np.square(q[:, None, j] - p[None, :, j]) for j in range(6))
+    assert (value.reshape(-1, 5) == np.sort(dist, 1)[:, :5]).all() and (value == dist[rows, cols]).all()
+    assert sum(cells) < 200 * len(q)
+
+
+def test_knn_stores_no_coordinates_of_points_found(spark, monkeypatch):
+    stored = {}
+    monkeypatch.setattr(
+        neighbours, "materialise", lambda df, name: stored.setdefault(name, df.columns) and materialise(df, name)
+    )
+    df = spark.createDataFrame([(0.0, 1.0, 1), (3.0, 1.0, 0)], "x double, y double, label int")
+    neighbours.knn_predict(df, df, ["x", "y"], k=1).collect()
+    assert stored["near-points"] == ["qid", "distance2", "neighbour_label", "copies", "radius"]
+
+
+def test_round_whole_is_round(spark):
+    df = spark.createDataFrame(
+        [(v,) for v in (0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.2, 0.0, 2.0**52 + 1, 4503599627370495.5, 1e300, None)],
+        "v double",
+    )
+    got = df.select(round_whole(F.col("v")).alias("a"), F.round("v").alias("b")).collect()
+    assert [repr(r["a"]) for r in got] == [repr(r["b"]) for r in got]
+
+
 def test_knn_with_fewer_points_than_k_and_nulls(spark):
     train = spark.createDataFrame([(0.0, 1), (1.0, 0)], "x double, label int")
     test = spark.createDataFrame([(0.1,), (None,)], "x double")
