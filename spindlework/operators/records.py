@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindlework.functions.values import canonical_timestamp, record_digest
-from spindlework.operators.joins import lookup_joins
+from spindlework.operators.joins import _free, lookup_joins
 from spindlework.schemas import (
     ABSENT_DEFAULTS,
     CSV_COLUMNS,
@@ -109,7 +109,15 @@ def split_rejects(df: DataFrame, key: str = "udi") -> tuple[DataFrame, DataFrame
 
 
 def drop_nulls(df: DataFrame) -> DataFrame:
-    return df.na.drop("any")
+    """Rows without a null (or NaN) in any column.
+
+    In a batch each row gets its number before it is looked at: a filter moves below computed columns and
+    computes every one of them a second time, but not below a row number.
+    """
+    if df.isStreaming:  # knows no row numbers
+        return df.na.drop("any")
+    (row,) = _free(df.columns, "row")
+    return df.withColumn(row, F.monotonically_increasing_id()).na.drop("any").drop(row)
 
 
 def model_columns(df: DataFrame) -> DataFrame:

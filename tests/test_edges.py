@@ -449,6 +449,16 @@ def test_round_whole_is_round(spark):
     assert [repr(r["a"]) for r in got] == [repr(r["b"]) for r in got]
 
 
+def test_drop_nulls_computes_each_column_once(spark, capsys):
+    given = spark.createDataFrame([(1, 2.0), (None, 2.0), (3, None), (4, float("nan")), (5, 6.0)], "a int, `_row` double")
+    df = given.withColumn("text", F.format_string("%d of %s", "a", "_row"))
+    kept = records.drop_nulls(df)
+    assert kept.columns == ["a", "_row", "text"] and rows(kept) == [(1, 2.0, "1 of 2.0"), (5, 6.0, "5 of 6.0")]
+    capsys.readouterr()
+    kept.explain()
+    assert capsys.readouterr().out.count("format_string(") == 1
+
+
 def test_knn_with_fewer_points_than_k_and_nulls(spark):
     train = spark.createDataFrame([(0.0, 1), (1.0, 0)], "x double, label int")
     test = spark.createDataFrame([(0.1,), (None,)], "x double")
