@@ -5,10 +5,12 @@ become one cell with a weight, so all fits read the same small table and never t
 A tree grows level by level from sums over (node, feature, bin).  Sums are of whole numbers
 (weights, and gradients in steps of 1 / ``STEPS``), hence the same in any order and on any
 layout.  Bootstrap weights and feature choices are digests of the cell or node, the tree and the
-seed, so a tree does not depend on which others are grown.  Three things follow:
+seed, so a tree does not depend on which others are grown.  Four things follow:
 
 * draws that differ only in their number of trees (boosting and forest) or in depth (forest) are
   one fit, scored at each prefix of its trees and at each depth;
+* forests that differ in their least leaf share draws, and trees that no least changes; boosting fits that
+  draw alike share them, and cells that no tree of theirs tells apart are one group (``Groups``);
 * within ``CELL_BYTES`` the table is sent to the tasks and each takes fits, or trees of a forest, of
   its own; cells that differ in fold only are added up there, and of two sister nodes only the
   smaller is summed, the other is what its parent has left;
@@ -39,6 +41,10 @@ STEPS = float(1 << 20)
 CELL_BYTES = 192 * 1024 * 1024
 TOGETHER = 1024  # nodes of a level whose sums are held at once; even, so that sisters stay together
 STRIDE = 16  # rounds after which the margins of a distributed fit are written
+PACKED = 4096  # joint bins of features that are summed in one pass
+BATCH = 1 << 15  # cells that are drawn at a time
+GROUPS = 512  # of cells that a search's boosted trees tell apart; beyond, every fit reads cells
+VOTE_BYTES = 768 * 1024 * 1024  # of a task of a forest search
 
 # --- the binned table ------------------------------------------------------------
 
@@ -126,6 +132,25 @@ class Table:
         """Bins, a row a feature."""
         return np.ascontiguousarray(self.bins.T)
 
+    @cached_property
+    def packs(self) -> list[tuple[list[int], list[int], np.ndarray]]:
+        """Neighbouring features in sets of at most ``PACKED`` joint bins: (features, bins of each, joint bin of
+        every cell)."""
+        out, features, dims = [], [], []
+        sizes = (self.columns.max(1).astype(np.int64) + 1).tolist() if len(self.label) else []
+        for f, size in enumerate(sizes):
+            if features and np.prod(dims) * size > PACKED:
+                out.append((features, dims))
+                features, dims = [], []
+            features, dims = [*features, f], [*dims, size]
+        out += [(features, dims)] if features else []
+        return [(fs, ds, np.ravel_multi_index([self.columns[f] for f in fs], ds)) for fs, ds in out]
+
+    @cached_property
+    def by_class(self) -> dict[int, list[np.ndarray]]:
+        """Joint bins with the label, kept for each number of classes asked for."""
+        return {}
+
     @cached_property
     def merged(self) -> tuple[Table, np.ndarray]:
         """The table without regard to folds, and each cell's place in it."""
@@ -161,8 +186,10 @@ def mixed(x: np.ndarray | int, salt: int) -> np.ndarray:
     with np.errstate(over="ignore"):  # it wraps by design
         x = np.asarray(x, np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64))
         for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            x = (x ^ (x >> np.uint64(shift))) * np.uint64(times)
-        return x ^ (x >> np.uint64(31))
+            x ^= x >> np.uint64(shift)
+            x *= np.uint64(times)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def uniform(key: np.ndarray, salt: int) -> np.ndarray:
@@ -181,23 +208,44 @@ def _upto(w: int, rate: float | None) -> np.ndarray:
     return np.array(out) if w else np.zeros(0)
 
 
+def _passed(ends: np.ndarray, at: np.ndarray, plain: int = 4) -> np.ndarray:
+    """How many of the ascending ``ends`` each number has reached, most of them few."""
+    out = np.zeros(len(at), np.int64)
+    for end in ends[:plain]:
+        out += at >= end
+    if len(ends) > plain:
+        far = np.flatnonzero(out == plain)
+        out[far] += np.searchsorted(ends[plain:], at[far], side="right")
+    return out
+
+
 def drawn(key: np.ndarray, w: np.ndarray, salt: int, rate: float | None = None) -> np.ndarray:
     """How often each cell of ``w`` rows is drawn: Poisson(w), or binomial(w, rate), by
     inversion of its distribution."""
-    u, out = uniform(key, salt), np.zeros(len(key))
+    out = np.zeros(len(key))
     # beyond this the chance of no draw is no number any more
     most = 500 if rate is None else min(500, int(-300 / np.log10(1 - rate)))
     wide = w > most  # by the normal law, cut to what is possible
     own = np.where(wide, 0, w).astype(np.int64) if wide.any() else w.astype(np.int64)
     kinds = np.flatnonzero(np.bincount(own)) if len(own) else own
-    steps = [_upto(int(n), rate) + n for n in kinds]  # one list, ascending, for all weights
-    ends, before = np.concatenate(steps or [np.zeros(0)]), np.zeros(501, np.int64)
-    before[kinds] = np.cumsum([0, *map(len, steps)])[:-1]
-    out = (np.searchsorted(ends, u + own, side="right") - before[own]).astype(float)
+    steps = [_upto(int(n), rate) + n for n in kinds]
+    starts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+    if len(starts) <= 2 * len(kinds) + 1:  # cells in order of weight
+        ends = dict(zip(kinds.tolist(), steps))
+        for first, last in zip(starts, starts[1:]):
+            for at in range(first, last, BATCH):
+                part, n = slice(at, min(at + BATCH, last)), int(own[at])
+                out[part] = _passed(ends[n], uniform(key[part], salt) + n)
+    else:
+        # one list, ascending, for all weights
+        ends, before = np.concatenate(steps or [np.zeros(0)]), np.zeros(501, np.int64)
+        before[kinds] = np.cumsum([0, *map(len, steps)])[:-1]
+        out = (np.searchsorted(ends, uniform(key, salt) + own, side="right") - before[own]).astype(float)
     if wide.any():
+        u = uniform(key[wide], salt)
         spread = np.sqrt(w[wide] if rate is None else w[wide] * rate * (1 - rate))
         mean = w[wide] if rate is None else w[wide] * rate
-        z = np.sqrt(-2 * np.log(1 - u[wide])) * np.cos(2 * np.pi * uniform(key[wide], salt + 1))
+        z = np.sqrt(-2 * np.log(1 - u)) * np.cos(2 * np.pi * uniform(key[wide], salt + 1))
         out[wide] = np.clip(np.rint(mean + spread * z), 0, np.inf if rate is None else w[wide])
     return out
 
@@ -240,6 +288,32 @@ def descend(tree: Tree, bins: np.ndarray, stops: list[int] | None = None) -> lis
         depth += 1
 
 
+def placed(tree: Tree, columns: np.ndarray, stops: list[int], seen: dict) -> list[np.ndarray]:
+    """As :func:`descend`, a node's rows at a time, for trees of few nodes; trees of the same rows share
+    ``seen``, the rows that the same splits lead to."""
+    size = columns.shape[1]
+    out, todo = [np.zeros(size, np.int64) for _ in stops], [(0, np.arange(size), (), 0)]
+    while todo:
+        node, rows, path, depth = todo.pop()
+        f, cut = tree.feature[node], tree.cut[node]
+        for stop, to in zip(stops, out):
+            if stop == depth or (stop > depth and f < 0):
+                to[rows] = node
+        if f < 0 or depth == stops[-1] or not len(rows):
+            continue
+        path = (*path, f, cut) if path is not None else None
+        parts = seen.get(path) if path else None
+        if parts is None:
+            right = columns[f][rows] > cut
+            parts = rows[~right], rows[right]
+            if path:
+                seen[path] = parts
+        for side in (0, 1):
+            kept = path is not None and len(parts[side]) > size // 32
+            todo.append((tree.child[node] + side, parts[side], (*path, side) if kept else None, depth + 1))
+    return out
+
+
 def sums_of(bins: np.ndarray, slot: np.ndarray, values: np.ndarray, slots: int, n_bins: int) -> np.ndarray:
     """Sums of each column of ``values`` by (slot, feature, bin); slot -1 takes no part."""
     own = np.flatnonzero(slot >= 0)
@@ -256,12 +330,20 @@ class NodeSums:
     """A growing tree's rows, in sets by node, and the sums of its newest nodes.
 
     ``add(rows, slot, slots, f)`` sums a feature by (slot, bin), ``total(rows, slot, slots)`` gives a
-    node's value, and ``closed(value)`` the nodes that no split can follow.
+    node's value, and ``closed(value)`` the nodes that no split can follow.  ``whole`` holds the sums of
+    all rows, if they are known; ``parted``, that a node's value is its sums over the bins of any feature.
+    Trees of the same weights may share ``seen``: nodes of many rows that the same splits lead to.
     """
 
-    def __init__(self, t: Table, rows: np.ndarray, add: Callable, total: Callable, closed: Callable):
+    def __init__(
+        self, t: Table, rows: np.ndarray, add: Callable, total: Callable, closed: Callable,
+        whole: np.ndarray | None = None, parted: bool = False, seen: dict | None = None,
+    ):
         self.columns, self.add, self.total, self.closed = t.columns, add, total, closed
+        self.whole, self.parted, self.seen = whole, parted, seen
+        self.many = len(rows) // 32
         self.rows = {0: rows}
+        self.path: dict[int, tuple] = {0: ()}  # of nodes of many rows
         self.level: list[int] = []  # nodes of the level asked for
         self.sums: dict[int, np.ndarray] = {}
         self.sums_above: dict[int, np.ndarray] = {}
@@ -271,28 +353,66 @@ class NodeSums:
         for node in self.level:
             f = tree.feature[node]
             if f >= 0:
-                rows = self.rows.pop(node)
-                right = self.columns[f][rows] > tree.cut[node]
-                self.rows[tree.child[node]], self.rows[tree.child[node] + 1] = rows[~right], rows[right]
+                rows, child = self.rows.pop(node), tree.child[node]
+                path = (*self.path.pop(node), f, tree.cut[node]) if node in self.path else None
+                known = self.seen.get(path) if self.seen is not None and path else None
+                if known is None:
+                    right = self.columns[f][rows] > tree.cut[node]
+                    known = rows[~right], rows[right]
+                    if self.seen is not None and path:
+                        self.seen[path] = known
+                for side in (0, 1):
+                    self.rows[child + side] = known[side]
+                    if path and len(known[side]) > self.many:
+                        self.path[child + side] = (*path, side)
 
     def _summed(self, nodes: list[int]) -> np.ndarray:
-        own = [self.rows[n] for n in nodes]
-        rows = np.concatenate(own) if own else np.zeros(0, np.int64)
-        slot = np.repeat(np.arange(len(nodes)), [len(x) for x in own])
-        return np.stack([self.add(rows, slot, len(nodes), f) for f in range(len(self.columns))], 1)
+        kept = {n: ("sums", self.path[n]) for n in nodes if n in self.path} if self.seen is not None else {}
+        found = {n: self.seen[k] for n, k in kept.items() if k in self.seen}
+        rest = [n for n in nodes if n not in found]
+        if rest == [0] and self.whole is not None:
+            own = self.whole[None]
+        elif rest or not nodes:
+            parts = [self.rows[n] for n in rest]
+            rows = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            slot = np.repeat(np.arange(len(rest)), [len(x) for x in parts])
+            own = np.stack([self.add(rows, slot, len(rest), f) for f in range(len(self.columns))], 1)
+        if len(rest) == len(nodes):
+            out = own
+        else:
+            found |= {n: own[i] for i, n in enumerate(rest)}
+            out = np.stack([found[n] for n in nodes])
+        for i, n in enumerate(nodes):
+            if n in kept:
+                self.seen[kept[n]] = out[i]
+        return out
+
+    def _values(self, tree: Tree, level: list[int], parent: dict[int, int]) -> np.ndarray:
+        """Values of a level's nodes, from the sums above if they are there."""
+        if self.parted and level == [0] and self.whole is not None:
+            return self.whole[0].sum(0)[None]
+        if self.parted and all(n in parent for n in level):
+            out = []
+            for n in level:
+                above = parent[n]
+                sums, cut = self.sums_above[above][tree.feature[above]], tree.cut[above] + 1
+                out.append(sums[:cut].sum(0) if n == tree.child[above] else sums[cut:].sum(0))
+            return np.stack(out)
+        own = [self.rows[n] for n in level]
+        slot = np.repeat(np.arange(len(level)), [len(x) for x in own])
+        return self.total(np.concatenate(own), slot, len(level))
 
     def __call__(self, tree: Tree, level: list[int], last: bool) -> tuple[np.ndarray | None, np.ndarray]:
         if level[0] not in self.rows:  # a new level, not a further piece of the last
             self.move(tree)
             self.sums_above, self.sums, self.level = self.sums, {}, []
         self.level = self.level + level
-        own = [self.rows[n] for n in level]
-        slot = np.repeat(np.arange(len(level)), [len(x) for x in own])
-        value = self.total(np.concatenate(own), slot, len(level))
+        split = [n for n in self.sums_above if tree.feature[n] >= 0]
+        parent = {tree.child[n] + side: n for n in split for side in (0, 1)}
+        value = self._values(tree, level, parent)
         if last:
             return None, value
         shut = self.closed(value)
-        parent = {c + side: n for n in self.sums_above for c in [tree.child[n]] for side in (0, 1)}
         direct, derived = [], []
         for at in range(0, len(level), 2):
             pair = level[at : at + 2]
@@ -417,15 +537,34 @@ def numbered(node: np.ndarray, level: list[int]) -> np.ndarray:
 # --- forest ---------------------------------------------------------------------------
 
 
+def class_sums(t: Table, w: np.ndarray, classes: int) -> np.ndarray:
+    """Weights of all cells by (feature, bin, class)."""
+    if classes not in t.by_class:
+        t.by_class[classes] = [code * classes + t.label for _, _, code in t.packs]
+    out = np.zeros((len(t.columns), t.n_bins, classes))
+    for (features, dims, _), code in zip(t.packs, t.by_class[classes]):
+        joint = np.bincount(code, w, int(np.prod(dims)) * classes).reshape(*dims, classes)
+        for i, f in enumerate(features):
+            out[f, : dims[i]] = joint.sum(tuple(j for j in range(len(dims)) if j != i))
+    return out
+
+
 def forest_tree(
-    t: Table, w: np.ndarray, number: int, seed: int, depth: int, least: int, classes: int, min_gain: float = 0.0
-) -> tuple[Tree, NodeSums]:
-    """A tree of the forest on cells of drawn weights ``w``, and where its rows ended."""
+    t: Table, w: np.ndarray, number: int, seed: int, depth: int, least: int, classes: int, min_gain: float = 0.0,
+    whole: np.ndarray | None = None, seen: dict | None = None,
+) -> tuple[Tree, NodeSums]:
+    """A tree of the forest on cells of drawn weights ``w``, and where its rows ended.
+
+    Trees of the same weights may share ``whole``, their :func:`class_sums`, and ``seen`` (:class:`NodeSums`).
+    """
     size, columns = t.n_bins * classes, t.columns
+    last: list = [None, None, None]  # rows, their places without the bin, and weights: the same for all features
 
     def add(rows: np.ndarray, slot: np.ndarray, slots: int, f: int) -> np.ndarray:
-        at = slot * size + columns[f][rows].astype(np.int64) * classes + t.label[rows]
-        return np.bincount(at, w[rows], slots * size).reshape(slots, t.n_bins, classes)
+        if last[0] is not rows:
+            last[:] = rows, slot * size + t.label[rows], w[rows]
+        at = last[1] + columns[f][rows].astype(np.int64) * classes
+        return np.bincount(at, last[2], slots * size).reshape(slots, t.n_bins, classes)
 
     def total(rows: np.ndarray, slot: np.ndarray, slots: int) -> np.ndarray:
         return np.bincount(slot * classes + t.label[rows], w[rows], slots * classes).reshape(slots, classes)
@@ -433,7 +572,8 @@ def forest_tree(
     def closed(value: np.ndarray) -> np.ndarray:
         return (value.max(1) >= value.sum(1)) | (value.sum(1) < 2 * least)
 
-    sums = NodeSums(t, np.flatnonzero(w > 0), add, total, closed)
+    whole = class_sums(t, w, classes) if whole is None and len(w) else whole
+    sums = NodeSums(t, np.flatnonzero(w > 0), add, total, closed, whole, True, seen)
     return finish(forest_growth(number, seed, depth, least, min_gain), sums), sums
 
 
@@ -459,24 +599,78 @@ def shares(tree: Tree) -> np.ndarray:
     return own / np.maximum(own.sum(1, keepdims=True), 1e-300)
 
 
+def tree_depth(tree: Tree) -> int:
+    feature, child = np.array(tree.feature), np.array(tree.child)
+    level, depth = np.zeros(1, np.int64), 0
+    while len(level := level[feature[level] >= 0]):
+        level, depth = np.concatenate((child[level], child[level] + 1)), depth + 1
+    return depth
+
+
+def least_of(tree: Tree) -> float:
+    """The smallest weight beside a split.  With any least up to it the same splits are the best ones,
+    as those that a larger least rules out were not chosen without it."""
+    return min((v.sum() for v in tree.value[1:]), default=np.inf)
+
+
+class Votes:
+    """Sums of class shares at some depths, one array for all depths that no tree has told apart."""
+
+    def __init__(self, rows: int, classes: int, depths: list[int]):
+        self.of = dict.fromkeys(depths, np.zeros((rows, classes)))
+
+    def part(self, depth: int) -> None:
+        """Depths below that of a tree come apart."""
+        for d in self.of:
+            if d < depth and sum(x is self.of[d] for x in self.of.values()) > 1:
+                self.of[d] = self.of[d].copy()
+
+    def add(self, shares_at: Callable[[int], np.ndarray]) -> None:
+        done = set()
+        for d in sorted(self.of, reverse=True):
+            if id(self.of[d]) not in done:
+                done.add(id(self.of[d]))
+                self.of[d] += shares_at(d)
+
+
+def by_weight(t: Table, held: int) -> np.ndarray:
+    """The cells outside a fold in the order of their weights."""
+    own = np.flatnonzero(t.fold != held)
+    return own[np.argsort(t.w[own], kind="stable")]
+
+
 def forest_prefixes(
-    t: Table, held: int, seed: int, least: int, wanted: set[tuple[int, int]], classes: int
-) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(trees, depth, predictions of the held-out cells) for each wanted pair, from one fit."""
+    t: Table, held: int, seed: int, wanted: dict[int, set[tuple[int, int]]], classes: int
+) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(least, trees, depth, predictions of the held-out cells) for each pair of trees and depth wanted of a
+    forest of each least leaf.  Forests draw the same rows, and share the trees that no least changes."""
     whole, at = t.merged
-    train = np.where(t.fold == held, 0.0, t.w)
+    own = by_weight(t, held)
+    key, weight, place = t.key[own], t.w[own], at[own]
     test, back = np.unique(at[t.fold == held], return_inverse=True)
-    depths = sorted({d for _, d in wanted})
-    votes = {d: np.zeros((len(test), classes)) for d in depths}
-    for number in range(max(n for n, _ in wanted)):
-        w = np.bincount(at, drawn(t.key, train, seed * 7919 + 2 * number), len(whole.w))
-        tree, _ = forest_tree(whole, w, number, seed, max(depths), least, classes)
-        own = shares(tree)
-        for d, node in zip(depths, descend(tree, whole.bins[test], depths)):
-            votes[d] += own[node]
-        for d in depths:
-            if (number + 1, d) in wanted:
-                yield number + 1, d, votes[d].argmax(1)[back]
+    bins, few = whole.bins[test], len(test) // 256
+    columns = np.ascontiguousarray(bins.T)
+    most = {least: max(n for n, _ in pairs) for least, pairs in wanted.items()}
+    votes = {least: Votes(len(test), classes, sorted({d for _, d in pairs})) for least, pairs in wanted.items()}
+    for number in range(max(most.values())):
+        w = np.bincount(place, drawn(key, weight, seed * 7919 + 2 * number), len(whole.w))
+        todo = sorted(least for least in wanted if number < most[least])
+        sums, seen, seen_test = class_sums(whole, w, classes), {} if len(todo) > 1 else None, {}
+        while todo:
+            deep = max(d for least in todo for d in votes[least].of)
+            tree, _ = forest_tree(whole, w, number, seed, deep, todo[0], classes, 0.0, sums, seen)
+            limit = max(least_of(tree), todo[0])
+            same, todo = [x for x in todo if x <= limit], [x for x in todo if x > limit]
+            reached, given = tree_depth(tree), shares(tree)
+            stops = sorted({min(d, reached) for x in same for d in votes[x].of})
+            nodes = placed(tree, columns, stops, seen_test) if len(given) < few else descend(tree, bins, stops)
+            found = {d: given[node] for d, node in zip(stops, nodes)}
+            for least in same:
+                votes[least].part(reached)
+                votes[least].add(lambda d: found[min(d, reached)])
+                for d, own_votes in votes[least].of.items():
+                    if (number + 1, d) in wanted[least]:
+                        yield least, number + 1, d, own_votes.argmax(1)[back]
 
 
 # --- boosting -------------------------------------------------------------------------
@@ -614,6 +808,158 @@ def boost(
     return model
 
 
+class ManyGroups(Exception):
+    """Trees tell more groups of cells apart than are kept."""
+
+
+class Groups:
+    """Cells of one label that no split so far tells apart: in all fits that share them they have one margin,
+    so a round costs what the groups cost, and weights are summed by (group, feature, bin) for all fits at once.
+
+    A split that runs through a group parts it; what a fit keeps by group it passes on with :meth:`stretched`.
+    """
+
+    def __init__(self, t: Table, most: int = GROUPS):
+        self.t, self.most, self.w = t, most, np.zeros(len(t.w))
+        kinds = np.unique(t.label)
+        if len(kinds) > most:
+            raise ManyGroups
+        self.label, self.parent = kinds.tolist(), [-1] * len(kinds)
+        self.number = np.searchsorted(kinds, t.label)
+        self.rows = [np.flatnonzero(self.number == g) for g in range(len(kinds))]
+        self.places = [self.number * int(np.prod(dims)) + code for _, dims, code in t.packs]
+        self.low, self.high = ([end(t.bins[rows], 0) for rows in self.rows] for end in (np.min, np.max))
+        self.sums = np.zeros((most, len(t.columns), t.n_bins))
+
+    def _added(self, groups: int, places: list[np.ndarray], w: np.ndarray) -> np.ndarray:
+        out = np.zeros((groups, *self.sums.shape[1:]))
+        for (features, dims, _), place in zip(self.t.packs, places):
+            joint = np.bincount(place, w, groups * int(np.prod(dims))).reshape(groups, *dims)
+            for i, f in enumerate(features):
+                out[:, f, : dims[i]] = joint.sum(tuple(j + 1 for j in range(len(dims)) if j != i))
+        return out
+
+    def weigh(self, w: np.ndarray) -> None:
+        """Weights of the cells from now on."""
+        self.w = w
+        self.sums[: len(self.parent)] = self._added(len(self.parent), self.places, w)
+
+    def stretched(self, x: np.ndarray) -> np.ndarray:
+        """Values by group for the groups made since, too: those of the groups they come from."""
+        if len(x) == len(self.parent):
+            return x
+        out = np.concatenate((x, np.zeros((len(self.parent) - len(x), *x.shape[1:]), x.dtype)))
+        for g in range(len(x), len(out)):
+            out[g] = out[self.parent[g]]
+        return out
+
+    def split(self, g: int, f: int, cut: int) -> int:
+        """The group of a group's cells beyond a cut; the others stay."""
+        rows, new = self.rows[g], len(self.parent)
+        if new == self.most:
+            raise ManyGroups
+        right = self.t.columns[f][rows] > cut
+        parts = rows[~right], rows[right]
+        for place, (_, dims, code) in zip(self.places, self.t.packs):
+            place[parts[1]] = new * int(np.prod(dims)) + code[parts[1]]
+        self.number[parts[1]] = new
+        self.parent.append(g)
+        self.label.append(self.label[g])
+        self.rows.append(parts[1])
+        self.rows[g] = parts[0]
+        self.low.append(None)
+        self.high.append(None)
+        for at, part in zip((g, new), parts):
+            self.low[at], self.high[at] = self.t.bins[part].min(0), self.t.bins[part].max(0)
+        small = int(len(parts[1]) < len(parts[0]))
+        own = self._added(1, [code[parts[small]] for _, _, code in self.t.packs], self.w[parts[small]])[0]
+        self.sums[(g, new)[1 - small]] = self.sums[g] - own
+        self.sums[(g, new)[small]] = own
+        return new
+
+    def tree(self, r: np.ndarray, h: np.ndarray, depth: int, least: int) -> tuple[Tree, list[tuple[int, list[int]]]]:
+        """The regression tree on gradients by group, and its leaves with the groups in each."""
+        nodes: dict[int, list[int]] = {0: list(range(len(self.parent)))}
+        asked: list[int] = []
+
+        def move(tree: Tree) -> None:
+            for node in asked:
+                f, cut, child = tree.feature[node], tree.cut[node], tree.child[node]
+                if f >= 0:
+                    left, right = [], []
+                    for g in nodes.pop(node):
+                        if self.low[g][f] > cut:
+                            right.append(g)
+                        else:
+                            left.append(g)
+                            if self.high[g][f] > cut:
+                                right.append(self.split(g, f, cut))
+                    nodes[child], nodes[child + 1] = left, right
+
+        def sums(tree: Tree, level: list[int], last: bool) -> tuple[np.ndarray | None, np.ndarray]:
+            nonlocal r, h
+            if level[0] not in nodes:
+                move(tree)
+                asked.clear()
+                r, h = self.stretched(r), self.stretched(h)
+            asked.extend(level)
+            value, total = [], []
+            for node in level:
+                own = nodes[node]
+                weights = self.sums[own]
+                w = weights[:, 0].sum(1)
+                value.append((r[own] @ w, w.sum(), h[own] @ w))
+                if not last:
+                    total.append(np.stack((np.tensordot(r[own], weights, 1), weights.sum(0)), -1))
+            return None if last else np.stack(total), np.array(value)
+
+        tree = finish(grow(square_gain, weight_of, depth, least), sums)
+        move(tree)
+        return tree, list(nodes.items())
+
+
+def boost_together(
+    t: Table, classes: int, units: dict[int, dict], subsample: float, seed: int, held: int,
+    each: Callable[[int, int, np.ndarray, Groups], None], most: int = GROUPS,
+) -> None:
+    """The fits of :func:`boost` for units that draw alike, round by round on shared :class:`Groups`.
+
+    A unit is a dict with ``trees``, ``rate``, ``depth`` and ``least``; ``each(unit, rounds, margins by group,
+    groups)`` follows every round; the groups are of the cells in another order.  Raises :class:`ManyGroups` if trees tell too many cells apart.
+    """
+    own = by_weight(t, held)
+    at, first = np.concatenate((np.flatnonzero(t.fold == held), own)), len(t.w) - len(own)
+    t = Table(t.bins[at], t.label[at], t.fold[at], t.w[at], t.key[at])
+    groups, train = Groups(t, most), np.where(t.fold == held, 0.0, t.w)
+    start = prior(np.bincount(t.label, train, classes))
+    margins = {u: np.tile(start, (len(groups.parent), 1)) for u in units}
+    for number in range(max(unit["trees"] for unit in units.values())):
+        if subsample < 1:
+            train[first:] = drawn(t.key[first:], t.w[first:], seed * 7919 + 2 * number, subsample)
+        if subsample < 1 or not number:
+            groups.weigh(train)
+        for u, unit in units.items():
+            if number >= unit["trees"]:
+                continue
+            margin = groups.stretched(margins[u])
+            share, label, steps = softmax(margin), np.array(groups.label), []
+            model = Boosted([], classes, start, unit["rate"])
+            for k in range(classes if classes != 2 else 1):
+                r, h = gradients(share[:, k], label == k)
+                tree, leaves = groups.tree(groups.stretched(r), groups.stretched(h), unit["depth"], unit["least"])
+                both = (tree, mirrored(tree)) if classes == 2 else (tree,)
+                for side, one in enumerate(both):
+                    value, step = model.values(one), np.zeros(len(groups.parent))
+                    for node, members in leaves:
+                        step[members] = value[node]
+                    steps.append((k + side, step))
+            margin = groups.stretched(margin)
+            for k, step in steps:
+                margin[:, k] += unit["rate"] * groups.stretched(step)
+            margins[u] = margin
+            each(u, number + 1, margin, groups)
+
+
 # --- the same over partitions -----------------------------------------------------------
 
 
@@ -826,56 +1172,102 @@ def trees_of(rows: DataFrame) -> list[Tree]:
 
 def search_counts(
     spark: SparkSession, table: DataFrame, units: list[dict], classes: int, folds: int, seed: int, features: int,
-    edges: list[list[float]], max_bytes: int = CELL_BYTES,
+    edges: list[list[float]], max_bytes: int = CELL_BYTES, most_groups: int = GROUPS,
 ) -> DataFrame:
     """(unit, trees, depth, fold, label, prediction, n) of every unit of a search and every fold.
 
     A unit is a dict with ``kind`` ("forest" or "boosting"), ``wanted`` (pairs of trees and
-    depth), ``least``, and for boosting ``rate`` and ``subsample``.
+    depth), ``least``, and for boosting ``rate`` and ``subsample``.  Boosting units that draw alike are
+    fitted together on :class:`Groups`, and on cells where these are more than ``most_groups``.
     """
     names = ["unit", "trees", "depth", "fold", "label", "prediction", "n"]
     kinds = "unit int, trees int, depth int, fold int, label int, prediction int, n long"
 
-    def counted(t: Table, fold: int, guess: np.ndarray) -> list[tuple[int, int, int]]:
-        test = t.fold == fold
-        pairs = t.label[test] * classes + guess
-        n = np.bincount(pairs, t.w[test], classes * classes)
+    def pairs(label: np.ndarray, guess: np.ndarray, w: np.ndarray) -> list[tuple[int, int, int]]:
+        n = np.bincount(label * classes + guess, w, classes * classes)
         return [(int(i) // classes, int(i) % classes, int(n[i])) for i in np.flatnonzero(n)]
 
-    def scored(t: Table, number: int, fold: int) -> list[tuple]:
-        unit, out = units[number], []
-        wanted = set(map(tuple, unit["wanted"]))
-        if unit["kind"] == "forest":
-            for trees, depth, guess in forest_prefixes(t, fold, seed, unit["least"], wanted, classes):
-                out += [(number, trees, depth, fold, *row) for row in counted(t, fold, guess)]
+    def counted(t: Table, fold: int, guess: np.ndarray) -> list[tuple[int, int, int]]:
+        test = t.fold == fold
+        return pairs(t.label[test], guess, t.w[test])
+
+    def forests(t: Table, numbers: list[int], fold: int) -> list[tuple]:
+        wanted, unit_of = {}, {units[u]["least"]: u for u in numbers}
+        for u in numbers:
+            wanted[units[u]["least"]] = set(map(tuple, units[u]["wanted"]))
+        found = forest_prefixes(t, fold, seed, wanted, classes)
+        return [(unit_of[x], n, d, fold, *row) for x, n, d, guess in found for row in counted(t, fold, guess)]
+
+    def boosted(t: Table, numbers: list[int], fold: int) -> list[tuple]:
+        out, asked, own = [], {u: {n for n, _ in units[u]["wanted"]} for u in numbers}, {}
+        for u in numbers:
+            ((_, depth),) = {(0, d) for _, d in units[u]["wanted"]}
+            own[u] = {"trees": max(asked[u]), "rate": units[u]["rate"], "depth": depth, "least": units[u]["least"]}
+        subsample, test = units[numbers[0]]["subsample"], t.fold == fold
+
+        def by_group(u: int, rounds: int, margin: np.ndarray, groups: Groups) -> None:
+            if rounds in asked[u]:
+                n = np.bincount(groups.number, np.where(groups.t.fold == fold, groups.t.w, 0), len(groups.parent))
+                rows = pairs(np.array(groups.label), margin.argmax(1), n)
+                out.extend((u, rounds, own[u]["depth"], fold, *row) for row in rows)
+
+        def by_cell(u: int) -> Callable[[int, np.ndarray, np.ndarray], None]:
+            def each(rounds: int, margin: np.ndarray, at: np.ndarray) -> None:
+                if rounds in asked[u]:
+                    rows = counted(t, fold, margin.argmax(1)[at[test]])
+                    out.extend((u, rounds, own[u]["depth"], fold, *row) for row in rows)
+
+            return each
+
+        if most_groups:
+            try:
+                boost_together(t, classes, own, subsample, seed, fold, by_group, most_groups)
+            except ManyGroups:  # to be fitted on cells, each in a task of its own
+                return [(u, 0, 0, fold, 0, 0, 0) for u in numbers]
             return out
-        ((_, depth),) = {(0, d) for _, d in wanted}
-        asked = {n for n, _ in wanted}
-
-        def each(rounds: int, margin: np.ndarray, at: np.ndarray) -> None:
-            if rounds in asked:
-                guess = margin.argmax(1)[at[t.fold == fold]]
-                out.extend((number, rounds, depth, fold, *row) for row in counted(t, fold, guess))
-
-        boost(t, edges, classes, max(asked), unit["rate"], depth, unit["least"], unit["subsample"], seed, fold, each)
+        for u in numbers:
+            settings = (own[u]["trees"], own[u]["rate"], own[u]["depth"], own[u]["least"], subsample, seed, fold)
+            boost(t, edges, classes, *settings, by_cell(u))
         return out
 
-    todo = [(u, f) for u in range(len(units)) for f in range(folds)]
     if fits_tasks(table, features, max_bytes):
         held = spark.sparkContext.broadcast([b for b in table.toArrow().to_batches()])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = Table.of(pa.Table.from_batches(held.value))
-            for batch in batches:
-                for u, f in zip(batch.column("u").to_pylist(), batch.column("f").to_pylist()):
-                    rows = scored(t, u, f)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int32()] * 6 + [pa.int64()])], names=names
-                    )
-
-        frame = spark.createDataFrame(todo, "u int, f int").repartition(len(todo), "u", "f")
-        return materialise(frame.mapInArrow(run, kinds), "search-counts")
+        def in_tasks(sets: list[tuple[list[int], int]], fit: Callable) -> DataFrame:
+            """Counts of sets of units and a fold, each in a task of its own."""
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                t = None
+                for batch in batches:
+                    for i in batch.column("id").to_pylist():
+                        t = t or Table.of(pa.Table.from_batches(held.value))
+                        rows = fit(t, *sets[i])
+                        if rows:
+                            columns = zip(zip(*rows), [pa.int32()] * 6 + [pa.int64()])
+                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=names)
+
+            return materialise(spark.range(0, len(sets), 1, len(sets)).mapInArrow(run, kinds), "search-counts")
+
+        every = range(len(units))
+        if units[0]["kind"] == "forest":
+            # forests that share a task share draws and trees; as many tasks as there are cores, and more if their
+            # votes would take too much room
+            rows = (table.agg(F.countDistinct("bins", "label")).first()[0] or 1) * classes * 8
+            deep = sum(len({d for _, d in unit["wanted"]}) for unit in units)
+            cores = spark.sparkContext.defaultParallelism
+            sets = min(len(units), max(1, cores // folds, -(-rows * deep // VOTE_BYTES)))
+            return in_tasks([([u for u in every if u % sets == i], f) for i in range(sets) for f in range(folds)], forests)
+        alike: dict[float, list[int]] = {}
+        for u in every:
+            alike.setdefault(units[u]["subsample"], []).append(u)
+        found = in_tasks([(own, f) for _, own in sorted(alike.items()) for f in range(folds)], boosted)
+        left = [([r["unit"]], r["fold"]) for r in found.filter("trees = 0").collect()]  # one a unit and fold at most
+        if not left:
+            return found
+        most_groups = 0
+        return found.filter("trees > 0").unionByName(in_tasks(left, boosted))
 
+    todo = [(u, f) for u in range(len(units)) for f in range(folds)]
     parts: DataFrame | None = None
     for u, fold in todo:
         unit = units[u]

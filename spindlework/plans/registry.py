@@ -829,7 +829,8 @@ def prediction_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fixtures.graded_readings(spark, sf_dir)
     split = splits.with_hash_split(m, SPLIT_KEYS).filter("split = 'train'")
-    return materialise(splits.with_folds(split, SPLIT_KEYS), "search-readings")
+    folds = splits.with_folds(split, SPLIT_KEYS)
+    return materialise(folds.select("fold", "target", "failure_type", "type", *NUMERIC_FEATURES), "search-readings")
 
 
 @query

@@ -190,3 +190,66 @@ def test_cells_of_several_hundred_rows_are_drawn_by_their_law():
     for w in (320.0, 400.0):
         x = binned.drawn(key, np.full(len(key), w), 5, 0.9)
         assert abs(x.mean() / (0.9 * w) - 1) < 0.01 and abs(x.var() / (0.09 * w) - 1) < 0.05
+
+
+@pytest.mark.parametrize("subsample", [1.0, 0.7])
+def test_fits_that_share_groups_have_the_margins_of_fits_on_cells(rows, subsample):
+    edges = binned.bin_edges(rows, max_bins=8)
+    t = binned.Table.of(binned.cells(rows, edges, "fold").toArrow())
+    units = {
+        7: {"trees": 6, "rate": 0.3, "depth": 2, "least": 2},
+        9: {"trees": 4, "rate": 0.1, "depth": 3, "least": 5},
+    }
+    shared, order = {}, np.concatenate((np.flatnonzero(t.fold == 1), binned.by_weight(t, 1)))
+
+    def each(unit, number, margin, groups):
+        assert (groups.t.key == t.key[order]).all() and len(margin) == len(groups.parent)
+        shared[unit, number] = margin[groups.number]
+
+    binned.boost_together(t, 3, units, subsample, 11, 1, each, most=100_000)
+    for u, s in units.items():
+
+        def alone(number, margin, at, u=u):
+            assert (margin[at][order] == shared.pop((u, number))).all()
+
+        binned.boost(t, edges, 3, s["trees"], s["rate"], s["depth"], s["least"], subsample, 11, 1, alone)
+    assert not shared
+    with pytest.raises(binned.ManyGroups):
+        binned.boost_together(t, 3, units, subsample, 11, 1, each, most=5)
+
+
+def test_a_search_counts_the_same_with_any_number_of_groups(rows, spark):
+    edges = binned.bin_edges(rows, max_bins=8)
+    table = binned.cells(rows, edges, "fold")
+    units = [
+        {"kind": "boosting", "least": least, "wanted": [(2, 2), (3, 2)], "rate": 0.2, "subsample": subsample}
+        for least, subsample in ((1, 0.8), (4, 0.8), (2, 1.0))
+    ]
+    found = [
+        sorted(map(tuple, binned.search_counts(spark, table, units, 3, 2, 5, len(edges), edges, most_groups=n).collect()))
+        for n in (100_000, 3)
+    ]
+    assert found[0] == found[1] and {r[0] for r in found[0]} == {0, 1, 2}
+
+
+def test_forests_that_differ_in_least_leaf_share_trees(rows, monkeypatch):
+    """Each gives the predictions of its trees grown alone, but a tree that no least changes is grown once."""
+    x = vector_to_array("features")
+    clean = rows.withColumn("label", F.when(x[0] > 4, 2.0).when(x[1] > 12, 1.0).otherwise(0.0))
+    edges = binned.bin_edges(clean)
+    t = binned.Table.of(binned.cells(clean, edges, "fold").toArrow())
+    wanted = {1: {(3, 2), (5, 12)}, 2: {(4, 5)}, 3: {(4, 12), (2, 5)}}
+    grown, tree = [], binned.forest_tree
+    monkeypatch.setattr(binned, "forest_tree", lambda *a, **k: grown.append(a[5]) or tree(*a, **k))
+    found = {(x, n, d): guess for x, n, d, guess in binned.forest_prefixes(t, 1, 9, wanted, 3)}
+    assert len(found) == 5 and len(grown) < 5 + 4 + 4
+    whole, at = t.merged
+    test = at[t.fold == 1]
+    for least, pairs in wanted.items():
+        for trees, depth in pairs:
+            votes = np.zeros((len(test), 3))
+            for n in range(trees):
+                w = binned.drawn(t.key, np.where(t.fold == 1, 0.0, t.w), 9 * 7919 + 2 * n)
+                one, _ = tree(whole, np.bincount(at, w, len(whole.w)), n, 9, depth, least, 3)
+                votes += binned.shares(one)[binned.descend(one, whole.bins)[0]][test]
+            assert (votes.argmax(1) == found[least, trees, depth]).all()
