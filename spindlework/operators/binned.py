@@ -49,10 +49,13 @@ VOTE_BYTES = 768 * 1024 * 1024  # of a task of a forest search
 # --- the binned table ------------------------------------------------------------
 
 
-def bin_edges(df: DataFrame, features: str = "features", max_bins: int = MAX_BINS) -> list[list[float]]:
+def bin_edges(
+    df: DataFrame, features: str = "features", max_bins: int = MAX_BINS, copies: str | None = None
+) -> list[list[float]]:
     """Upper edges of each feature's bins but the last: midpoints of its values if they are
-    few, else approximate quantiles."""
-    cells = df.select(F.posexplode(vector_to_array(features)).alias("i", "v")).filter(~F.isnan("v"))
+    few, else approximate quantiles.  With ``copies`` a row stands for so many."""
+    number = (F.col(copies) if copies else F.lit(1)).cast("int").alias("c")
+    cells = df.select(number, F.posexplode(vector_to_array(features)).alias("i", "v")).filter(~F.isnan("v"))
     counts = materialise(cells.groupBy("i", "v").agg(F.count("*").alias("n")), "feature-values")
     kinds = {r["i"]: r["n"] for r in counts.groupBy("i").agg(F.count("*").alias("n")).collect()}
     few = [i for i, n in kinds.items() if n <= max_bins]
@@ -66,7 +69,10 @@ def bin_edges(df: DataFrame, features: str = "features", max_bins: int = MAX_BIN
     if len(few) < len(kinds):
         shares = [k / max_bins for k in range(1, max_bins)]
         cut = F.percentile_approx("v", shares, 100 * max_bins)
-        for r in cells.filter(~F.col("i").isin(few)).groupBy("i").agg(cut.alias("cuts")).collect():
+        many = cells.filter(~F.col("i").isin(few))
+        if copies:
+            many = many.select("i", "v", F.explode(F.sequence(F.lit(1), F.col("c"))))
+        for r in many.groupBy("i").agg(cut.alias("cuts")).collect():
             edges[r["i"]] = sorted(set(r["cuts"]))
     return edges
 
@@ -83,24 +89,25 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def cells(df: DataFrame, edges: list[list[float]], fold: str | None = None) -> DataFrame:
-    """(bins, label, fold, w, key): distinct rows of (features, label, fold) with their number."""
+def cells(df: DataFrame, edges: list[list[float]], fold: str | None = None, copies: str | None = None) -> DataFrame:
+    """(bins, label, fold, w, key): distinct rows of (features, label, fold) with their number, that of
+    their ``copies`` if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bins = to_bins(_matrix(batch.column("x"), len(edges)), edges)
             rows = pa.array([row.tobytes() for row in bins], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [rows, batch.column("label"), batch.column("fold")], names=["bins", "label", "fold"]
-            )
+            rest = ["label", "fold", "n"]
+            yield pa.RecordBatch.from_arrays([rows, *[batch.column(c) for c in rest]], names=["bins", *rest])
 
     given = df.select(
         vector_to_array("features").alias("x"),
         F.col("label").cast("int").alias("label"),
         (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
+        (F.col(copies) if copies else F.lit(1)).cast("long").alias("n"),
     )
-    rows = given.mapInArrow(run, "bins binary, label int, fold int")
-    counted = rows.groupBy("bins", "label", "fold").agg(F.count("*").alias("w"))
+    rows = given.mapInArrow(run, "bins binary, label int, fold int, n long")
+    counted = rows.groupBy("bins", "label", "fold").agg(F.sum("n").alias("w"))
     return materialise(counted.withColumn("key", F.xxhash64("bins", "label", "fold")), "cells")
 
 
@@ -1126,15 +1133,16 @@ def fit_boosted(
 
 def fit_forest(
     train: DataFrame, classes: int, trees: int, depth: int, min_instances: int = 1, min_gain: float = 0.0, seed: int = 42,
-    max_bytes: int = CELL_BYTES,
+    max_bytes: int = CELL_BYTES, copies: str | None = None,
 ) -> tuple[list[list[float]], list[Tree]]:
     """Bin edges and trees of a random forest on ``train`` (features, label 0..classes-1).
 
-    A tree reads a bootstrap of all rows, and each node the root of the number of features.
+    A tree reads a bootstrap of all rows, and each node the root of the number of features.  With ``copies``
+    a row of ``train`` stands for so many.
     """
     spark = train.sparkSession
-    edges = bin_edges(train)
-    table = cells(train, edges)
+    edges = bin_edges(train, copies=copies)
+    table = cells(train, edges, copies=copies)
     if not fits_tasks(table, len(edges), max_bytes):
         return edges, forest_distributed(table, -2, seed, trees, min_instances, depth, classes, min_gain=min_gain)
     held = spark.sparkContext.broadcast(table.toArrow().to_batches())  # a bounded table of cells

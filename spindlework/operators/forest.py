@@ -43,6 +43,7 @@ class BinnedForest(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     maxDepth = Param(Params._dummy(), "maxDepth", "greatest depth", TypeConverters.toInt)  # noqa: N815
     minInstancesPerNode = Param(Params._dummy(), "minInstancesPerNode", "least rows of a side", TypeConverters.toInt)  # noqa: N815
     minInfoGain = Param(Params._dummy(), "minInfoGain", "least gain of a split", TypeConverters.toFloat)  # noqa: N815
+    copies = Param(Params._dummy(), "copies", "column of the number of copies that a row stands for", TypeConverters.toString)
 
     @keyword_only
     def __init__(
@@ -55,12 +56,16 @@ class BinnedForest(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
 
     def _fit(self, dataset: DataFrame) -> BinnedForestModel:
         ship_package(dataset.sparkSession)
+        copies = self.getOrDefault(self.copies) if self.isSet(self.copies) else None
         rows = dataset.select(
-            F.col(self.getFeaturesCol()).alias("features"), F.col(self.getLabelCol()).cast("double").alias("label")
+            F.col(self.getFeaturesCol()).alias("features"),
+            F.col(self.getLabelCol()).cast("double").alias("label"),
+            *([F.col(copies).cast("long").alias("copies")] if copies else []),
         )
         classes = 1 + int(rows.agg(F.max("label")).first()[0] or 0)
         settings = (self.numTrees, self.maxDepth, self.minInstancesPerNode, self.minInfoGain, self.seed)
-        edges, trees = fit_forest(rows, classes, *[self.getOrDefault(p) for p in settings])
+        options = {"copies": "copies"} if copies else {}
+        edges, trees = fit_forest(rows, classes, *[self.getOrDefault(p) for p in settings], **options)
         return self._copyValues(BinnedForestModel(edges, trees, classes))
 
 

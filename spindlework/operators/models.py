@@ -51,8 +51,19 @@ def weighs_copies(estimator: Estimator) -> bool:
     return isinstance(estimator, (LogisticRegression, LinearSVC))
 
 
-def fit_on_copies(estimator: Estimator, train: DataFrame):
-    """Fit on ``train`` (features, label), copies counted once if that gives the same model."""
+def fit_on_copies(estimator: Estimator, train: DataFrame, weight: str | None = None):
+    """Fit on ``train`` (features, label), copies counted once if that gives the same model.
+
+    With ``weight`` the rows of ``train`` stand for so many copies already; an estimator that neither
+    weighs copies nor counts them itself gets them one by one.
+    """
+    if weight is not None:
+        if isinstance(estimator, BinnedForest):
+            return estimator.copy({estimator.copies: weight}).fit(train)
+        if weighs_copies(estimator):
+            return estimator.copy({estimator.weightCol: weight}).fit(train)
+        each = train.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(weight).cast("int"))))
+        return estimator.fit(materialise(each.drop(weight, "_copy"), "training"))
     if not weighs_copies(estimator):
         return estimator.fit(materialise(train, "training"))
     weighted = estimator.copy({estimator.weightCol: "weight"})
@@ -155,12 +166,13 @@ def fit_softmax_boosting(train: DataFrame, **options) -> tuple[PipelineModel, Bo
     return prepare, fit_boosted(ready, classes, **{**TUNED_BOOSTING_MULTICLASS, **own})
 
 
-def scale_gamma(train: DataFrame, columns: list[str]) -> float:
+def scale_gamma(train: DataFrame, columns: list[str], weight: str | None = None) -> float:
     """1 / (columns x variance of all feature values), from one aggregate."""
+    n = F.col(weight) if weight else F.lit(1)
     sums = train.agg(
-        F.count("*").alias("n"),
-        *[F.sum(F.col(c)).alias(f"s_{c}") for c in columns],
-        *[F.sum(F.col(c) * F.col(c)).alias(f"q_{c}") for c in columns],
+        F.sum(n).alias("n"),
+        *[F.sum(F.col(c) * n).alias(f"s_{c}") for c in columns],
+        *[F.sum(F.col(c) * F.col(c) * n).alias(f"q_{c}") for c in columns],
     ).first()
     cells = sums["n"] * len(columns)
     mean = sum(sums[f"s_{c}"] for c in columns) / cells
@@ -197,11 +209,18 @@ def fit_kernel_svm(
     iterations: int = 100,
     seed: int = 42,
     kernel_map: str = "cosines",
+    weight: str | None = None,
 ) -> PipelineModel:
     """SVM with an RBF kernel: a linear SVM on features whose dot products stand for the kernel,
-    random ``cosines`` or ``landmarks`` (``kernels.kernel_error`` measures either)."""
-    rows, gamma = train.count(), scale_gamma(train, columns)
-    train = materialise(counted_copies(train.select(*columns, "label")), "kernel-rows")
+    random ``cosines`` or ``landmarks`` (``kernels.kernel_error`` measures either).  With ``weight`` a row
+    of ``train`` stands for so many copies."""
+    rows = train.agg(F.sum(weight)).first()[0] or 0 if weight else train.count()
+    gamma = scale_gamma(train, columns, weight)
+    if weight:
+        train = train.groupBy(*columns, "label").agg(F.sum(weight).cast("double").alias("weight"))
+    else:
+        train = counted_copies(train.select(*columns, "label"))
+    train = materialise(train, "kernel-rows")
     if kernel_map == "landmarks":
         stages = [landmark_features(train, columns, gamma, size, seed)]
     elif kernel_map == "cosines":

@@ -776,27 +776,32 @@ def svm_landmark_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fitted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five classifiers of the failure flag, fitted on the train rows and measured on both parts."""
+    """Five classifiers of the failure flag, fitted on the train rows and measured on both parts.
+
+    Preparation, fits and scores read distinct rows with their number.
+    """
     split = splits.with_hash_split(fixtures.separated_readings(spark, sf_dir), SPLIT_KEYS)
     m = split.withColumn("label", F.col("target").cast("double"))
     m = materialise(m.select("split", "label", "type", *NUMERIC_FEATURES), "split-readings")
     prepare = features.fit_features(
         m.filter("split = 'train'"), label=None, categorical="one_hot_all", scale="zscore"
     )
-    ready = materialise(prepare.transform(m).select("split", "label", "features"), "prepared")
+    distinct = prepare.transform(models.counted_copies(m))
+    ready = materialise(distinct.select("split", "label", "features", "weight"), "prepared")
     train = ready.filter("split = 'train'")
+    rows = int(train.agg(F.sum("weight")).first()[0] or 0)
     fitted = {
         "forest": models.binary_forest(),
         "tree": models.decision_tree(),
-        "regression": models.binary_regression(train.count()),
+        "regression": models.binary_regression(rows),
         "boosting": models.boosted_trees(),
     }
-    train = train.select("features", "label")
-    scored = {name: models.fit_on_copies(estimator, train).transform(ready) for name, estimator in fitted.items()}
+    train = materialise(train.select("features", "label", "weight"), "training")
+    scored = {n: models.fit_on_copies(estimator, train, "weight").transform(ready) for n, estimator in fitted.items()}
     coords = [f"c{i}" for i in range(8)]
     flat = features.vector_columns(ready, "features", coords)
-    svm = models.fit_kernel_svm(flat.filter("split = 'train'"), coords, c=10.0)
-    return _rounded(evaluate.fitted_comparison({**scored, "svm": svm.transform(flat)}))
+    svm = models.fit_kernel_svm(flat.filter("split = 'train'"), coords, c=10.0, weight="weight")
+    return _rounded(evaluate.fitted_comparison({**scored, "svm": svm.transform(flat)}, copies="weight"))
 
 
 def _fitted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

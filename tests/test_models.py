@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import DATA
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
@@ -175,3 +176,28 @@ def test_a_fit_on_counted_copies_is_the_fit_on_all_rows(spark):
     a, b = (f(models.binary_regression(3000), rows).coefficients for f in (models.fit_on_copies, lambda e, r: e.fit(r)))
     assert max(abs(a.toArray() - b.toArray())) < 1e-6
     assert not models.weighs_copies(models.boosted_trees(subsample=0.9)) and not models.weighs_copies(models.boosted_trees(min_instances=2))
+
+
+def test_fits_and_scores_on_counted_rows_are_those_on_all_rows(spark):
+    rows = spark.range(600).select(
+        (F.col("id") % 7).cast("double").alias("a"),
+        (F.pmod(F.xxhash64("id"), F.lit(90)) / 2).alias("b"),
+        (F.col("id") % 7 + F.pmod(F.xxhash64("id"), F.lit(90)) % 3 > 4).cast("double").alias("label"),
+        F.when(F.col("id") % 4 == 0, "test").otherwise("train").alias("split"),
+    )
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows.unionByName(rows))
+    plain = ready.select("features", "label", "split")
+    x = F.col("features")
+    counted = models.counted_copies(plain.select(vector_to_array(x).alias("features"), "label", "split")).withColumn(
+        "features", array_to_vector("features")
+    )
+    assert counted.count() <= 600
+    for estimator in (models.random_forest(trees=5, depth=4), models.decision_tree(), models.binary_regression(1200)):
+        one = models.fit_on_copies(estimator, plain.select("features", "label"))
+        two = models.fit_on_copies(estimator, counted.select("features", "label", "weight"), "weight")
+        want, got = evaluate.fitted_comparison({"m": one.transform(plain)}), evaluate.fitted_comparison({"m": two.transform(counted)}, copies="weight")
+        assert sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
+    least = models.decision_tree().setMinInstancesPerNode(3)  # counts rows, so it gets each copy
+    one, two = models.fit_on_copies(least, plain.select("features", "label")), models.fit_on_copies(least, counted.select("features", "label", "weight"), "weight")
+    assert one.toDebugString.split("\n")[1:] == two.toDebugString.split("\n")[1:]
+    assert models.scale_gamma(rows, ["a", "b"]) == pytest.approx(models.scale_gamma(rows.withColumn("n", F.lit(2)), ["a", "b"], "n"))
